@@ -3,7 +3,7 @@
 
 def all_queries():
     """(queries, oracles) of every group."""
-    from eventmart.plans import attribution  # noqa: F401
+    from eventmart.plans import attribution, engagement  # noqa: F401
     from eventmart.plans.registry import ORACLES, QUERIES
 
     return QUERIES, ORACLES

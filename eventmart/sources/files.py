@@ -78,15 +78,37 @@ def check_exists(wanted: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFr
     )
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """COPY manifests ``{entries:[{url, mandatory}]}`` as rows of (path, mandatory)."""
-    schema = "entries ARRAY<STRUCT<url: STRING, mandatory: BOOLEAN>>"
-    entries = spark.read.schema(schema).option("multiLine", "true").json(path)
-    return entries.select(F.explode("entries").alias("e")).select(
-        F.col("e.url").alias("path"), F.coalesce("e.mandatory", F.lit(False)).alias("mandatory")
+_MANIFEST = "entries ARRAY<STRUCT<url: STRING, mandatory: BOOLEAN>>"
+
+
+def _entries(manifests: DataFrame) -> DataFrame:
+    """Entries as (manifest, path, mandatory); the manifest is known by its first file."""
+    return manifests.select(
+        F.element_at("entries.url", 1).alias("manifest"), F.explode("entries").alias("e")
+    ).select(
+        "manifest",
+        F.col("e.url").alias("path"),
+        F.coalesce("e.mandatory", F.lit(False)).alias("mandatory"),
     )
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Manifest files ``{entries:[{url, mandatory}]}``, one document per file."""
+    return _entries(spark.read.schema(_MANIFEST).option("multiLine", "true").json(path))
+
+
+def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same with one manifest per line."""
+    return _entries(spark.read.schema(_MANIFEST).json(path))
+
+
+def manifest_batches(entries: DataFrame):
+    """The entries of one manifest after the other: one load each."""
+    names = entries.select("manifest").distinct().orderBy("manifest")
+    for row in names.toLocalIterator():
+        yield entries.where(F.col("manifest") == row["manifest"])
+
+
 def manifest_of(files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:
     """Manifest documents of at most ``batch_size`` files each. Batches are cut inside each
     partition of the listing, so no group can grow beyond the limit."""
