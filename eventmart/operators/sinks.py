@@ -152,9 +152,9 @@ def create_document_tables(spark: SparkSession, name: str, schema: T.StructType,
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
-    """Empty a table. An external one is emptied by overwriting it with no rows."""
-    table = spark.table(name)
-    table.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(name)
+    """Empty a table by overwriting it with no rows, which external tables allow too."""
+    nothing = spark.createDataFrame([], spark.table(name).schema)
+    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(name)
 
 
 # -- layouts --------------------------------------------------------------------------------

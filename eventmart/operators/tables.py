@@ -79,14 +79,16 @@ class BatchTable:
         files: DataFrame | None = None,
         attempts: int = 1,
     ) -> None:
-        """Write the batch's ledger entries, one per file. This publishes or fails the batch.
-        The files are those named, else those the staged rows came from."""
+        """Write the batch's ledger entries: one per file and one, without a path, for the batch.
+        This publishes or fails the batch. The files are those named, else those the staged
+        rows came from."""
         if files is None:
             staged = self._data().where(F.col("batch_id") == batch_id)
-            files = staged.select(F.col(SOURCE).alias("path")).distinct()
-            nothing = self.spark.createDataFrame([(None,)], "path STRING")
-            files = files if not files.isEmpty() else nothing
-        entries = files.select(
+            files = staged.select(F.col(SOURCE).alias("path")).where("path IS NOT NULL").distinct()
+        # the batch's own entry, without a path, is there even if the batch has no rows
+        own = self.spark.range(1).select(F.lit(None).cast("string").alias("path"))
+        files = files.select("path").unionByName(own)
+        entries = files.coalesce(1).select(
             "path",
             F.lit(status).alias("status"),
             F.lit(attempts).alias("attempts"),
@@ -134,8 +136,8 @@ class BatchTable:
         return _read_or_empty(self.spark, f"{self.root}/ledger", LEDGER).select(*LEDGER.names)
 
     def batch_state(self, batch_id: str):
-        rows = self.ledger().where(F.col("batch_id") == batch_id).select("status", "attempts")
-        return rows.limit(1).first()
+        own = self.ledger().where((F.col("batch_id") == batch_id) & F.col("path").isNull())
+        return own.select("status", "attempts").first()
 
     def _published(self) -> DataFrame:
         loaded = self.ledger().where(F.col("status") == "loaded").select("batch_id").distinct()

@@ -3,7 +3,13 @@
 
 def all_queries():
     """(queries, oracles) of every group."""
-    from eventmart.plans import attribution, engagement  # noqa: F401
+    from eventmart.plans import (  # noqa: F401
+        attribution,
+        documents,
+        engagement,
+        streams,
+        tables,
+    )
     from eventmart.plans.registry import ORACLES, QUERIES
 
     return QUERIES, ORACLES

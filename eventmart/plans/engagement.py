@@ -14,6 +14,7 @@ from eventmart.operators import csv_events as ce
 from eventmart.operators import evolve, sinks
 from eventmart.operators import load as ld
 from eventmart.operators.analytics import daily_counts
+from eventmart.operators.tables import BatchTable
 from eventmart.plans import fixtures as fx
 from eventmart.plans.fixtures import AS_OF, EXPORT_ROWS_SQL, PROFILE_ROWS_SQL, file_label
 from eventmart.plans.registry import query
@@ -25,7 +26,7 @@ from eventmart.sources.ndjson import read_ndjson
 
 R = f"({EXPORT_ROWS_SQL}) r"
 P = f"({PROFILE_ROWS_SQL}) p"
-NOW = F.lit(AS_OF).cast("timestamp")
+LOADED = datetime(2024, 2, 1)
 ATTRIBUTES = """'{"Extra Col":' || coalesce('"' || extra_col || '"', 'null')
   || CASE WHEN extra_tail IS NOT NULL THEN ',"extra_tail":"tail"' ELSE '' END
   || ',"note":' || CAST(to_json(note) AS VARCHAR) || '}'"""
@@ -39,8 +40,12 @@ def rows(spark, sf_dir):
     return cl.csv_rows(spark, fx.csv_exports(spark, sf_dir), fl.started_by)
 
 
+def now():
+    return F.lit(AS_OF).cast("timestamp")
+
+
 def events(spark, sf_dir):
-    return ce.to_events(rows(spark, sf_dir), NOW)
+    return ce.to_events(rows(spark, sf_dir), now())
 
 
 def labelled(df):
@@ -261,18 +266,17 @@ def k10(spark, sf_dir):
 @query("s8_path_scan", f"""
 SELECT event_name, count(*) AS n, count(user_id) AS users FROM {R} GROUP BY event_name""")
 def s8(spark, sf_dir):
-    """A manifest names the landed files; one read takes them all, batch by batch."""
+    """Manifests name the landed files; one load takes all files of a manifest."""
     files = fl.list_files(spark, fx.structured_events(spark, sf_dir), "json")
     root = scratch_path(spark, "manifests")
     manifest = fl.manifest_of(files)
     manifest.select("value").write.text(root)
     entries = fl.read_manifest_lines(spark, root)
-    loaded = None
-    for part in fl.manifest_batches(entries):
-        read = read_ndjson(spark, fl.resolve_manifest(part, files), CANONICAL)
-        loaded = read if loaded is None else loaded.unionByName(read)
-    typed = ld.good(ld.cast_rows(loaded, CANONICAL, ld.PATH_LOAD))
-    return typed.groupBy("event_name").agg(
+    table = BatchTable(spark, scratch_path(spark, "s8"), CANONICAL)
+    for n, part in enumerate(fl.manifest_batches(entries)):
+        landed = read_ndjson(spark, fl.resolve_manifest(part, files), CANONICAL)
+        table.load(ld.cast_rows(landed, CANONICAL, ld.PATH_LOAD), f"m{n}", ld.PATH_LOAD, LOADED)
+    return table.read().groupBy("event_name").agg(
         F.count("*").alias("n"), F.count("user_id").alias("users")
     )
 
@@ -304,7 +308,7 @@ def messages(spark, sf_dir):
 
     lines = cl.numbered_lines(spark, root, wanted)
     parsed = cl.parse_lines(cl.with_layout(lines, cl.read_headers(spark, root, wanted)))
-    return sinks.pack_rows(ce.to_events(parsed, NOW, keep=("line_no",)), "engagement")
+    return sinks.pack_rows(ce.to_events(parsed, now(), keep=("line_no",)), "engagement")
 
 
 CHUNKS = f"""(SELECT *, (row_number() OVER (PARTITION BY file_label, block ORDER BY event_id) - 1) // 5 AS chunk FROM {R}) c"""
@@ -357,7 +361,7 @@ def _ledger(files):
     """Every second event file was loaded."""
     return files.where(file_label("path").rlike("-173000001[02]-")).select(
         "path", F.lit("b1").alias("batch_id"), F.lit("loaded").alias("status"),
-        F.lit(1).alias("attempts"), F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz").alias("loaded_at"),
+        F.lit(1).alias("attempts"), F.lit(LOADED).cast("timestamp_ntz").alias("loaded_at"),
     )
 
 

@@ -74,7 +74,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run a derivation over the events of ``sf_dir`` without registering a view."""
     text = sql.replace("event_id % 500 // 100", "event_id % 500 div 100")
-    text = text.replace("FROM events", "FROM {events}")
+    text = text.replace("{", "{{").replace("}", "}}").replace("FROM events", "FROM {events}")
     return spark.sql(text, events=events(spark, sf_dir))
 
 

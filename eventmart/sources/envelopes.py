@@ -46,7 +46,9 @@ def path_messages(envelopes: DataFrame) -> DataFrame:
     """Path messages with ``status``: ``invalid`` when the body does not parse or names no
     path, else ``pending``."""
     path = F.nullif(F.try_variant_get("data", "$.s3_path", "string"), F.lit(""))
+    own = ("id", "timestamp", "raw", "data", "valid")
     return envelopes.select(
+        *[c for c in envelopes.columns if c not in own],
         "id",
         "timestamp",
         "raw",

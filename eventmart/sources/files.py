@@ -110,13 +110,18 @@ def manifest_batches(entries: DataFrame):
 
 
 def manifest_of(files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:
-    """Manifest documents of at most ``batch_size`` files each. Batches are cut inside each
-    partition of the listing, so no group can grow beyond the limit."""
+    """Manifest documents of at most ``batch_size`` files each.
+
+    The listing is ranged by path into about as many parts as there are manifests, and batches
+    are cut inside each part, so no group can grow beyond the limit.
+    """
+    parts = -(-files.count() // batch_size)
+    ranged = files.select("path").repartitionByRange(max(1, parts), "path")
     position = F.col("position")
     inside = position.bitwiseAND(F.lit((1 << 33) - 1))
     entry = F.struct(F.col("path").alias("url"), F.lit(True).alias("mandatory"))
     return (
-        files.select("path", F.monotonically_increasing_id().alias("position"))
+        ranged.withColumn("position", F.monotonically_increasing_id())
         .groupBy(
             F.shiftright(position, 33).alias("part"),
             F.floor(inside / batch_size).alias("batch"),

@@ -70,12 +70,14 @@ def sync(
     """Start an incremental load: each micro-batch becomes one batch of the table.
 
     Without ``interval`` it loads what is there and stops; ``"1 hour"`` keeps it running. The
-    checkpoint remembers the files, the batch id makes a replay harmless, and a batch with too
-    many rejects stays unpublished in the ledger while the next ones go on.
+    checkpoint remembers the files, the batch id (the checkpoint's own id and a number) makes a
+    replay harmless, and a batch with too many rejects stays unpublished in the ledger while the
+    next ones go on.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        batch_id = f"{name}-{number}"
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch_id = f"{name}-{stream}-{number}"
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         rows = transform(batch)
         if set(LOAD_TIME_COLUMNS) <= set(table.schema.names):
