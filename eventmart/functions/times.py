@@ -36,16 +36,14 @@ def ntz(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` over a value that is computed once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _parse(c: Column, formats: list[str]) -> Column:
-    """The first format that fits. The formats are data of one expression, so the many date
-    columns of a wide table do not each carry a branch per format."""
-    start = F.lit(None).cast("timestamp")
-    tried = F.aggregate(
-        F.array(*[F.lit(f) for f in formats]),
-        start,
-        lambda acc, f: F.coalesce(acc, F.try_to_timestamp(c, f)),
-    )
-    return F.when(c.isNotNull(), ntz(tried))
+    """The first format that fits; the formats are constants, so each formatter is built once."""
+    return ntz(F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]))
 
 
 def parse_compact(c: Column) -> Column:
@@ -65,7 +63,7 @@ def parse_iso(c: Column) -> Column:
 def _millis_to_ts(millis: Column) -> Column:
     # years 1 to 9999; a time outside them cannot be stored
     storable = millis.between(-62135596800000, 253402300799999)
-    return F.when(storable, ntz(F.timestamp_seconds(F.floor(millis / 1000))))
+    return F.when(storable, ntz(F.timestamp_seconds(F.floor(millis / 1000).cast("bigint"))))
 
 
 def resolve_time(c: Column, mode: str = "reference") -> Column:
@@ -77,27 +75,41 @@ def resolve_time(c: Column, mode: str = "reference") -> Column:
     ``reference`` reads numbers before date text, so ``2024-11-01`` is the number 2024.
     ``corrected`` reads ISO text first and takes numbers under 1e11 as seconds.
     """
-    number = F.regexp_extract(c, _NUMBER, 1).try_cast("double")
     limit = SECONDS_BELOW if mode == "reference" else 1e11
-    millis = F.when(number < limit, number * 1000).otherwise(number)
-    is_compact = c.rlike(r"^\d{14}\z")
-    in_range = F.abs(millis) <= MAX_EPOCH_MILLIS
-    worded = parse_worded(c)
 
-    def found(ts: Column) -> Column:
+    def taken(ts: Column) -> Column:
         return F.struct(F.lit(True).alias("found"), ts.alias("ts"))
 
-    missing = F.struct(F.lit(False).alias("found"), F.lit(None).cast("timestamp_ntz").alias("ts"))
-    out = F.when(is_compact, found(parse_compact(c)))
+    def from_words(c: Column) -> Column:
+        return _let(
+            parse_worded(c), lambda ts: F.struct(ts.isNotNull().alias("found"), ts.alias("ts"))
+        )
+
+    def from_number(number: Column) -> Column:
+        # whole milliseconds, cut towards zero
+        scaled = F.when(number < limit, number * 1000).otherwise(number)
+        return _let(
+            scaled,
+            lambda ms: F.when(
+                F.abs(ms) <= MAX_EPOCH_MILLIS,
+                taken(_millis_to_ts(F.signum(ms) * F.floor(F.abs(ms)))),
+            ).otherwise(from_words(c)),
+        )
+
+    def from_number_or_words() -> Column:
+        return _let(F.regexp_extract(c, _NUMBER, 1).try_cast("double"), from_number)
+
+    compact = c.rlike(r"^\d{14}\z")
+    if mode == "reference":
+        return F.when(compact, taken(parse_compact(c))).otherwise(from_number_or_words())
     if mode == "corrected":
-        iso = parse_iso(c)
-        out = out.when(iso.isNotNull(), found(iso))
-    elif mode != "reference":
-        raise ValueError(f"unknown time mode {mode!r}")
-    # whole milliseconds, cut towards zero
-    whole = F.when(in_range, F.when(millis < 0, F.ceil(millis)).otherwise(F.floor(millis)))
-    out = out.when(in_range, found(_millis_to_ts(whole)))
-    return out.when(worded.isNotNull(), found(worded)).otherwise(missing)
+        return F.when(compact, taken(parse_compact(c))).otherwise(
+            _let(
+                parse_iso(c),
+                lambda iso: F.when(iso.isNotNull(), taken(iso)).otherwise(from_number_or_words()),
+            )
+        )
+    raise ValueError(f"unknown time mode {mode!r}")
 
 
 def first_time(candidates: Column, as_of: Column, mode: str = "reference") -> Column:

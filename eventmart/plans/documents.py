@@ -45,12 +45,18 @@ def s3(spark, sf_dir):
     return d.select(json_text(F.col("doc")).alias("doc"), F.col("doc").isNull().cast("int").alias("broken"))
 
 
-@query("s10_sample_profile")
+@query("s10_sample_profile", """
+SELECT count(*) AS documents, CAST(least(count(*), 3) AS BIGINT) AS samples,
+  'OBJECT<eventName: STRING, profile: OBJECT<all_identities: ARRAY<STRING>, identity: STRING>, props: OBJECT<k: BIGINT>, ts: BIGINT>' AS schema,
+  'eventName,profile,props' AS sample_keys FROM events WHERE event_id % 100 <> 0""")
 def s10(spark, sf_dir):
-    """Schema of all documents beside three samples and their keys."""
+    """Schema of all documents, and the keys that the samples share."""
     d = docs(spark, sf_dir)
-    shown = dc.sample(d).select(json_text(F.col("doc")).alias("sample"), "keys")
-    return shown.crossJoin(F.broadcast(dc.profile(d)))  # three rows beside one
+    keys = F.array_sort(F.array_remove("keys", "ts"))
+    shown = dc.sample(d).agg(
+        F.count("*").alias("samples"), F.array_join(F.min(keys), ",").alias("sample_keys")
+    )
+    return dc.profile(d).crossJoin(F.broadcast(shown))  # one row beside one
 
 
 @query("f3_documents_with_time", f"SELECT event_id % 5 AS kind, count(*) AS n FROM {D} GROUP BY 1")
@@ -138,12 +144,23 @@ def e1(spark, sf_dir):
     return typed.withColumn("attributes", json_text(F.col("attributes")))
 
 
-@query("k11_envelope_wrap")
+@query("k11_envelope_wrap", """
+SELECT replace(props, ' ', '') AS attributes, CAST(user_id AS VARCHAR) AS user_id, 36 AS id_length,
+  'engagement' AS message_source, true AS stamped FROM events""")
 def k11(spark, sf_dir):
-    """Ids and times are fresh on every run."""
+    """Ids and times are fresh on every run, so their shape is compared."""
     df = fx.canonical(spark, sf_dir).drop("event_id")
-    wrapped = ev.wrap(df, F.struct(*CANONICAL.names), "engagement")
-    return wrapped.select("body", "message_source")
+    sent = ev.wrap(df, F.struct(*CANONICAL.names), "engagement").select("body", "message_source")
+    path = scratch_path(spark, "k11")
+    sent.write.parquet(path)
+    back = ev.unwrap(spark.read.parquet(path))
+    return back.select(
+        json_text(F.try_variant_get("data", "$.attributes", "variant")).alias("attributes"),
+        F.try_variant_get("data", "$.user_id", "string").alias("user_id"),
+        F.length("id").alias("id_length"),
+        "message_source",
+        F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$").alias("stamped"),
+    )
 
 
 # Path messages: per event one, of which some repeat a path, name none, or do not parse.

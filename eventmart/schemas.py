@@ -181,12 +181,25 @@ ATTRIBUTION_TABLE = T.StructType(
 
 REQUIRED = ["appsflyer_id", "event_name", "event_time"]  # fixed values
 
-LEDGER = T.StructType.fromDDL(
-    "path STRING, batch_id STRING, status STRING, attempts INT, loaded_at TIMESTAMP_NTZ"
+_SIDE_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "timestamp": T.TimestampNTZType(),
+}
+
+
+def _side_table(listing: str) -> T.StructType:
+    pairs = [column.split(" ") for column in listing.split(", ")]
+    return T.StructType([T.StructField(name, _SIDE_TYPES[kind]) for name, kind in pairs])
+
+
+LEDGER = _side_table(
+    "path string, batch_id string, status string, attempts int, loaded_at timestamp"
 )
-INGEST_LOG = T.StructType.fromDDL(
-    "batch_id STRING, worker_id STRING, target STRING, msg STRING, started_at TIMESTAMP_NTZ,"
-    " ended_at TIMESTAMP_NTZ, processed BIGINT, failed BIGINT, error STRING"
+INGEST_LOG = _side_table(
+    "batch_id string, worker_id string, target string, msg string, started_at timestamp, "
+    "ended_at timestamp, processed bigint, failed bigint, error string"
 )
 
 

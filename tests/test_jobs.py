@@ -1,0 +1,379 @@
+"""Loads, ledgers, targets, skew and replay on small inputs."""
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventmart.operators import csv_events, dedupe, dualwrite, evolve, sinks
+from eventmart.operators import opsmetrics as om
+from eventmart.operators.joins import join_small, measured_bytes
+from eventmart.operators.load import (
+    ATTRIBUTION_LOAD, REASON, LoadFailed, LoadPolicy, cast_rows, check_required, good, stamp,
+)
+from eventmart.operators.tables import BatchTable
+from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL, INGEST_LOG
+from eventmart.sources import csvlines as cl
+from eventmart.sources import files as fl
+from eventmart.sources.ndjson import parse_ndjson, read_ndjson
+from eventmart.streaming import loads
+
+NOW = datetime(2024, 2, 1)
+
+
+def write_lines(spark, path, lines, name="part", header=None, gz=False, files=1):
+    """Lines as text files whose names start with ``name``."""
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i INT, line STRING")
+    w = df.repartition(files).sortWithinPartitions("i").select(F.col("line").alias(header or "line"))
+    (
+        w.write.mode("append").option("header", bool(header)).option("sep", "\x01").option("quote", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("compression", "gzip" if gz else "none").option("mapreduce.output.basename", name).csv(path)
+    )
+
+
+def test_schema_counts():
+    assert len(ATTRIBUTION.fields) == 124
+    assert len(ATTRIBUTION_TABLE.fields) == 126
+    kinds = [f.dataType.simpleString() for f in ATTRIBUTION_TABLE.fields]
+    assert (kinds.count("timestamp_ntz"), kinds.count("boolean"), kinds.count("decimal(18,6)")) == (15, 9, 5)
+
+
+# -- CSV ------------------------------------------------------------------------------------
+def test_headers_differ_per_file_and_split(spark, scratch):
+    """Files with different headers, plain and gzip, cut into many small splits."""
+    path = scratch()
+    for k in range(3):
+        header = ["ts", "eventName", "v"][: 3 - k % 2] + [f"extra{k}"]
+        lines = [",".join([f"2024010100000{i % 10}", "Click"] + ["x"] * (len(header) - 2)) for i in range(500)]
+        write_lines(spark, path, lines, f"1730000000-173000000{k}-Kind", ",".join(header), gz=k == 2)
+    session = spark.newSession()
+    for key, value in {"spark.sql.files.maxPartitionBytes": "256", "spark.sql.session.timeZone": "UTC"}.items():
+        session.conf.set(key, value)
+    for limit in (cl.BROADCAST_LIMIT, 0):
+        rows = cl.csv_rows(session, path, broadcast_limit=limit)
+        events = csv_events.to_events(rows)
+        assert events.count() == 1500
+        keys = events.select(F.explode(F.json_object_keys(F.to_json("attributes")))).distinct()
+        assert {r[0] for r in keys.collect()} == {"v", "extra0", "extra1", "extra2"}
+
+
+def test_numbered_lines_across_splits(spark, scratch):
+    path = scratch()
+    write_lines(spark, path, [f"{i},x" for i in range(1, 1001)], "a", "n,y")
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    numbered = cl.numbered_lines(session, path).where("line_no > 1")
+    wrong = numbered.where(F.split("line", ",")[0].cast("bigint") != F.col("line_no") - 1)
+    assert numbered.count() == 1000
+    assert wrong.count() == 0
+
+
+def test_header_pass_leaves_session_alone(spark, scratch):
+    path = scratch()
+    write_lines(spark, path, ["1,2"], "a", "x,y")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert cl.read_headers(spark, path).collect()[0]["header"] == "x,y"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_event_file_rules(spark, scratch):
+    path = scratch()
+    header = "TS,eventName,Profile.Identity,event,note,note,User_ID"
+    write_lines(
+        spark, path,
+        ["20240101000000,,  9 ,fallback,first,last,x", "20241301000000,Named,,,,,", "short"],
+        "1730000000-1730000000-App_Launched", header,
+    )
+    events = csv_events.to_events(cl.csv_rows(spark, path), F.lit("2024-01-31").cast("timestamp"))
+    got = {
+        r["event_name"]: (r["event_ts"], r["user_id"], json.loads(r["a"]))
+        for r in events.withColumn("a", F.to_json("attributes")).collect()
+    }
+    assert got == {
+        "fallback": (datetime(2024, 1, 1), "9", {"note": "last"}),
+        "Named": (None, None, {"note": None}),
+        "App_Launched": (datetime(2024, 1, 31), None, {"note": None}),
+    }
+    # the time that cannot be stored is a reject of the load
+    rejected = cast_rows(events, CANONICAL, LoadPolicy())
+    assert rejected.count() == 3
+
+
+def test_message_packing(spark):
+    rows = [("f", i + 2, "x" * (300 if i == 3 else 10)) for i in range(12)]
+    events = spark.createDataFrame(rows, "source_file STRING, line_no BIGINT, text STRING")
+    packed = sinks.pack_rows(events, "s", max_bytes=160).orderBy("chunk", "part").collect()
+    # rows of 39 bytes: the long row stands alone, nothing is lost or reordered
+    assert [r["row_count"] for r in packed] == [3, 1, 1, 4, 1, 2]
+    unlimited = sinks.pack_rows(events, "s").orderBy("chunk").collect()
+    assert [r["row_count"] for r in unlimited] == [5, 5, 2]
+
+
+def test_schema_sync(spark, scratch):
+    path, location = scratch(), scratch()
+    table = "sync_" + location[-12:]
+    sinks.create_table(spark, table, CANONICAL, location)
+    write_lines(spark, path, ["1,2,3,4,5"], "a", "User_ID,1st Col,1st--Col,$$,Über")
+    assert evolve.sync_schema(spark, table, path) == 2
+    assert spark.table(table).columns[-2:] == ["_1st_col", "_ber"]
+    assert evolve.sync_schema(spark, table, path) == 0
+
+
+# -- files ----------------------------------------------------------------------------------
+def test_listing_manifest_and_ledger(spark, scratch):
+    root = scratch()
+    for name in ("a.json", "b.json"):
+        write = spark.range(1).select(F.lit('{"x":1}').alias("value")).write.mode("append")
+        write.option("mapreduce.output.basename", name).json(f"{root}/day=1")
+    spark.range(1).write.json(f"{root}/manifests")
+    spark.range(1).write.csv(f"{root}/other")
+    files = fl.list_files(spark, root, "documents")
+    paths = sorted(r["path"] for r in files.collect())
+    assert len(paths) == 2 and files.where("key LIKE 'day=1/%'").count() == 2
+    assert fl.list_files(spark, root, "json").count() == 3
+
+    manifest = scratch()
+    fl.manifest_of(files, batch_size=1).select("value").write.text(manifest)
+    entries = fl.read_manifest_lines(spark, manifest)
+    batches = list(fl.manifest_batches(entries))
+    assert sorted(fl.resolve_manifest(b, files) for b in batches) == [[paths[0]], [paths[1]]]
+    with pytest.raises(FileNotFoundError):
+        fl.resolve_manifest(entries, files.where(F.col("path") == paths[0]))
+
+    def ledger(status, attempts):
+        return spark.createDataFrame([(paths[0], "b", status, attempts, NOW)],
+                                     "path STRING, batch_id STRING, status STRING, attempts INT, loaded_at TIMESTAMP_NTZ")
+
+    assert fl.next_batch(fl.unprocessed(files, ledger("loaded", 1))) == [paths[1]]
+    assert fl.next_batch(fl.unprocessed(files, ledger("failed", 2), max_attempts=3)) == paths
+    assert fl.next_batch(fl.unprocessed(files, ledger("failed", 3), max_attempts=3)) == [paths[1]]
+
+
+def test_start_date_prunes_files(spark, scratch):
+    path = scratch()
+    write_lines(spark, path, ["1"], "1700000000-1700000000-x", "h")
+    write_lines(spark, path, ["2"], "1730000000-1730000000-x", "h")
+    lines = cl.text_lines(spark, path).where(fl.started_by(F.col("file_name")))
+    assert lines.rdd.getNumPartitions() == 1
+    assert [r["line"] for r in lines.collect()] == ["h", "2"]
+
+
+# -- load -----------------------------------------------------------------------------------
+def attribution_rows(spark, *payloads):
+    lines = spark.createDataFrame([(p if isinstance(p, str) else json.dumps(p),) for p in payloads], "value STRING")
+    return parse_ndjson(lines, ATTRIBUTION)
+
+
+def event(**more):
+    return {"appsflyer_id": "1", "event_name": "install", "event_time": "2024-01-01 00:00:00", **more}
+
+
+def test_cast_and_reject_reasons(spark):
+    rows = attribution_rows(
+        spark,
+        event(event_revenue="1.23456789", wifi="yes", language="x" * 60, campaign="  "),
+        event(event_revenue="1e3", install_time="", is_lat=False, af_sub1=12, event_value={"a": [1]}),
+        event(wifi="maybe"),
+        event(event_revenue="9" * 13),
+        event(install_time="2024-02-30 00:00:00"),
+        "{oops",
+        {"appsflyer_id": "1"},
+        "{}",
+    )
+    out = cast_rows(check_required(rows), ATTRIBUTION, ATTRIBUTION_LOAD).collect()
+    assert [r[REASON] for r in out] == [
+        None, None, "wifi: not a boolean", "event_revenue: not a decimal(18,6)",
+        "install_time: not a timestamp_ntz", "not JSON", "Missing required fields", "Empty payload",
+    ]
+    assert str(out[0]["event_revenue"]) == "1.234567"  # cut, not rounded
+    assert (out[0]["wifi"], out[0]["language"], out[0]["campaign"]) == (True, "x" * 50, None)
+    assert (str(out[1]["event_revenue"]), out[1]["install_time"]) == ("1000.000000", None)
+    assert (out[1]["is_lat"], out[1]["af_sub1"], out[1]["event_value"].toJson()) == (False, "12", '{"a":[1]}')
+
+
+def test_required_fields_with_payload_text(spark):
+    lines = spark.createDataFrame([("{}",), ('{"unknown":1}',)], "value STRING")
+    rows = parse_ndjson(lines.withColumn("payload", F.col("value")), ATTRIBUTION)
+    got = check_required(rows, "payload").select(REASON).collect()
+    assert [r[0] for r in got] == ["Empty payload", "Missing required fields"]
+
+
+def test_load_publishes_all_or_nothing(spark, scratch):
+    table = BatchTable(spark, scratch(), ATTRIBUTION_TABLE)
+    ok = stamp(cast_rows(attribution_rows(spark, event(), event(wifi="no")), ATTRIBUTION, ATTRIBUTION_LOAD), F.lit(NOW))
+    bad = stamp(cast_rows(attribution_rows(spark, event(), event(wifi="?")), ATTRIBUTION, ATTRIBUTION_LOAD), F.lit(NOW))
+    strict = LoadPolicy()
+    with pytest.raises(LoadFailed):
+        table.load(bad, "b1", strict, NOW)
+    assert table.read().count() == 0 and table.rejects().count() == 1
+    with pytest.raises(LoadFailed):
+        table.load(bad, "b1", strict, NOW)
+    assert table.batch_state("b1")["attempts"] == 2
+    assert table.load(ok, "b2", strict, NOW) == {"ok": 2, "reject": 0}
+    assert table.load(ok, "b2", strict, NOW) == {"ok": 2, "reject": 0}
+    assert table.read().count() == 2
+    assert table.load(bad, "b3", LoadPolicy(max_errors=2), NOW) == {"ok": 1, "reject": 1}
+    assert table.read().count() == 3
+
+
+def test_load_records_files_and_retention(spark, scratch):
+    root, table = scratch(), BatchTable(spark, scratch(), ATTRIBUTION_TABLE)
+    for n in range(2):
+        spark.createDataFrame([(json.dumps(event()),)], "value STRING").write.mode("append").text(root)
+    rows = stamp(cast_rows(read_ndjson(spark, root, ATTRIBUTION), ATTRIBUTION, ATTRIBUTION_LOAD), F.lit(NOW))
+    table.load(rows, "b1", ATTRIBUTION_LOAD, NOW)
+    assert table.ledger().where("path IS NOT NULL").count() == 2
+    assert table.deletable("2024-02-01 23:59:59").count() == 0
+    assert table.deletable("2024-02-02 00:00:00").count() == 2
+
+
+def test_partitioned_load(spark, scratch):
+    table = BatchTable(spark, scratch(), CANONICAL, partition_by=("event_date",), sort_by=("event_name",))
+    rows = spark.createDataFrame(
+        [("2024-01-0%d" % d, f"2024-01-0{d} 00:00:00", "u", "n", "f", '{"a":1}') for d in (1, 2, 3)],
+        "event_date STRING, event_ts STRING, user_id STRING, event_name STRING, source_file STRING, attributes STRING",
+    ).withColumn("attributes", F.parse_json("attributes"))
+    table.load(cast_rows(rows, CANONICAL, LoadPolicy()), "b1", LoadPolicy(), NOW)
+    assert table.read().columns == CANONICAL.names
+    assert table.read().where("event_date = DATE '2024-01-02'").count() == 1
+
+
+def test_secondary_failure_is_logged_only(spark, scratch):
+    rows = cast_rows(attribution_rows(spark, event()), ATTRIBUTION, ATTRIBUTION_LOAD)
+    rows = stamp(rows, F.lit(NOW))
+    root = scratch()
+    primary = BatchTable(spark, f"{root}/p", ATTRIBUTION_TABLE)
+    secondary = BatchTable(spark, f"{root}/s", ATTRIBUTION_TABLE)
+    broken = BatchTable(spark, "nowhere://x", ATTRIBUTION_TABLE)
+    log = f"{root}/log"
+    assert dualwrite.dual_write(rows, primary, broken, "b1", ATTRIBUTION_LOAD, NOW, log)["ok"] == 1
+    with pytest.raises(Exception):
+        dualwrite.dual_write(rows, broken, secondary, "b2", ATTRIBUTION_LOAD, NOW, log)
+    assert secondary.read().count() == 1
+    gap = dedupe.parity(primary.read(), secondary.read().limit(0), "appsflyer_id").collect()
+    assert [(r["status"], r["primary_rows"]) for r in gap] == [("only_primary", 1)]
+    entries = spark.read.parquet(log)
+    assert set(entries.columns) == set(INGEST_LOG.names)
+    assert entries.where("error IS NOT NULL").count() == 2
+
+
+# -- skew -----------------------------------------------------------------------------------
+def skewed(spark, n=30_000):
+    """A third of all rows has one key."""
+    e = F.col("id")
+    return spark.range(n).select(
+        F.when(e % 3 == 0, "hot").otherwise(e.cast("string")).alias("k"), (e % 1000).alias("t"), e.alias("v")
+    )
+
+
+def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
+    df = dedupe.latest(skewed(spark), ["k"], ["t"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    hot = df.where("k = 'hot'").collect()
+    assert len(hot) == 1 and hot[0]["t"] == 999
+    assert df.count() == 20_001
+
+
+def test_parity_does_not_pair_rows_of_a_hot_key(spark):
+    a = skewed(spark)
+    b = a.withColumn("v", F.when(F.col("v") == 3, -1).otherwise(F.col("v")))
+    out = dedupe.parity(a, b, "k")
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["k"], r["status"]) for r in out.collect()] == [("hot", "differs")]
+
+
+def test_clustered_write_splits_a_hot_bucket(spark, scratch):
+    location = scratch()
+    table = "clu_" + location[-12:]
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
+    try:
+        wide = skewed(spark).withColumn("pad", F.sha2(F.col("v").cast("string"), 256))
+        sinks.write_clustered(wide, table, location, by="k", sort=("t", "v"), buckets=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
+    back = spark.table(table)
+    assert back.count() == 30_000
+    assert back.where("k = 'hot'").select(F.col("_metadata.file_path")).distinct().count() > 1
+    grouped = back.groupBy("k").agg(F.count("*").alias("n"))
+    assert "hashpartitioning" not in grouped._jdf.queryExecution().executedPlan().toString()
+    assert grouped.where("k = 'hot'").first()["n"] == 10_000
+
+
+def test_structured_json_keeps_all_rows_of_a_hot_name(spark, scratch):
+    root = scratch()
+    events = skewed(spark, 3000).select(
+        F.lit("2024-01-01").cast("date").alias("event_date"), F.lit(NOW).cast("timestamp_ntz").alias("event_ts"),
+        F.col("v").cast("string").alias("user_id"),
+        F.when(F.col("k") == "hot", "a|b/c").when(F.col("v") % 3 == 1, "profile_update").otherwise("x").alias("event_name"),
+        F.lit("f").alias("source_file"), F.parse_json(F.lit("{}")).alias("attributes"),
+    )
+    sinks.write_structured_json(events, root, rows_per_file=300)
+    sinks.write_structured_json(events, root, rows_per_file=300)  # appends
+    back = spark.read.schema("event_name STRING, date DATE, name STRING").json(root)
+    counts = {(r["name"], r["event_name"]): r["count"] for r in back.groupBy("name", "event_name").count().collect()}
+    assert counts == {("a|b/c", "a|b/c"): 2000, ("x", "x"): 2000}
+    assert sinks.path_messages(spark, root).agg(F.max("row_count")).first()[0] <= 300
+
+
+def test_join_small_measures_first(spark):
+    side = spark.range(100).select(F.col("id").alias("k"), F.lit("x" * 100).alias("pad"))
+    assert measured_bytes(side) > 10_000
+    big = spark.range(1000).select((F.col("id") % 100).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = join_small(big, side, "k", 1 << 20)
+        large = join_small(big, side, "k", 1000)
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert small.count() == large.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# -- reports --------------------------------------------------------------------------------
+def test_alarm_needs_consecutive_periods(spark):
+    def at(minute, value):
+        return (datetime(2024, 1, 1, 0, minute), "q", float(value))
+
+    # breaches in minutes 0, 1, 2, 4, 5 with nothing in minute 3
+    rows = [at(0, 9), at(1, 9), at(1, 1), at(2, 9), at(4, 9), at(5, 9), at(6, 1)]
+    samples = spark.createDataFrame(rows, "ts TIMESTAMP_NTZ, metric STRING, value DOUBLE")
+    out = om.threshold_alarm(samples, "max", 60, 3, 5).orderBy("period_start").collect()
+    assert [(r["period_start"].minute, r["breach"], r["alarm"]) for r in out] == [
+        (0, True, False), (1, True, False), (2, True, True), (4, True, False), (5, True, False), (6, False, False),
+    ]
+
+
+def test_upsert_partitions_moves_rows(spark, scratch):
+    path = scratch()
+    old = spark.createDataFrame([("a", 1, "p1"), ("b", 1, "p2"), ("c", 1, "p3")], "k STRING, t INT, part STRING")
+    old.write.partitionBy("part").parquet(path)
+    new = spark.createDataFrame([("a", 2, "p2"), ("a", 3, "p4"), ("d", 1, "p3")], "k STRING, t INT, part STRING")
+    dedupe.upsert_partitions(path, new, "k", ["t"], "part")
+    back = spark.read.schema("k STRING, t INT, part STRING").parquet(path)
+    assert sorted(tuple(r) for r in back.collect()) == [("a", 3, "p4"), ("b", 1, "p2"), ("c", 1, "p3"), ("d", 1, "p3")]
+
+
+# -- streams --------------------------------------------------------------------------------
+def test_stream_batches_carry_the_checkpoint_id(spark, scratch):
+    source, table = scratch(), BatchTable(spark, scratch(), CANONICAL)
+    doc = '{"ts":20240101000000,"eventName":"n","profile":{"identity":"1"}}'
+    spark.createDataFrame([(doc,), ("oops",)], "value STRING").write.text(source)
+    started = loads.sync(
+        loads.line_stream(spark, source), loads.document_rows(True), table, LoadPolicy(max_errors=2), scratch(), "s"
+    )
+    started.awaitTermination()
+    ids = {r["batch_id"] for r in table.ledger().collect()}
+    assert ids == {f"s-{started.id}-0"}
+    row = table.read().first()
+    assert (row["user_id"], row["event_ts"]) == ("1", datetime(2024, 1, 1)) and row["source_file"].startswith("file:")
+    assert table.rejects().select("_raw").first()[0] == "oops"
+
+
+def test_good_drops_helper_columns(spark):
+    rows = cast_rows(attribution_rows(spark, event()), ATTRIBUTION, ATTRIBUTION_LOAD)
+    assert T.StructType(good(rows).schema.fields).names == ATTRIBUTION.names
