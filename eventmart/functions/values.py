@@ -44,7 +44,8 @@ def truncate_bytes_sql(c: str, limit: int) -> str:
         f"get(filter(transform(array({cuts}), n -> CAST(left(CAST({c} AS BINARY), n) AS STRING)),"
         " s -> is_valid_utf8(s)), 0)"
     )
-    return f"CASE WHEN octet_length({c}) <= {limit} THEN {c} ELSE {whole} END"
+    # null is not longer than the limit: it must not reach the costly branch
+    return f"CASE WHEN octet_length({c}) > {limit} THEN {whole} ELSE {c} END"
 
 
 def blank_as_null_sql(c: str) -> str:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +68,7 @@ class BatchTable:
     def counts(self, batch_id: str) -> dict[str, int]:
         """Rows and rejects of a staged batch, from what is stored: no rerun of the input, and
         nothing counted twice when tasks are retried."""
-        rows = self._data().where(F.col("batch_id") == batch_id).groupBy("load_status").count()
+        rows = self._staged(batch_id).groupBy("load_status").count()
         found = {r["load_status"]: r["count"] for r in rows.collect()}  # at most two rows
         return {"ok": found.get("ok", 0), "reject": found.get("reject", 0)}
 
@@ -83,8 +84,8 @@ class BatchTable:
         This publishes or fails the batch. The files are those named, else those the staged
         rows came from."""
         if files is None:
-            staged = self._data().where(F.col("batch_id") == batch_id)
-            files = staged.select(F.col(SOURCE).alias("path")).where("path IS NOT NULL").distinct()
+            sources = self._staged(batch_id).select(F.col(SOURCE).alias("path"))
+            files = sources.where("path IS NOT NULL").distinct()
         # the batch's own entry, without a path, is there even if the batch has no rows
         own = self.spark.range(1).select(F.lit(None).cast("string").alias("path"))
         files = files.select("path").unionByName(own)
@@ -125,19 +126,30 @@ class BatchTable:
         return counts
 
     # -- reading ------------------------------------------------------------------------
-    def _data(self) -> DataFrame:
-        fs_schema = T.StructType(
+    def _stored_schema(self) -> T.StructType:
+        return T.StructType(
             [f for f in self._stored.fields if f.name not in self.partition_by]
             + [self.schema[c] for c in self.partition_by]
         )
-        return _read_or_empty(self.spark, f"{self.root}/data", fs_schema)
+
+    def _data(self) -> DataFrame:
+        path = f"{self.root}/data"
+        return _read_or_empty(self.spark, [path], path, self._stored_schema())
+
+    def _staged(self, batch_id: str) -> DataFrame:
+        """One batch, from its own folders: other batches are not even listed."""
+        base = f"{self.root}/data"
+        folders = [f"{base}/load_status={s}/batch_id={batch_id}" for s in ("ok", "reject")]
+        return _read_or_empty(self.spark, folders, base, self._stored_schema())
 
     def ledger(self) -> DataFrame:
-        return _read_or_empty(self.spark, f"{self.root}/ledger", LEDGER).select(*LEDGER.names)
+        path = f"{self.root}/ledger"
+        return _read_or_empty(self.spark, [path], path, LEDGER).select(*LEDGER.names)
 
     def batch_state(self, batch_id: str):
-        own = self.ledger().where((F.col("batch_id") == batch_id) & F.col("path").isNull())
-        return own.select("status", "attempts").first()
+        base = f"{self.root}/ledger"
+        own = _read_or_empty(self.spark, [f"{base}/batch_id={batch_id}"], base, LEDGER)
+        return own.where("path IS NULL").select("status", "attempts").first()
 
     def _published(self) -> DataFrame:
         loaded = self.ledger().where(F.col("status") == "loaded").select("batch_id").distinct()
@@ -162,12 +174,21 @@ class BatchTable:
         )
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _read_or_empty(
+    spark: SparkSession, paths: list[str], base: str, schema: T.StructType
+) -> DataFrame:
+    """The folders that exist; a table nobody has written to has no rows."""
+    reader = spark.read.schema(schema).option("basePath", base)
+    found = []
+    for path in paths:
+        try:
+            found.append(reader.parquet(path))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if not found:
         return spark.createDataFrame([], schema)
+    out = found[0]
+    for other in found[1:]:
+        out = out.unionByName(other)
+    return out

@@ -16,8 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # REBALANCE shuffles split a hot (date, name) or bucket into pieces of the advisory size
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # the wide event table has 126 columns; the default of 100 would switch codegen off
-    "spark.sql.codegen.maxFields": "200",
+    # HotSpot does not compile methods beyond 8000 bytes of bytecode; wide stages that would
+    # need one run faster on generated projections, which are split into small methods
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
     # writes replace only the partitions they produce
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

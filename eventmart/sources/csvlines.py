@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.csvtext import split_fields
 from eventmart.functions.values import empty_as_null
 from eventmart.operators.joins import join_small
-from eventmart.session import materialize, scratch_path
+from eventmart.session import scratch_path
 
 # ---- fixed values -----------------------------------------------------------------------
 TIME_COLUMNS = ["ts", "timestamp", "event_time", "time", "event_ts", "profileattr.created_time"]
@@ -123,16 +123,31 @@ def with_layout(
     """Give every line its file's layout.
 
     Files share few distinct headers, so there are two tables: file -> header id, and header
-    id -> layout, one row per distinct header. Each is broadcast only when its measured size
-    allows. Beyond that the join shuffles, and adaptive execution splits a file that dominates.
+    id -> layout, one row per distinct header. Both are measured in one pass over the headers,
+    and each is broadcast only when it is small enough. Beyond that the join shuffles, and
+    adaptive execution splits a file that dominates.
     """
-    distinct = headers.select("header").distinct()
-    dictionary = materialize(
-        layouts(distinct.withColumn("header_id", F.monotonically_increasing_id())), "layouts"
+    by_header = headers.groupBy("header").agg(
+        F.sum(F.octet_length("file_path") + 32).alias("map_bytes"),
+        # names in four forms, and a few positions per name
+        (F.max(F.octet_length("header")) * 8 + 1024).alias("layout_bytes"),
     )
-    file_map = headers.join(dictionary.select("header", "header_id"), "header").drop("header")
-    lines = join_small(lines, file_map, "file_path", broadcast_limit)
-    return join_small(lines, dictionary, "header_id", broadcast_limit)
+    sizes = by_header.agg(
+        F.sum("map_bytes").alias("map"),
+        F.sum("layout_bytes").alias("layout"),
+        F.count("*").alias("headers"),
+        F.count_distinct(F.xxhash64("header")).alias("ids"),
+    ).first()
+    if sizes["headers"] != sizes["ids"]:
+        raise ValueError("two headers have one id")
+    header_id = F.xxhash64("header").alias("header_id")
+    dictionary = layouts(headers.select("header").distinct().select("header", header_id))
+    file_map = headers.select("file_path", header_id)
+    if (sizes["map"] or 0) <= broadcast_limit:
+        file_map = F.broadcast(file_map)
+    if (sizes["layout"] or 0) <= broadcast_limit:
+        dictionary = F.broadcast(dictionary)
+    return lines.join(file_map, "file_path").join(dictionary, "header_id")
 
 
 def data_lines(lines: DataFrame) -> DataFrame:
