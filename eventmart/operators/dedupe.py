@@ -42,7 +42,8 @@ def unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Target without the updated keys, plus the latest update of each key."""
     newest = latest(updates, [key], order)
-    kept = target.join(newest.select(key), key, "left_anti")
+    # the keys alone need no ranking
+    kept = target.join(updates.select(key).distinct(), key, "left_anti")
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 

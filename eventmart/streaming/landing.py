@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.operators.load import REASON, check_required
-from eventmart.schemas import ATTRIBUTION
+from eventmart.schemas import ATTRIBUTION, REQUIRED
 from eventmart.sources.ndjson import parse_ndjson
 
 # Fixed values.
@@ -25,12 +26,10 @@ def payload_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 def accepted(payloads: DataFrame) -> DataFrame:
     """Payload texts that pass the receiving check."""
-    checked = parse_ndjson(
-        payloads.select("value", F.col("value").alias("payload")), ATTRIBUTION
-    )
-    return (
-        check_required(checked, "payload").where(F.col(REASON).isNull()).select(F.col("payload").alias("value"))
-    )
+    wanted = T.StructType([ATTRIBUTION[c] for c in REQUIRED])  # only these are parsed
+    parsed = parse_ndjson(payloads.select("value", F.col("value").alias("payload")), wanted)
+    passed = check_required(parsed, "payload").where(F.col(REASON).isNull())
+    return passed.select(F.col("payload").alias("value"))
 
 
 def land(
