@@ -430,16 +430,31 @@ def d4(spark, sf_dir):
 
 
 @query("d6_schema_sync", """
-SELECT CAST(18 AS BIGINT) AS columns, CAST(12 AS BIGINT) AS added, CAST(0 AS BIGINT) AS added_again
-WHERE (SELECT count(*) FROM events) > 0""")
+SELECT segment, clevertapid, count(*) AS n, CAST(18 AS BIGINT) AS columns, CAST(0 AS BIGINT) AS added_again FROM (
+  SELECT c_mktsegment AS segment, 'ct' || c_custkey AS clevertapid FROM customer
+  UNION ALL SELECT NULL, NULL FROM events) GROUP BY ALL""")
 def d6(spark, sf_dir):
-    """Headers of all exports become columns of the table; a second run adds none."""
+    """Headers of all exports become columns of the table, which then takes the rows; a second
+    run adds none."""
     table = _wide_table(spark, "d6")
     root = fx.csv_exports(spark, sf_dir)
-    added = evolve.sync_schema(spark, table, root)
+    evolve.sync_schema(spark, table, root)
     again = evolve.sync_schema(spark, table, root)
-    width = len(spark.table(table).columns)
-    return spark.createDataFrame([(width, added, again)], "columns BIGINT, added BIGINT, added_again BIGINT")
+    found = rows(spark, sf_dir)
+    flat = {
+        c: F.element_at(
+            F.transform_keys(cl.row_map(), lambda k, _: F.coalesce(safe_column_name(k), k)), c
+        )
+        for c in ("segment", "clevertapid")
+    }
+    target = spark.table(table)
+    found = found.select(*[v.alias(c) for c, v in flat.items()])
+    ld.project_to(found, target.schema).write.insertInto(table)
+    return spark.table(table).groupBy("segment", "clevertapid").agg(
+        F.count("*").alias("n"),
+        F.lit(len(target.columns)).cast("bigint").alias("columns"),
+        F.lit(again).cast("bigint").alias("added_again"),
+    )
 
 
 @query("d5_add_columns", """

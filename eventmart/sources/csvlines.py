@@ -158,30 +158,48 @@ def data_lines(lines: DataFrame) -> DataFrame:
     return lines.where(~((F.col("block_start") == 0) & (F.col("line") == F.col("header"))))
 
 
+def repeated_headers(lines: DataFrame) -> DataFrame:
+    """Data lines that repeat their file's header in its first split: all but one of the lines
+    there that equal the header. They are equal texts, so it does not matter which one goes."""
+    same = lines.where((F.col("block_start") == 0) & (F.col("line") == F.col("header")))
+    counts = same.groupBy("file_path").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    copies = F.explode(F.sequence(F.lit(2), F.col("n")))
+    keys = counts.select("file_path", copies.alias("_copy")).drop("_copy")
+    one = same.dropDuplicates(["file_path"])
+    return keys.join(one, "file_path").select(*lines.columns)
+
+
 def csv_rows(
     spark: SparkSession,
     paths: str | list[str],
     file_filter=None,
     broadcast_limit: int = BROADCAST_LIMIT,
+    keep_repeated_headers: bool = False,
 ) -> DataFrame:
     """Parsed data rows of CSV files: source file, fields and the layout columns.
 
-    ``file_filter`` takes the file-name column; files it rejects are never opened.
+    ``file_filter`` takes the file-name column; files it rejects are never opened. A line that
+    repeats the header is left out, or kept as a row at the price of a second read of the text.
     """
     lines = text_lines(spark, paths)
     if file_filter is not None:
         lines = lines.where(file_filter(F.col("file_name")))
-    headers = read_headers(spark, paths, file_filter)
-    return parse_lines(with_layout(lines, headers, broadcast_limit))
+    lines = with_layout(lines, read_headers(spark, paths, file_filter), broadcast_limit)
+    data = data_lines(lines)
+    if keep_repeated_headers:
+        data = data.unionByName(repeated_headers(lines))
+    return _fields_of(data)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines with a layout -> rows with ``fields``."""
-    keep = [c for c in ("line_no",) if c in lines.columns]
-    return (
-        data_lines(lines)
-        .withColumn("fields", split_fields(F.col("line")))
-        .select(F.col("file_path").alias("source_file"), *keep, "fields", *LAYOUT_COLUMNS)
+    return _fields_of(data_lines(lines))
+
+
+def _fields_of(data: DataFrame) -> DataFrame:
+    keep = [c for c in ("line_no",) if c in data.columns]
+    return data.withColumn("fields", split_fields(F.col("line"))).select(
+        F.col("file_path").alias("source_file"), *keep, "fields", *LAYOUT_COLUMNS
     )
 
 

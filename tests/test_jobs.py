@@ -79,6 +79,15 @@ def test_header_pass_leaves_session_alone(spark, scratch):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_repeated_header_lines(spark, scratch):
+    path = scratch()
+    write_lines(spark, path, ["1,2", "x,y", "x,y", "3,4"], "a", "x,y")
+    write_lines(spark, path, ["1,2"], "b", "x,y")
+    assert cl.csv_rows(spark, path).count() == 3
+    kept = cl.csv_rows(spark, path, keep_repeated_headers=True)
+    assert kept.count() == 5 and kept.where(F.get("fields", F.lit(0)) == "x").count() == 2
+
+
 def test_event_file_rules(spark, scratch):
     path = scratch()
     header = "TS,eventName,Profile.Identity,event,note,note,User_ID"
