@@ -60,7 +60,8 @@ def upsert_partitions(
 
     spark = updates.sparkSession
     newest = materialize(latest(updates, [key], order), "updates")
-    target = spark.read.parquet(path)
+    # the updates' schema, so that partition names keep their type
+    target = spark.read.schema(updates.schema).parquet(path)
     touched = (
         target.join(newest.select(key), key, "left_semi")
         .select(partition)
@@ -90,8 +91,11 @@ def upsert_partitions(
 def _drop_partitions(path: str, values: DataFrame, partition: str) -> None:
     spark = values.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for row in values.toLocalIterator():  # partition names, one at a time
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={row[0]}")
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in values.select(F.col(partition).cast("string")).toLocalIterator():  # one at a time
+        folder = jvm.org.apache.hadoop.fs.Path(
+            f"{path}/{names.getPartitionPathString(partition, row[0])}"
+        )
         folder.getFileSystem(conf).delete(folder, True)
 
 

@@ -46,17 +46,19 @@ def s3(spark, sf_dir):
 
 
 @query("s10_sample_profile", """
-SELECT count(*) AS documents, CAST(least(count(*), 3) AS BIGINT) AS samples,
-  'OBJECT<eventName: STRING, profile: OBJECT<all_identities: ARRAY<STRING>, identity: STRING>, props: OBJECT<k: BIGINT>, ts: BIGINT>' AS schema,
-  'eventName,profile,props' AS sample_keys FROM events WHERE event_id % 100 <> 0""")
+SELECT 'profile' AS part, count(*) AS n,
+  'OBJECT<eventName: STRING, profile: OBJECT<all_identities: ARRAY<STRING>, identity: STRING>, props: OBJECT<k: BIGINT>, ts: BIGINT>' AS content
+FROM events WHERE event_id % 100 <> 0
+UNION ALL SELECT 'sample', CAST(least(count(*), 3) AS BIGINT), 'eventName,profile,props' FROM events WHERE event_id % 100 <> 0""")
 def s10(spark, sf_dir):
     """Schema of all documents, and the keys that the samples share."""
     d = docs(spark, sf_dir)
-    keys = F.array_sort(F.array_remove("keys", "ts"))
-    shown = dc.sample(d).agg(
-        F.count("*").alias("samples"), F.array_join(F.min(keys), ",").alias("sample_keys")
+    keys = F.array_join(F.array_sort(F.array_remove("keys", "ts")), ",")
+    shown = dc.sample(d).agg(F.count("*").alias("n"), F.min(keys).alias("content"))
+    whole = dc.profile(d).select(F.col("documents").alias("n"), F.col("schema").alias("content"))
+    return whole.withColumn("part", F.lit("profile")).unionByName(
+        shown.withColumn("part", F.lit("sample"))
     )
-    return dc.profile(d).crossJoin(F.broadcast(shown))  # one row beside one
 
 
 @query("f3_documents_with_time", f"SELECT event_id % 5 AS kind, count(*) AS n FROM {D} GROUP BY 1")

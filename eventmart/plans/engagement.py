@@ -113,9 +113,12 @@ SELECT file_label, event_id FROM (SELECT *, row_number() OVER (PARTITION BY file
 def s11(spark, sf_dir):
     """The first 20 rows of every event file."""
     root = fx.csv_exports(spark, sf_dir)
-    lines = cl.text_lines(spark, root).where(fl.started_by(F.col("file_name")))
-    lines = cl.first_rows(lines.where(F.col("file_name").contains("Push_Sent")), 20)
-    parsed = cl.parse_lines(cl.with_layout(lines, cl.read_headers(spark, root, fl.started_by)))
+
+    def wanted(name):
+        return fl.started_by(name) & name.contains("Push_Sent")
+
+    lines = cl.first_rows(spark, root, 20, wanted)
+    parsed = cl.parse_lines(cl.with_layout(lines, cl.read_headers(spark, root, wanted)))
     note = leading_integer(F.regexp_extract(cl.lookup("note"), r"(\d+)$", 1))
     return parsed.select(file_label().alias("file_label"), note.alias("event_id"))
 

@@ -256,9 +256,22 @@ def numbered_lines(spark: SparkSession, paths: str | list[str], file_filter=None
     )
 
 
-def first_rows(lines: DataFrame, rows: int) -> DataFrame:
-    """Header plus the first ``rows`` data lines of each file; each task keeps at most that
-    many per file before anything is shuffled."""
+RANKED_ROWS = 999  # beyond this a per-file ranking is not cut down before its shuffle
+
+
+def first_rows(
+    spark: SparkSession, paths: str | list[str], rows: int, file_filter=None
+) -> DataFrame:
+    """Header plus the first ``rows`` data lines of each file.
+
+    A short head is ranked: each task keeps that many lines per file and split before the
+    shuffle. A long one is cut from numbered lines, so that no task has to hold a file.
+    """
+    if rows > RANKED_ROWS - 1:
+        return numbered_lines(spark, paths, file_filter).where(F.col("line_no") <= rows + 1)
+    lines = text_lines(spark, paths)
+    if file_filter is not None:
+        lines = lines.where(file_filter(F.col("file_name")))
     order = Window.partitionBy("file_path").orderBy("block_start", "row_id")
     return (
         lines.withColumn("row_id", F.monotonically_increasing_id())
