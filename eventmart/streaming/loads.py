@@ -75,11 +75,10 @@ def sync(
     next ones go on.
     """
 
-    def load(batch: DataFrame, number: int) -> None:
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    def load(rows: DataFrame, number: int) -> None:
+        stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch_id = f"{name}-{stream}-{number}"
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        rows = transform(batch)
         if set(LOAD_TIME_COLUMNS) <= set(table.schema.names):
             rows = stamp(rows, F.lit(now))
         try:
@@ -89,7 +88,8 @@ def sync(
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
-        lines.writeStream.foreachBatch(load)
+        transform(lines)  # no state: the same plan serves every batch
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
