@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest data set."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -9,7 +10,11 @@ import __spark_entry__ as driver
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+# the training-data operators have their own tests in tests/llm
+QUERIES, ORACLES = (
+    {k: v for k, v in d.items() if k != "pipeline" and not re.match(r"op\d+_", k)}
+    for d in (driver.queries(), driver.oracle_sql())
+)
 
 
 @pytest.fixture(scope="module")
