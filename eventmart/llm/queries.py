@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, compression_bands, pii, sql
+from eventmart.llm import chat, compression_bands, minhash, mixing, packing, pii, sql
 from eventmart.llm.textbatch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,19 @@ def op4(spark, sf_dir):
 @query("op5_compression_bands")
 def op5(spark, sf_dir):
     return compression_bands.assess(table(spark, sf_dir, "documents"))
+
+
+@query("op1_best_fit_packing")
+def op1(spark, sf_dir):
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
+@query("op6_minhash_fingerprints")
+def op6(spark, sf_dir):
+    return minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op10_source_mixing")
+def op10(spark, sf_dir):
+    mixed, _ = mixing.mix(mixing.units_of(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
