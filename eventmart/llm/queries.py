@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, compression_bands, minhash, mixing, packing, pii, sql
+from eventmart.llm import chat, compression_bands, jaccard_join, minhash, mixing, packing, pii, sql
 from eventmart.llm.textbatch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,9 @@ def op6(spark, sf_dir):
 def op10(spark, sf_dir):
     mixed, _ = mixing.mix(mixing.units_of(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_ngram_jaccard_join", sql.JACCARD)
+def op7(spark, sf_dir):
+    result, _ = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return result.select("doc_id", "n_shingles", "component_id")

@@ -70,3 +70,32 @@ SELECT d.doc_id,
 FROM docs d LEFT JOIN found f ON f.row_id = d.row_id
 GROUP BY d.row_id, d.doc_id
 """
+
+JACCARD = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+grams AS MATERIALIZED (
+  SELECT doc_id, hash(g) AS g FROM (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+    FROM words
+  )
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT x.a, x.b FROM (
+    SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS shared FROM grams p JOIN grams q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY 1, 2
+  ) x JOIN sizes s ON s.doc_id = x.a JOIN sizes t ON t.doc_id = x.b
+  WHERE 100 * shared >= 75 * (s.n + t.n - shared)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+),
+low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, w.doc_id) AS component_id
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN low l USING (doc_id)
+"""
