@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, compression_bands, jaccard_join, minhash, mixing, packing, pii, sql
+from eventmart.llm import chat, compression_bands, jaccard_join, minhash, mixing, packing, pii, simple8b, sql
 from eventmart.llm.textbatch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,12 @@ def op10(spark, sf_dir):
 def op7(spark, sf_dir):
     result, _ = jaccard_join.join(table(spark, sf_dir, "documents"))
     return result.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_simple8b_tokens")
+def op8(spark, sf_dir):
+    import public_tokenizers
+
+    folder = simple8b.new_folder(spark)
+    manifest = simple8b.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return simple8b.digest(manifest, folder)
