@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, compression_bands, jaccard_join, minhash, mixing, packing, pii, simple8b, sql
+from eventmart.llm import chat, cnn_quality, compression_bands, jaccard_join, minhash, mixing, packing, pii, simple8b, sql
 from eventmart.llm.textbatch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op8(spark, sf_dir):
     folder = simple8b.new_folder(spark)
     manifest = simple8b.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
     return simple8b.digest(manifest, folder)
+
+
+@query("op2_byte_cnn_quality")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return cnn_quality.score(docs, cnn_quality.fit(docs, table(spark, sf_dir, "labels")))
