@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, cnn_quality, compression_bands, jaccard_join, minhash, mixing, packing, pii, simple8b, sql
+from eventmart.llm import chat, cnn_quality, compression_bands, jaccard_join, minhash, mixing, packing, pii, simple8b, sql, suffix_dedup
 from eventmart.llm.textbatch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op8(spark, sf_dir):
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return cnn_quality.score(docs, cnn_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_suffix_array_dedup", sql.REPEATS)
+def op9(spark, sf_dir):
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))

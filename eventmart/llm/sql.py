@@ -99,3 +99,25 @@ low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, w.doc_id) AS component_id
 FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN low l USING (doc_id)
 """
+
+REPEATS = """
+WITH docs AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+strings AS MATERIALIZED (
+  SELECT doc_id, i, hash(substr(h, 2 * i + 1, 100)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM (SELECT doc_id, hex(b) AS h FROM docs))
+),
+owners AS (SELECT s, min(doc_id) AS owner FROM strings GROUP BY s),
+hits AS MATERIALIZED (SELECT t.doc_id, t.i FROM strings t JOIN owners o USING (s) WHERE o.owner < t.doc_id),
+marked AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hits),
+grouped AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked),
+spans AS (SELECT doc_id, g, min(i) AS a, max(i) + 50 AS z FROM grouped GROUP BY doc_id, g),
+kept AS (
+  SELECT s.doc_id, sum(z - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(hex(d.b), 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(hex(d.b)), 2 * max(z) + 1) AS h
+  FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM spans) s JOIN docs d USING (doc_id)
+  GROUP BY s.doc_id
+)
+SELECT d.doc_id, octet_length(d.b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(coalesce(unhex(k.h), d.b)) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""

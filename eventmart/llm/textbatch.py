@@ -6,10 +6,12 @@ multi-byte UTF-8 sequence, so cutting bytes equals cutting code points.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 ARROW_ROWS = 256  # rows of one Arrow batch: bounds a Python worker's memory when texts are long
 _SLICE = 1 << 20  # bytes hashed at a time: temporaries of 8 bytes a byte stay in cache
@@ -121,3 +123,26 @@ def slices(offsets: np.ndarray, limit: int = 4 << 20) -> Iterator[tuple[int, int
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield lo, hi
         lo = hi
+
+
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Integer arrays as one compressed value; byte planes are kept together, which compresses well."""
+    parts = [struct.pack("<I", len(arrays))]
+    for a in arrays:
+        parts.append(struct.pack("<4sQ", a.dtype.str[1:].encode(), len(a)))
+        parts.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b"")
+    return zstandard.compress(b"".join(parts), 1)
+
+
+def unpack_arrays(blob: bytes) -> list[np.ndarray]:
+    raw = zstandard.decompress(blob)
+    (n,) = struct.unpack_from("<I", raw)
+    at, out = 4, []
+    for _ in range(n):
+        kind, size = struct.unpack_from("<4sQ", raw, at)
+        dtype = np.dtype(kind.rstrip(b"\0").decode())
+        at += 12
+        planes = np.frombuffer(raw, np.uint8, size * dtype.itemsize, at).reshape(dtype.itemsize, size)
+        out.append(np.ascontiguousarray(planes.T).view(dtype).reshape(size))
+        at += size * dtype.itemsize
+    return out
