@@ -63,7 +63,7 @@ def _counter(grams: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(one row per document: doc_id, n, cls, sketch; the frequency table), in one pass over the texts.
+    """(one row per document: doc_id, text_hash, n, cls, sketch; the frequency table), in one pass over the texts.
 
     Every task sends one row with its counts, compressed; they are summed cell block by cell block.
     """
@@ -74,7 +74,7 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "n", "cls", "sketch", "counts"]
+        names = ["doc_id", "text_hash", "n", "cls", "sketch", "counts"]
         for batch in batches:
             n, cls, sk = [], [], []
             for _, sets in distinct_shingles(batch, 1):
@@ -85,12 +85,12 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 if sets:
                     counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sk, pa.binary()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sk, pa.binary()),
                  pa.nulls(len(n), pa.binary())], names=names)
         if counts.any():
             blob = zstandard.compress(counts.astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, arrow_id), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.binary()),
                  pa.array([blob], pa.binary())], names=names)
 
     def add(blobs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +100,8 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 total += np.frombuffer(zstandard.decompress(b), np.int32 if len(batch.schema) == 1 else np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    schema = f"doc_id {id_type.simpleString()}, n long, cls long, sketch binary, counts binary"
-    stored = materialize(docs.select("doc_id", "text").mapInArrow(run, schema), "join-docs")
+    schema = f"doc_id {id_type.simpleString()}, text_hash long, n long, cls long, sketch binary, counts binary"
+    stored = materialize(docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, schema), "join-docs")
     partial = stored.where("counts is not null").select("counts").mapInArrow(add, "total binary")
     frequency = np.zeros(COUNTERS, np.int64)
     for row in partial.toLocalIterator():  # one fixed-size row per reading task, one at a time
@@ -209,7 +209,7 @@ def sets_of(docs: DataFrame, described: DataFrame):
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(per document: doc_id, n_shingles, cls, component_id; the verified links between classes).
+    """(per document: doc_id, text_hash, n_shingles, cls, component, component_id; the verified links).
 
     Documents with equal sets are one class. ``links`` has (a, b, shared) for every pair that was
     verified; together with the classes they connect every two documents whose sets reach
@@ -232,20 +232,24 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
         .join(nodes, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
     )
     lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_class = classes.join(lowest, "component").select("cls", "component_id")
+    of_class = classes.join(lowest, "component").select("cls", "component", "component_id")
     result = described.join(of_class, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "cls",
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "cls", "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
     return result, links
 
 
 def dedupe(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their component, all columns.
+    """One row of ``docs`` per component, all columns: that of the smallest doc_id, nulls last.
 
-    Of rows that repeat a doc_id, one stays. Documents without words all stay.
+    Rows that repeat an id and a text count once; documents without words all stay.
     """
     result, _ = join(docs, percent)
-    kept = result.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__join_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__join_id"))).drop("__join_id")
-    return rows.dropDuplicates(["doc_id"])
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    first = result.where("n_shingles > 0").groupBy("component").agg(F.min(key).alias("k")).select("k.doc_id", "k.text_hash")
+    kept = first.union(result.where("n_shingles = 0").select("doc_id", "text_hash")).distinct()
+    kept = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__join_id"), F.col("text_hash").alias("__join_hash"))
+    keyed = docs.withColumns({"__join_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__join_hash": F.xxhash64("text")})
+    rows = keyed.join(kept, ["__join_id", "__join_hash"]).dropDuplicates(["__join_id", "__join_hash"])
+    return rows.select([F.col(f"`{c}`") for c in docs.columns])
