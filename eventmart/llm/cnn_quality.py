@@ -23,7 +23,8 @@ WIDTH = 6
 BLOCK = 256
 SAMPLE_PER_CLASS = 1500  # labelled texts of each class that are learned from, at most
 SAMPLE_CHUNKS = 8  # evenly spaced chunks of each of them, at most
-EPOCHS = 10
+STEPS = 450  # of gradient descent, with BATCH texts each
+BATCH = 64
 THRESHOLD = 0.7
 
 
@@ -106,42 +107,41 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, prior: float, seed: int
     weight = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean())
     m = {k: np.zeros_like(v) for k, v in p.items()}
     s = {k: np.zeros_like(v) for k, v in p.items()}
-    step, places = 0, 2 * BLOCK
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(chunks))
-        for lo in range(0, len(order), 64):
-            batch = order[lo : lo + 64]
-            x = np.concatenate([chunks[i] for i in batch])
-            owner = np.repeat(np.arange(len(batch)), [len(chunks[i]) for i in batch])
-            count = np.bincount(owner, minlength=len(batch)).astype(np.float32)
-            top = np.empty((len(x), FILTERS), np.int64)
-            z = np.empty((len(x), FILTERS), np.float32)
-            for c in range(0, len(x), 64):
-                part = x[c : c + 64]
-                flat = convolve(p["filters"], np.append(part.ravel(), np.zeros(WIDTH - 1, np.uint8)), part.size)
-                flat = flat.reshape(len(part), -1, FILTERS)[:, :places]
-                top[c : c + 64] = flat.argmax(axis=1)
-                z[c : c + 64] = flat.max(axis=1)
-            pooled = np.tanh(z + p["bias"])
-            head = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            mean = np.add.reduceat(pooled, head, axis=0) / count[:, None]
-            high = np.maximum.reduceat(pooled, head, axis=0)
-            f = np.concatenate([mean, high], axis=1)
-            y = 1 / (1 + np.exp(-np.clip(f @ p["unit"] + p["offset"], -30, 30)))
-            d = ((y - labels[batch]) * weight[batch] / len(batch)).astype(np.float32)
-            df = d[:, None] * p["unit"]
-            dp = (df[:, :FILTERS] / count[:, None])[owner] + np.where(pooled == high[owner], df[owner, FILTERS:], 0)
-            dz = dp * (1 - pooled**2)
-            g = {"unit": f.T @ d + 1e-4 * p["unit"], "offset": d.sum(keepdims=True), "bias": dz.sum(axis=0)}
-            g["filters"] = np.zeros_like(p["filters"])
-            rows, cols = np.arange(len(x))[:, None], np.broadcast_to(np.arange(FILTERS), top.shape)
-            for j in range(WIDTH):
-                np.add.at(g["filters"][j], (x[rows, top + j], cols), dz)
-            step += 1
-            for k in p:
-                m[k] += 0.1 * (g[k] - m[k])
-                s[k] += 0.01 * (g[k] ** 2 - s[k])
-                p[k] -= 0.01 * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-8)
+    places, order = 2 * BLOCK, np.zeros(0, np.int64)
+    for step in range(1, STEPS + 1):
+        while len(order) < BATCH:  # the texts go round in ever new order
+            order = np.append(order, rng.permutation(len(chunks)))
+        batch, order = order[:BATCH], order[BATCH:]
+        x = np.concatenate([chunks[i] for i in batch])
+        owner = np.repeat(np.arange(len(batch)), [len(chunks[i]) for i in batch])
+        count = np.bincount(owner, minlength=len(batch)).astype(np.float32)
+        top = np.empty((len(x), FILTERS), np.int64)
+        z = np.empty((len(x), FILTERS), np.float32)
+        for c in range(0, len(x), 64):
+            part = x[c : c + 64]
+            flat = convolve(p["filters"], np.append(part.ravel(), np.zeros(WIDTH - 1, np.uint8)), part.size)
+            flat = flat.reshape(len(part), -1, FILTERS)[:, :places]
+            top[c : c + 64] = flat.argmax(axis=1)
+            z[c : c + 64] = flat.max(axis=1)
+        pooled = np.tanh(z + p["bias"])
+        head = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        mean = np.add.reduceat(pooled, head, axis=0) / count[:, None]
+        high = np.maximum.reduceat(pooled, head, axis=0)
+        f = np.concatenate([mean, high], axis=1)
+        y = 1 / (1 + np.exp(-np.clip(f @ p["unit"] + p["offset"], -30, 30)))
+        d = ((y - labels[batch]) * weight[batch] / len(batch)).astype(np.float32)
+        df = d[:, None] * p["unit"]
+        dp = (df[:, :FILTERS] / count[:, None])[owner] + np.where(pooled == high[owner], df[owner, FILTERS:], 0)
+        dz = dp * (1 - pooled**2)
+        g = {"unit": f.T @ d + 1e-4 * p["unit"], "offset": d.sum(keepdims=True), "bias": dz.sum(axis=0)}
+        g["filters"] = np.zeros_like(p["filters"])
+        rows, cols = np.arange(len(x))[:, None], np.broadcast_to(np.arange(FILTERS), top.shape)
+        for j in range(WIDTH):
+            np.add.at(g["filters"][j], (x[rows, top + j], cols), dz)
+        for k in p:
+            m[k] += 0.1 * (g[k] - m[k])
+            s[k] += 0.01 * (g[k] ** 2 - s[k])
+            p[k] -= 0.01 * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-8)
     return Model(p["filters"], p["bias"], p["unit"], float(p["offset"][0]) + logit)
 
 

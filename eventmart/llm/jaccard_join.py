@@ -189,6 +189,17 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     return gram, cls[number], n[number], pos
 
 
+def _first(described: DataFrame, by: str) -> DataFrame:
+    """(doc_id, text_hash) of the smallest doc_id of each group, nulls last."""
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    return described.groupBy(by).agg(F.min(key).alias("k")).select("k.doc_id", "k.text_hash")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the id as a text that is never null."""
+    return rows.withColumn("row_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+
+
 def sets_of(docs: DataFrame, described: DataFrame):
     """A function from a table of classes to their (cls, grams): shingles of one document of each."""
 
@@ -200,9 +211,9 @@ def sets_of(docs: DataFrame, described: DataFrame):
             )
 
     def of(classes: DataFrame) -> DataFrame:
-        one = described.join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-        texts = docs.select("doc_id", "text").join(one.select("doc_id").distinct(), "doc_id", "left_semi")
-        grams = texts.mapInArrow(run, "cls long, grams binary").join(classes, "cls", "left_semi")
+        one = _keyed(_first(described.join(classes, "cls", "left_semi"), "cls"))
+        texts = _keyed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))).join(one, ["row_id", "text_hash"], "left_semi")
+        grams = texts.select("row_id", "text").mapInArrow(run, "cls long, grams binary").join(classes, "cls", "left_semi")
         return materialize(grams.dropDuplicates(["cls"]), "join-sets")
 
     return of
@@ -226,6 +237,11 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     stored = materialize(buckets, "join-buckets").join(sketches, "cls").select("bucket", "cls", "n", "pos", "sketch")
     stored = materialize(stored, "join-candidates")
     links = linking.link(stored, sets_of(docs, described), percent)
+    return grouped(described, links), links
+
+
+def grouped(described: DataFrame, links: DataFrame) -> DataFrame:
+    """The described documents with the component of their class and its smallest doc_id."""
     nodes = materialize(linking.components(links), "join-components")
     classes = (
         described.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low"))
@@ -233,11 +249,10 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     )
     lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"))
     of_class = classes.join(lowest, "component").select("cls", "component", "component_id")
-    result = described.join(of_class, "cls", "left").select(
+    return described.join(of_class, "cls", "left").select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), "cls", "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
-    return result, links
 
 
 def dedupe(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -246,10 +261,9 @@ def dedupe(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Rows that repeat an id and a text count once; documents without words all stay.
     """
     result, _ = join(docs, percent)
-    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    first = result.where("n_shingles > 0").groupBy("component").agg(F.min(key).alias("k")).select("k.doc_id", "k.text_hash")
-    kept = first.union(result.where("n_shingles = 0").select("doc_id", "text_hash")).distinct()
-    kept = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__join_id"), F.col("text_hash").alias("__join_hash"))
+    first = _first(result.where("n_shingles > 0"), "component")
+    kept = _keyed(first.union(result.where("n_shingles = 0").select("doc_id", "text_hash")))
+    kept = kept.select(F.col("row_id").alias("__join_id"), F.col("text_hash").alias("__join_hash")).distinct()
     keyed = docs.withColumns({"__join_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__join_hash": F.xxhash64("text")})
     rows = keyed.join(kept, ["__join_id", "__join_hash"]).dropDuplicates(["__join_id", "__join_hash"])
     return rows.select([F.col(f"`{c}`") for c in docs.columns])

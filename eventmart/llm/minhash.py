@@ -7,9 +7,8 @@ in Spark, and their exact Jaccard similarity decides.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +16,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.textbatch import packed, shingles
+from eventmart.llm import jaccard_join, linking
+from eventmart.llm.textbatch import mix, packed, shingles
+from eventmart.session import materialize
 
 PERMUTATIONS = 128
+BANDS = 32  # of four minima each: two texts of similarity 0.75 share one but for 5 in a million
 WIDTH = 5
 _STEP = 2048  # shingles at a time: the table of permuted values stays in cache
 _random = np.random.Generator(np.random.PCG64(97))
@@ -141,3 +143,42 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield ready
 
     return with_next(df, id_col, text_col).mapInArrow(run, out)
+
+
+def band_keys(signature: np.ndarray) -> np.ndarray:
+    """One 64-bit key per band of each signature."""
+    rows = signature.reshape(len(signature), BANDS, -1).astype(np.uint64)
+    h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) + np.uint64(1), rows.shape[:2])
+    for j in range(rows.shape[2]):
+        h = mix(h + rows[:, :, j])
+    return h.view(np.int64)
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """Documents grouped as in :func:`jaccard_join.join`, with signature bands as candidates.
+
+    Classes of equal shingle sets that share a band are candidates; their exact similarity decides.
+    Texts without words are in no band. Same columns and same handling of nulls and repeats.
+    """
+    described, _ = jaccard_join.describe(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            keys = band_keys(signatures(texts))
+            sets = [g for _, some in jaccard_join.distinct_shingles(batch, 1) for g in some]
+            n = np.array([len(g) for g in sets], np.int64)
+            cls = np.array([jaccard_join.class_id(g) for g in sets], np.int64)
+            keys, n, cls = keys[n > 0], n[n > 0], cls[n > 0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel()), pa.array(np.repeat(cls, BANDS)), pa.array(np.repeat(n, BANDS))], names=["bucket", "cls", "n"]
+            )
+
+    rows = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "bucket long, cls long, n long")
+    banded = materialize(rows.distinct(), "minhash-bands")
+    shared = banded.groupBy("bucket").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x != y").select("bucket")
+    sketches = described.groupBy("cls").agg(F.first("sketch").alias("sketch"))
+    buckets = banded.join(shared, "bucket", "left_semi").join(sketches, "cls").withColumn("pos", F.lit(0).cast("long"))
+    stored = materialize(buckets.select("bucket", "cls", "n", "pos", "sketch"), "minhash-candidates")
+    links = linking.link(stored, jaccard_join.sets_of(docs, described), percent)
+    return jaccard_join.grouped(described, links), links
