@@ -10,26 +10,25 @@ COMPACT = "yyyyMMddHHmmss"
 SECONDS_BELOW = 946684800  # numbers under this are seconds, others milliseconds
 MAX_EPOCH_MILLIS = 8.64e15  # a larger number is not a time at all
 
-# Written dates that start with a word or name the month. Times are optional.
-WORDED_FORMATS = [
-    "MMM d, yyyy",
-    "MMM d, yyyy HH:mm:ss",
-    "MMM d, yyyy HH:mm",
-    "MMM d, yyyy h:mm:ss a",
-    "MMM d, yyyy h:mm a",
-    "MMM d yyyy",
-    "MMM d yyyy HH:mm:ss",
-    "d MMM yyyy",
-    "d MMM yyyy HH:mm:ss",
-    "MMMM d, yyyy",
-    "MMMM d, yyyy HH:mm:ss",
-    "MMMM d yyyy",
-]
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+ZONE_HOURS = {
+    "z": 0, "ut": 0, "utc": 0, "gmt": 0, "est": -5, "edt": -4, "cst": -6, "cdt": -5, "mst": -7,
+    "mdt": -6, "pst": -8, "pdt": -7,
+}
 SLASHED_FORMATS = ["M/d/yyyy", "M/d/yyyy HH:mm", "M/d/yyyy HH:mm:ss"]
 
 _NUMBER = r"^\s*([+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?))"
-_WEEKDAY = r"(?i)^\s*(?:sun|mon|tue|wed|thu|fri|sat)[a-z]*,?\s+"
-_ZONE = r"(?i)\s*(?:GMT|UTC|Z)(?:[+-]0000)?(?:\s*\(.*\))?\s*$"
+# Written dates: weekday, month word and day in either order, year, time, half of day, zone word,
+# offset, and a remark in brackets. All but month, day and year may be absent.
+_MONTH = "(" + "|".join(MONTHS) + r")[a-z]*\.?"
+_GAP = r"[\s,./-]+"
+_WORDED = (
+    r"(?i)^\s*(?:(?:sun|mon|tue|wed|thu|fri|sat)[a-z]*\.?,?\s+)?"
+    rf"(?:{_MONTH}{_GAP}(\d{{1,2}})(?:st|nd|rd|th)?|(\d{{1,2}})(?:st|nd|rd|th)?{_GAP}{_MONTH}){_GAP}(\d{{4}})"
+    r"(?:(?:,?\s+(?:at\s+)?|t)(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d*)?)?(?:\s*([ap])\.?m\.?)?)?"
+    r"(?:\s*(" + "|".join(sorted(ZONE_HOURS, key=len, reverse=True)) + r"))?"
+    r"(?:\s*([+-])(\d{2}):?(\d{2}))?\s*(?:\(.*\))?\s*$"
+)
 
 
 def ntz(c: Column) -> Column:
@@ -52,8 +51,44 @@ def parse_compact(c: Column) -> Column:
 
 
 def parse_worded(c: Column) -> Column:
-    """``Jan 5, 2024 10:00``, with an optional weekday in front and UTC behind."""
-    return _parse(F.regexp_replace(F.regexp_replace(c, _WEEKDAY, ""), _ZONE, ""), WORDED_FORMATS)
+    """A written date, shifted to UTC if it names a zone or an offset, cut to the second.
+
+    ``Jan 5, 2024``, ``5 January 2024 10:00:30``, ``January 5, 2024 3:04 PM``, ``Jan-05-2024``,
+    ``Jan 5, 2024 10:00 EST``, ``Jan 5, 2024 10:00 +0200`` and
+    ``Fri Jan 05 2024 10:00:00 GMT+0530 (India Standard Time)`` are such dates. A day, hour or
+    minute that does not exist gives null.
+    """
+
+    # one match, its groups side by side
+    groups = F.regexp_replace(c, _WORDED, "|".join(f"${i}" for i in range(1, 14)))
+    return F.when(c.rlike(_WORDED), _let(F.split(groups, r"\|", -1), _from_parts))
+
+
+def _from_parts(parts: Column) -> Column:
+    def part(i: int) -> Column:
+        return F.nullif(F.get(parts, F.lit(i - 1)), F.lit(""))
+
+    def number(i: int) -> Column:
+        return part(i).cast("int")
+
+    month = F.array_position(
+        F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.coalesce(part(1), part(4)))
+    ).cast("int")
+    hour, half = F.coalesce(number(6), F.lit(0)), F.lower(part(9))
+    hour = (
+        F.when(half.isNull(), hour)
+        .when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+        .otherwise(F.lit(99))
+    )
+    zone = F.create_map(*[F.lit(x) for pair in ZONE_HOURS.items() for x in pair])
+    minutes = F.coalesce(F.element_at(zone, F.lower(part(10))) * 60, F.lit(0)) + F.coalesce(
+        F.concat(part(11), F.lit("1")).cast("int") * (number(12) * 60 + number(13)), F.lit(0)
+    )
+    local = F.try_make_timestamp_ntz(
+        number(5), month, F.coalesce(number(2), number(3)), hour,
+        F.coalesce(number(7), F.lit(0)), F.coalesce(number(8), F.lit(0)),
+    )
+    return ntz(F.timestamp_seconds(F.unix_seconds(local.cast("timestamp")) - minutes * 60))
 
 
 def parse_iso(c: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventmart.operators.load import LoadPolicy
 from eventmart.operators.tables import BatchTable
 from eventmart.schemas import INGEST_LOG
+from eventmart.session import materialize
 
 SUCCESS_MESSAGE = "inserted into {target} Redshift"  # fixed value
 
@@ -46,28 +47,27 @@ def dual_write(
     spark = primary.spark
     outcome: dict[str, dict[str, int]] = {}
     errors: dict[str, Exception] = {}
-    df = df.persist()  # read and parse the input once for both targets
-    try:
-        for target, table in (("primary", primary), ("secondary", secondary)):
-            if table is None:
-                continue
-            started = _now()
-            try:
-                outcome[target] = table.load(df, batch_id, policy, loaded_at)
-            except Exception as e:  # one target's failure must not stop the other
-                errors[target] = e
-            if log_path is not None:
-                error = errors.get(target)
-                counts = outcome.get(target, {"ok": 0, "reject": 0})
-                message = SUCCESS_MESSAGE.format(target=target)
-                row = (
-                    batch_id, worker_id, target, message if error is None else "load failed",
-                    started, _now(), counts["ok"], counts["reject"] if error is None else 1,
-                    type(error).__name__ if error is not None else None,
-                )
-                append_log(spark.createDataFrame([row], INGEST_LOG), log_path, batch_id, target)
-    finally:
-        df.unpersist()
+    if secondary is not None:
+        # read and parse the input once for both targets, in the shared folder
+        df = materialize(df, "dual-write")
+    for target, table in (("primary", primary), ("secondary", secondary)):
+        if table is None:
+            continue
+        started = _now()
+        try:
+            outcome[target] = table.load(df, batch_id, policy, loaded_at)
+        except Exception as e:  # one target's failure must not stop the other
+            errors[target] = e
+        if log_path is not None:
+            error = errors.get(target)
+            counts = outcome.get(target, {"ok": 0, "reject": 0})
+            message = SUCCESS_MESSAGE.format(target=target)
+            row = (
+                batch_id, worker_id, target, message if error is None else "load failed",
+                started, _now(), counts["ok"], counts["reject"] if error is None else 1,
+                type(error).__name__ if error is not None else None,
+            )
+            append_log(spark.createDataFrame([row], INGEST_LOG), log_path, batch_id, target)
     if "primary" in errors:
         raise errors["primary"]
     return outcome["primary"]

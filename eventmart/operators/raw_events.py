@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.identity import numeric_user_id
 from eventmart.functions.times import parse_compact
 from eventmart.operators.load import REASON
-from eventmart.sources.ndjson import RAW
+from eventmart.sources.ndjson import RAW, SOURCE
 
 
 def with_time(docs: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def with_time(docs: DataFrame) -> DataFrame:
 def to_events(docs: DataFrame, keep_source: bool = False) -> DataFrame:
     """Canonical events with the load's reject reason. Lines that are not JSON and documents
     whose ``ts`` is no time are rejects; documents without ``ts`` are left out. ``source_file``
-    is empty unless ``keep_source``."""
+    is empty unless ``keep_source``; the ledger gets the file either way."""
     ts = F.col("event_ts")
     stamped = F.try_variant_get("doc", "$.ts", "string")
     return (
@@ -38,5 +38,6 @@ def to_events(docs: DataFrame, keep_source: bool = False) -> DataFrame:
             .when(ts.isNull(), "event_ts: not a timestamp_ntz")
             .alias(REASON),
             F.when(F.col("doc").isNull() | ts.isNull(), F.col("raw")).alias(RAW),
+            F.col("source_path").alias(SOURCE),
         )
     )

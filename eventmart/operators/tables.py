@@ -2,15 +2,17 @@
 
 Layout under the table's root::
 
-    data/load_status=ok|reject/batch_id=<id>/[partitions]/   rows
-    ledger/batch_id=<id>/                                    what was loaded, written last
+    data/load_status=ok|reject/batch_id=<id>/attempt=<token>/[partitions]/   rows
+    ledger/batch_id=<id>/                                                    written last
 
-A batch is visible once its ledger entry says ``loaded``. Writing a batch again replaces its
-own folders only, so a retry or a streaming replay changes nothing.
+Every attempt at a batch writes folders of its own, and the ledger entry of the batch names the
+one attempt that counts. So what a failed or broken attempt left behind is never read, whatever
+partitions the next one produces. A batch is visible once its entry says ``loaded``.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -39,20 +41,23 @@ class BatchTable:
             schema.fields
             + [
                 T.StructField(c, T.StringType())
-                for c in (REASON, RAW, SOURCE, "load_status", "batch_id")
+                for c in (REASON, RAW, SOURCE, "load_status", "batch_id", "attempt")
             ]
         )
 
     # -- writing ------------------------------------------------------------------------
-    def stage(self, df: DataFrame, batch_id: str) -> None:
-        """Write a batch's good rows and rejects in one pass over the input."""
-        rows = project_to(df, T.StructType(self._stored.fields[:-2])).withColumns(
+    def stage(self, df: DataFrame, batch_id: str) -> str:
+        """Write a batch's good rows and rejects in one pass over the input, as a new attempt.
+        Returns the attempt's token."""
+        attempt = uuid.uuid4().hex
+        rows = project_to(df, T.StructType(self._stored.fields[:-3])).withColumns(
             {
                 "load_status": F.when(F.col(REASON).isNull(), "ok").otherwise("reject"),
                 "batch_id": F.lit(batch_id),
+                "attempt": F.lit(attempt),
             }
         )
-        keys = ["load_status", "batch_id", *self.partition_by]
+        keys = ["load_status", "batch_id", "attempt", *self.partition_by]
         if self.partition_by:
             # one shuffle to avoid a file per task and partition; hot partitions are split
             rows = rows.hint("rebalance", *keys)
@@ -64,36 +69,38 @@ class BatchTable:
             .partitionBy(*keys)
             .parquet(f"{self.root}/data")
         )
+        return attempt
 
-    def counts(self, batch_id: str) -> dict[str, int]:
-        """Rows and rejects of a staged batch, from what is stored: no rerun of the input, and
+    def counts(self, batch_id: str, attempt: str) -> dict[str, int]:
+        """Rows and rejects of a staged attempt, from what is stored: no rerun of the input, and
         nothing counted twice when tasks are retried."""
-        rows = self._staged(batch_id).groupBy("load_status").count()
+        rows = self._staged(batch_id, attempt).groupBy("load_status").count()
         found = {r["load_status"]: r["count"] for r in rows.collect()}  # at most two rows
         return {"ok": found.get("ok", 0), "reject": found.get("reject", 0)}
 
     def record(
         self,
         batch_id: str,
+        attempt: str,
         status: str,
         loaded_at: datetime,
         files: DataFrame | None = None,
         attempts: int = 1,
     ) -> None:
         """Write the batch's ledger entries: one per file and one, without a path, for the batch.
-        This publishes or fails the batch. The files are those named, else those the staged
+        This publishes or fails the attempt. The files are those named, else those the staged
         rows came from."""
         if files is None:
-            sources = self._staged(batch_id).select(F.col(SOURCE).alias("path"))
+            sources = self._staged(batch_id, attempt).select(F.col(SOURCE).alias("path"))
             files = sources.where("path IS NOT NULL").distinct()
         # the batch's own entry, without a path, is there even if the batch has no rows
         own = self.spark.range(1).select(F.lit(None).cast("string").alias("path"))
-        files = files.select("path").unionByName(own)
-        entries = files.coalesce(1).select(
+        entries = files.select("path").unionByName(own).select(
             "path",
             F.lit(status).alias("status"),
             F.lit(attempts).alias("attempts"),
             F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
+            F.lit(attempt).alias("attempt"),
             F.lit(batch_id).alias("batch_id"),
         )
         (
@@ -115,12 +122,13 @@ class BatchTable:
         that is already published is left alone."""
         state = self.batch_state(batch_id)
         if state is not None and state["status"] == "loaded":
-            return self.counts(batch_id)
-        self.stage(df, batch_id)
-        counts = self.counts(batch_id)
+            return self.counts(batch_id, state["attempt"])
+        attempt = self.stage(df, batch_id)
+        counts = self.counts(batch_id, attempt)
         attempts = (state["attempts"] if state else 0) + 1
         failed = policy.fails(counts["reject"])
-        self.record(batch_id, "failed" if failed else "loaded", loaded_at, files, attempts)
+        status = "failed" if failed else "loaded"
+        self.record(batch_id, attempt, status, loaded_at, files, attempts)
         if failed:
             raise LoadFailed(f"batch {batch_id}: {counts['reject']} rejected rows")
         return counts
@@ -136,10 +144,12 @@ class BatchTable:
         path = f"{self.root}/data"
         return _read_or_empty(self.spark, [path], path, self._stored_schema())
 
-    def _staged(self, batch_id: str) -> DataFrame:
-        """One batch, from its own folders: other batches are not even listed."""
+    def _staged(self, batch_id: str, attempt: str) -> DataFrame:
+        """One attempt, from its own folders: other batches are not even listed."""
         base = f"{self.root}/data"
-        folders = [f"{base}/load_status={s}/batch_id={batch_id}" for s in ("ok", "reject")]
+        folders = [
+            f"{base}/load_status={s}/batch_id={batch_id}/attempt={attempt}" for s in ("ok", "reject")
+        ]
         return _read_or_empty(self.spark, folders, base, self._stored_schema())
 
     def ledger(self) -> DataFrame:
@@ -149,21 +159,33 @@ class BatchTable:
     def batch_state(self, batch_id: str):
         base = f"{self.root}/ledger"
         own = _read_or_empty(self.spark, [f"{base}/batch_id={batch_id}"], base, LEDGER)
-        return own.where("path IS NULL").select("status", "attempts").first()
+        return own.where("path IS NULL").select("status", "attempts", "attempt").first()
 
-    def _published(self) -> DataFrame:
-        loaded = self.ledger().where(F.col("status") == "loaded").select("batch_id").distinct()
-        return self._data().join(loaded, "batch_id", "left_semi")
+    def _recorded(self, statuses: list[str]) -> DataFrame:
+        """Rows of the attempts that the ledger names, by the status of their batch."""
+        entries = self.ledger().where(F.col("path").isNull() & F.col("status").isin(statuses))
+        return self._data().join(entries.select("batch_id", "attempt"), ["batch_id", "attempt"], "left_semi")
 
     def read(self) -> DataFrame:
-        rows = self._published().where(F.col("load_status") == "ok")
+        rows = self._recorded(["loaded"]).where(F.col("load_status") == "ok")
         return rows.select(*self.schema.names)
 
     def rejects(self) -> DataFrame:
-        """Quarantine: rejects of every staged batch, published or not."""
-        rows = self._data().where(F.col("load_status") == "reject")
+        """Quarantine: rejects of the last recorded attempt of every batch, published or not."""
+        rows = self._recorded(["loaded", "failed"]).where(F.col("load_status") == "reject")
         return rows.select("batch_id", REASON, RAW, *self.schema.names)
 
+    def failed_batches(self, max_attempts: int) -> DataFrame:
+        """(batch_id, attempts) of the batches that may be tried again."""
+        own = self.ledger().where(F.col("path").isNull() & (F.col("status") == "failed"))
+        return own.where(F.col("attempts") < max_attempts).select("batch_id", "attempts")
+
+    def batch_files(self, batch_id: str) -> list[str]:
+        """The files of one batch."""
+        base = f"{self.root}/ledger"
+        own = _read_or_empty(self.spark, [f"{base}/batch_id={batch_id}"], base, LEDGER)
+        return sorted(r["path"] for r in own.where("path IS NOT NULL").select("path").collect())
+
     def deletable(self, as_of, keep_hours: int = 24) -> DataFrame:
         """Loaded files whose retention is over."""
         age = F.expr(f"INTERVAL {int(keep_hours)} HOURS")

@@ -30,6 +30,10 @@ LOADED = datetime(2024, 2, 1)
 ATTRIBUTES = """'{"Extra Col":' || coalesce('"' || extra_col || '"', 'null')
   || CASE WHEN extra_tail IS NOT NULL THEN ',"extra_tail":"tail"' ELSE '' END
   || ',"note":' || CAST(to_json(note) AS VARCHAR) || '}'"""
+PROFILE_ATTRIBUTES = """'{"cleverTapId":"ct' || c_custkey || '","phone":' ||
+  CASE WHEN c_custkey % 6 = 0 THEN 'null' ELSE '"+91' || c_custkey || '"' END
+  || ',"profileattr.created_time":"' || (900000000 + c_custkey) || '","segment":"'
+  || c.c_mktsegment || '"}'"""
 BOTH = f"""
 SELECT event_id, user_id, event_ts, event_name, file_label FROM {R}
 UNION ALL SELECT NULL, user_id, event_ts, event_name, file_label FROM {P}"""
@@ -61,13 +65,17 @@ SELECT CAST(event_ts AS DATE) AS event_date, event_ts, user_id, event_name, file
 @query("s2_csv_scan", f"""
 {EVENT_COLUMNS} UNION ALL
 SELECT CAST(event_ts AS DATE), event_ts, p.user_id, event_name, file_label,
-  '{{"cleverTapId":"ct' || c_custkey || '","phone":' ||
-  CASE WHEN c_custkey % 6 = 0 THEN 'null' ELSE '"+91' || c_custkey || '"' END
-  || ',"profileattr.created_time":"' || (900000000 + c_custkey) || '","segment":"'
-  || c.c_mktsegment || '"}}' FROM {P} JOIN customer c USING (c_custkey)""")
+  {PROFILE_ATTRIBUTES} FROM {P} JOIN customer c USING (c_custkey)
+UNION ALL SELECT event_date, event_ts, user_id, CASE WHEN event_name = 'Push_Sent' THEN 'Push_Sent' ELSE event_name END,
+  '1730000000-1730000030-Push_Sent', attributes FROM ({EVENT_COLUMNS} WHERE event_id % 4 = 0)
+UNION ALL SELECT DATE '2024-01-31', TIMESTAMP '2024-01-31 00:00:00', 'profile.identity', 'eventName',
+  '1730000000-1730000030-Push_Sent', '{{"Extra Col":"Extra Col","note":"note"}}' FROM events WHERE event_id % 20 = 0""")
 def s2(spark, sf_dir):
-    """Plain and gzip files with four different headers, normalised whole."""
-    df = labelled(events(spark, sf_dir)).drop("source_file")
+    """Plain and gzip files with four different headers, normalised whole; in one of them the header
+    line comes again and again, and is data."""
+    repeated = cl.csv_rows(spark, fx.repeated_export(spark, sf_dir), fl.started_by)
+    both = events(spark, sf_dir).unionByName(ce.to_events(repeated, now()))
+    df = labelled(both).drop("source_file")
     return df.withColumn("attributes", json_text(F.col("attributes")))
 
 
@@ -99,28 +107,35 @@ def s6(spark, sf_dir):
     return headers.select(file_label("file_path").alias("file_label"), "header").distinct()
 
 
-@query("s9_gzip_lines", f"SELECT k % 2 = 1 AS gzip, count(*) AS n FROM {R} GROUP BY 1")
+@query("s9_gzip_lines", f"""
+SELECT gzip, count(*) AS n FROM (SELECT k % 2 = 1 AS gzip FROM {R} UNION ALL SELECT true FROM {P}) GROUP BY gzip""")
 def s9(spark, sf_dir):
-    found = rows(spark, sf_dir).where(F.col("source_file").contains("Push_Sent"))
+    found = rows(spark, sf_dir)
     return found.groupBy(F.col("source_file").endswith(".gz").alias("gzip")).agg(
         F.count("*").alias("n")
     )
 
 
+KEYED = f"""(SELECT file_label, block, event_id AS key, CAST(event_id AS VARCHAR) AS id, user_id, event_name, event_ts FROM {R}
+UNION ALL SELECT file_label, block, c_custkey, 'ct' || c_custkey, user_id, event_name, event_ts FROM {P})"""
+
+
+def row_id(note, clevertap_id):
+    """What tells the rows of all exports apart: the number in the note, or the profile's id."""
+    return F.coalesce(F.nullif(F.regexp_extract(note, r"(\d+)$", 1), F.lit("")), clevertap_id)
+
+
 @query("s11_bounded_scan", f"""
-SELECT file_label, event_id FROM (SELECT *, row_number() OVER (PARTITION BY file_label, block
-  ORDER BY event_id) AS rn FROM {R}) WHERE rn <= 20""")
+SELECT file_label, id FROM (SELECT *, row_number() OVER (PARTITION BY file_label, block ORDER BY key) AS rn FROM {KEYED})
+WHERE rn <= 20""")
 def s11(spark, sf_dir):
-    """The first 20 rows of every event file."""
+    """The first 20 rows of every file."""
     root = fx.csv_exports(spark, sf_dir)
-
-    def wanted(name):
-        return fl.started_by(name) & name.contains("Push_Sent")
-
-    lines = cl.first_rows(spark, root, 20, wanted)
-    parsed = cl.parse_lines(cl.with_layout(lines, cl.read_headers(spark, root, wanted)))
-    note = leading_integer(F.regexp_extract(cl.lookup("note"), r"(\d+)$", 1))
-    return parsed.select(file_label().alias("file_label"), note.alias("event_id"))
+    lines = cl.first_rows(spark, root, 20, fl.started_by)
+    parsed = cl.parse_lines(cl.with_layout(lines, cl.read_headers(spark, root, fl.started_by)))
+    return parsed.select(
+        file_label().alias("file_label"), row_id(cl.lookup("note"), cl.lookup("clevertapid")).alias("id")
+    )
 
 
 # -- parsing and normalisation --------------------------------------------------------------
@@ -141,10 +156,11 @@ def p1(spark, sf_dir):
     )
 
 
-@query("p2_header_lookup", f"SELECT file_label, event_name AS name, note FROM {R} WHERE event_id % 40 <> 0")
+@query("p2_header_lookup", f"""
+SELECT file_label, CASE WHEN event_id % 40 <> 0 THEN event_name END AS name, note FROM {R}
+UNION ALL SELECT file_label, NULL, NULL FROM {P}""")
 def p2(spark, sf_dir):
-    found = rows(spark, sf_dir).where(F.col("is_event_file"))
-    return found.where(cl.lookup("EVENTNAME").isNotNull()).select(
+    return rows(spark, sf_dir).select(
         file_label().alias("file_label"), cl.lookup("EventName").alias("name"),
         cl.lookup("NOTE").alias("note"),
     )
@@ -162,9 +178,9 @@ def p3(spark, sf_dir):
     return _key(events(spark, sf_dir)).select("event_id", "user_id", "event_ts")
 
 
-@query("p4_event_date", f"SELECT event_id, CAST(event_ts AS DATE) AS event_date FROM {R}")
+@query("p4_event_date", f"SELECT event_id, user_id, CAST(event_ts AS DATE) AS event_date FROM ({BOTH})")
 def p4(spark, sf_dir):
-    return _key(events(spark, sf_dir)).where("event_id IS NOT NULL").select("event_id", "event_date")
+    return _key(events(spark, sf_dir)).select("event_id", "user_id", "event_date")
 
 
 @query("p5_file_kind", f"SELECT DISTINCT file_label, file_label LIKE '%Push%' AS is_event_file FROM ({BOTH})")
@@ -185,9 +201,10 @@ def p7(spark, sf_dir):
     return labelled(events(spark, sf_dir)).groupBy("file_label", "event_name").agg(F.count("*").alias("n"))
 
 
-@query("p8_attributes", f"SELECT event_id, {ATTRIBUTES} AS attributes FROM {R}")
+@query("p8_attributes", f"""SELECT event_id, {ATTRIBUTES} AS attributes FROM {R}
+UNION ALL SELECT NULL, {PROFILE_ATTRIBUTES} FROM {P} JOIN customer c USING (c_custkey)""")
 def p8(spark, sf_dir):
-    df = _key(events(spark, sf_dir)).where("event_id IS NOT NULL")
+    df = _key(events(spark, sf_dir))
     return df.select("event_id", json_text(F.col("attributes")).alias("attributes"))
 
 
@@ -267,68 +284,72 @@ def k10(spark, sf_dir):
 
 
 @query("s8_path_scan", f"""
-SELECT event_name, count(*) AS n, count(user_id) AS users FROM {R} GROUP BY event_name""")
+SELECT event_name, count(*) AS n, count(user_id) AS users FROM {R} GROUP BY event_name
+UNION ALL SELECT event_name || ' again', count(*), count(user_id) FROM {R} GROUP BY event_name""")
 def s8(spark, sf_dir):
-    """Manifests name the landed files; one load takes all files of a manifest."""
+    """Manifests name the landed files, and a second set names them all once more in one manifest;
+    all are resolved in one join and loaded in batches of files."""
     files = fl.list_files(spark, fx.structured_events(spark, sf_dir), "json")
-    root = scratch_path(spark, "manifests")
-    manifest = fl.manifest_of(files)
-    manifest.select("value").write.text(root)
-    entries = fl.read_manifest_lines(spark, root)
-    table = BatchTable(spark, scratch_path(spark, "s8"), CANONICAL)
-    for n, part in enumerate(fl.manifest_batches(entries)):
-        landed = read_ndjson(spark, fl.resolve_manifest(part, files), CANONICAL)
-        table.load(ld.cast_rows(landed, CANONICAL, ld.PATH_LOAD), f"m{n}", ld.PATH_LOAD, LOADED)
-    return table.read().groupBy("event_name").agg(
-        F.count("*").alias("n"), F.count("user_id").alias("users")
-    )
+    out = []
+    for label, size in (("", 3), (" again", 1 << 30)):
+        root = scratch_path(spark, "manifests")
+        fl.manifest_of(files, size).select("value").write.text(root)
+        loads = fl.manifest_loads(fl.read_manifest_lines(spark, root), files, 20)
+        table = BatchTable(spark, scratch_path(spark, "s8"), CANONICAL)
+
+        def load(manifest, batch, paths, table=table):
+            landed = read_ndjson(spark, paths, CANONICAL)
+            batch_id = f"{manifest.rpartition('#')[2]}-{batch}"
+            table.load(ld.cast_rows(landed, CANONICAL, ld.PATH_LOAD), batch_id, ld.PATH_LOAD, LOADED)
+
+        fl.run_loads(loads, load)
+        counts = table.read().groupBy("event_name").agg(F.count("*").alias("n"), F.count("user_id").alias("users"))
+        out.append(counts.withColumn("event_name", F.concat("event_name", F.lit(label))))
+    return out[0].unionByName(out[1])
 
 
 @query("k8_flat_ndjson", f"""
-SELECT event_id, CASE event_id % 25 WHEN 0 THEN NULL ELSE user_id END AS identity, note, extra_col,
-  CASE event_id % 4 WHEN 3 THEN 6 WHEN 2 THEN 7 ELSE 6 END AS keys FROM {R}""")
+SELECT CAST(event_id AS VARCHAR) AS id, CASE event_id % 25 WHEN 0 THEN NULL ELSE user_id END AS identity, note, extra_col,
+  CASE event_id % 4 WHEN 3 THEN 6 WHEN 2 THEN 7 ELSE 6 END AS keys FROM {R}
+UNION ALL SELECT 'ct' || c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey AS VARCHAR) END, NULL, NULL, 5 FROM {P}""")
 def k8(spark, sf_dir):
     path = scratch_path(spark, "flat")
-    found = rows(spark, sf_dir).where("is_event_file")
-    sinks.write_flat_ndjson(found, path)
+    sinks.write_flat_ndjson(rows(spark, sf_dir), path)
     doc = F.parse_json("value")
-    note = F.try_variant_get(doc, "$.note", "string")
+
+    def text(name):
+        return F.try_variant_get(doc, f"$['{name}']", "string")
+
     return spark.read.text(path).select(
-        F.regexp_extract(note, r"(\d+)$", 1).cast("bigint").alias("event_id"),
-        F.try_variant_get(doc, "$['profile.identity']", "string").alias("identity"),
-        note.alias("note"),
-        F.try_variant_get(doc, "$['Extra Col']", "string").alias("extra_col"),
+        row_id(text("note"), text("cleverTapId")).alias("id"),
+        F.coalesce(text("profile.identity"), text("identity")).alias("identity"),
+        text("note").alias("note"),
+        text("Extra Col").alias("extra_col"),
         F.size(F.json_object_keys("value")).alias("keys"),
     )
 
 
 def messages(spark, sf_dir):
-    """Event files packed into row-batch messages."""
+    """All exports packed into row-batch messages."""
     root = fx.csv_exports(spark, sf_dir)
-
-    def wanted(name):
-        return fl.started_by(name) & name.contains("Push_Sent")
-
-    lines = cl.numbered_lines(spark, root, wanted)
-    parsed = cl.parse_lines(cl.with_layout(lines, cl.read_headers(spark, root, wanted)))
+    lines = cl.numbered_lines(spark, root, fl.started_by)
+    parsed = cl.parse_lines(cl.with_layout(lines, cl.read_headers(spark, root, fl.started_by)))
     return sinks.pack_rows(ce.to_events(parsed, now(), keep=("line_no",)), "engagement")
 
 
-CHUNKS = f"""(SELECT *, (row_number() OVER (PARTITION BY file_label, block ORDER BY event_id) - 1) // 5 AS chunk FROM {R}) c"""
+CHUNKS = f"""(SELECT *, (row_number() OVER (PARTITION BY file_label, block ORDER BY key) - 1) // 5 AS chunk FROM {KEYED}) c"""
 
 
 @query("k9_row_batches", f"""
-SELECT file_label, chunk, event_id, user_id, event_name, CAST(event_ts AS VARCHAR) AS event_ts FROM {CHUNKS}""")
+SELECT file_label, chunk, id, user_id, event_name, CAST(event_ts AS VARCHAR) AS event_ts FROM {CHUNKS}""")
 def k9(spark, sf_dir):
     m = messages(spark, sf_dir).withColumn(
         "row", F.explode("data.rows")
     )
     text = [F.try_variant_get("row", f"$.{c}", "string").alias(c) for c in ("user_id", "event_name", "event_ts")]
     note = F.try_variant_get("row", "$.attributes.note", "string")
-    return m.select(
-        file_label().alias("file_label"), "chunk",
-        F.regexp_extract(note, r"(\d+)$", 1).cast("bigint").alias("event_id"), *text,
-    )
+    person = F.try_variant_get("row", "$.attributes.cleverTapId", "string")
+    return m.select(file_label().alias("file_label"), "chunk", row_id(note, person).alias("id"), *text)
 
 
 @query("a14_conversion_counts", f"""
@@ -368,26 +389,23 @@ def _ledger(files):
     )
 
 
-ALL_LABELS = f"SELECT DISTINCT file_label, block FROM {R}"
+ALL_LABELS = f"SELECT DISTINCT file_label, block FROM {KEYED}"
 
 
 @query("j1_unprocessed_files", f"""
 SELECT file_label, count(*) AS files FROM ({ALL_LABELS}) WHERE NOT regexp_matches(file_label, '-173000001[02]-')
 GROUP BY file_label""")
 def j1(spark, sf_dir):
-    files = fl.list_files(spark, fx.csv_exports(spark, sf_dir), "csv").where(
-        fl.started_by(F.col("path")) & F.col("path").contains("Push_Sent")
-    )
+    files = fl.list_files(spark, fx.csv_exports(spark, sf_dir), "csv").where(fl.started_by(F.col("path")))
     todo = fl.unprocessed(files, _ledger(files))
     return todo.groupBy(file_label("path").alias("file_label")).agg(F.count("*").alias("files"))
 
 
-@query("j2_attach_header", f"SELECT file_label, header, count(*) AS n FROM {R} JOIN ({HEADERS}) h USING (file_label) GROUP BY ALL")
+@query("j2_attach_header", f"SELECT file_label, header, count(*) AS n FROM {KEYED} r JOIN ({HEADERS}) h USING (file_label) GROUP BY ALL")
 def j2(spark, sf_dir):
     """The same rows whether the headers are broadcast or shuffled: here they are shuffled."""
     root = fx.csv_exports(spark, sf_dir)
     lines = cl.text_lines(spark, root).where(fl.started_by(F.col("file_name")))
-    lines = lines.where(F.col("file_name").contains("Push_Sent"))
     joined = cl.with_layout(lines, cl.read_headers(spark, root, fl.started_by), broadcast_limit=0)
     return (
         cl.data_lines(joined)
@@ -401,12 +419,10 @@ SELECT file_label, block % 2 = 0 AS present FROM ({ALL_LABELS})
 UNION ALL SELECT file_label || 'x', false FROM ({ALL_LABELS})""")
 def j3(spark, sf_dir):
     """Named files against the listing; the listing lacks odd blocks, the names have extras."""
-    files = fl.list_files(spark, fx.csv_exports(spark, sf_dir), "csv").where(
-        fl.started_by(F.col("path")) & F.col("path").contains("Push_Sent")
-    )
+    files = fl.list_files(spark, fx.csv_exports(spark, sf_dir), "csv").where(fl.started_by(F.col("path")))
     block = F.regexp_extract("path", "block=([0-9]+)", 1).cast("bigint")
     wanted = files.select("path").unionByName(
-        files.select(F.replace("path", F.lit("Push_Sent"), F.lit("Push_Sentx")).alias("path"))
+        files.select(F.regexp_replace("path", "(Push_Sent|profiles)", "$1x").alias("path"))
     )
     present, missing = fl.check_exists(wanted, files.where(block % 2 == 0))
     marked = present.withColumn("present", F.lit(True)).unionByName(

@@ -58,7 +58,7 @@ SELECT 'b' || CAST(event_id AS STRING) AS batch_id,
        CAST(event_id % 3 AS BIGINT) AS failed,
        CASE WHEN event_id % 3 = 2 THEN CASE WHEN event_id % 2 = 0 THEN 'Timeout' ELSE 'Denied' END
             END AS error
-FROM events WHERE event_id % 100 = 0"""
+FROM events"""
 
 # -- metric samples -------------------------------------------------------------------------
 METRIC_SQL = """
@@ -156,6 +156,24 @@ def dirty_ndjson(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+FEW_DEFECTS = "event_id NOT IN (1, 5, 7)"  # the lines without a defect in ``nearly_clean_lines``
+
+
+def nearly_clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribution lines of which three, whatever their number, are defective: as many rejects as
+    a load takes."""
+    df = attribution(spark, sf_dir).withColumn("event_time", F.expr(_text_time("event_time")))
+    e = F.col("event_id")
+    df = df.withColumns(
+        {
+            "event_time": F.when(e == 5, "2024-13-45 99:00:00").otherwise(F.col("event_time")),
+            "event_revenue_usd": F.when(e == 7, "a lot").otherwise(F.col("event_revenue_usd").cast("string")),
+        }
+    )
+    text = F.to_json(F.struct(*[c for c in df.columns if c != "event_id"]))
+    return df.select(F.when(e == 1, NOT_JSON).otherwise(text).alias("value"))
+
+
 BLOCK = 250_000  # ids per export file
 EXPORT_HEADER = "ts,event_time,eventName,profile.identity,note,Extra Col"
 EXPORT_SQL = """
@@ -232,6 +250,19 @@ def csv_exports(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "csv-exports", write)
 
 
+def repeated_export(spark: SparkSession, sf_dir: str) -> str:
+    """A plain export in which the header line comes again after every fifth row."""
+
+    def write(root: str) -> None:
+        rows = derive(spark, sf_dir, EXPORT_SQL).where(F.col("event_id") % 4 == 0)
+        lines = F.when(F.col("event_id") % 20 == 0, F.array("line", F.lit(EXPORT_HEADER))).otherwise(F.array("line"))
+        rows = rows.select((F.col("event_id") * 2).alias("event_id"), F.posexplode(lines).alias("at", "line"))
+        rows = rows.select((F.col("event_id") + F.col("at")).alias("event_id"), "line")
+        _write_export(rows, root, "1730000000-1730000030-Push_Sent", EXPORT_HEADER, False)
+
+    return _once(spark, sf_dir, "repeated-export", write)
+
+
 # The same rows, as the exports should be read.
 EXPORT_ROWS_SQL = """
 SELECT event_id, event_id % 4 AS k, event_id // 250000 AS block,
@@ -251,7 +282,7 @@ SELECT c_custkey,
        WHEN c_custkey % 6 <> 0 THEN '+91' || c_custkey ELSE 'ct' || c_custkey END AS user_id,
   make_timestamp((900000000 + c_custkey) * 1000000) AS event_ts,
   'profile_update' AS event_name,
-  '1730000000-1730000020-profiles' AS file_label
+  '1730000000-1730000020-profiles' AS file_label, c_custkey // 250000 AS block
 FROM customer"""
 
 
@@ -301,6 +332,18 @@ def documents(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "documents", write)
 
 
+def loadable_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The raw documents, of which nine lines, whatever their number, are not JSON or have no time."""
+
+    def write(root: str) -> None:
+        spoiled = "event_id % 100 = 0 OR event_id % 30 = 0"
+        docs = derive(spark, sf_dir, DOCUMENT_SQL)
+        first = docs.where(spoiled).orderBy("event_id").limit(9)
+        docs.where(f"NOT ({spoiled})").unionByName(first).select("value").write.text(root)
+
+    return _once(spark, sf_dir, "loadable-documents", write)
+
+
 # Envelopes: groups of five rows, single rows, and bodies that are not JSON.
 ENVELOPE_SQL = """
 SELECT CASE WHEN g % 100 = 3 THEN '{"id": broken'

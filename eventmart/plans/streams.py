@@ -15,12 +15,12 @@ from eventmart.plans.registry import query
 from eventmart.plans.tables import L, LOAD_COUNTS
 from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL
 from eventmart.session import scratch_path
+from eventmart.sources import files as fl
 from eventmart.streaming import landing, live, loads, queue
 
 A = f"({ATTRIBUTION_SQL}) a"
 DIRTY_OK = "event_id % 80 <> 1 AND event_id % 150 <> 11 AND event_id % 90 <> 0"
-TYPED_OK = f"{DIRTY_OK} AND event_id % 110 <> 5 AND event_id % 130 <> 7"
-TOLERANT = ld.LoadPolicy(max_errors=1 << 62)
+TYPED_OK = fx.FEW_DEFECTS
 
 
 def _spread(spark, df, label, least=6):
@@ -55,13 +55,13 @@ def k1(spark, sf_dir):
 def _attribution_sync(spark, path, table, checkpoint, files_per_batch):
     lines = loads.line_stream(spark, path, files_per_batch)
     rows = loads.ndjson_rows(ATTRIBUTION, ld.ATTRIBUTION_LOAD, required=True)
-    return loads.sync(lines, rows, table, TOLERANT, checkpoint, "sync")
+    return loads.sync(lines, rows, table, ld.ATTRIBUTION_LOAD, checkpoint, "sync")
 
 
 @query("x1_micro_batches", f"SELECT event_name, count(*) AS n, 3 AS batches FROM {A} WHERE {TYPED_OK} GROUP BY event_name")
 def x1(spark, sf_dir):
     """A third of the files per batch."""
-    path, files = _spread(spark, fx.dirty_lines(spark, sf_dir), "x1")
+    path, files = _spread(spark, fx.nearly_clean_lines(spark, sf_dir), "x1")
     table = BatchTable(spark, scratch_path(spark, "x1"), ATTRIBUTION_TABLE)
     third = -(-files // 3)
     _wait(_attribution_sync(spark, path, table, scratch_path(spark, "x1-checkpoint"), third))
@@ -78,7 +78,7 @@ def x2(spark, sf_dir):
     path = scratch_path(spark, "x2")
     table = BatchTable(spark, scratch_path(spark, "x2-table"), ATTRIBUTION_TABLE)
     checkpoint = scratch_path(spark, "x2-checkpoint")
-    halves = fx.dirty_lines(spark, sf_dir).randomSplit([0.5, 0.5], seed=7)
+    halves = fx.nearly_clean_lines(spark, sf_dir).randomSplit([0.5, 0.5], seed=7)
     for half in halves:
         half.write.mode("append").text(path)
         _wait(_attribution_sync(spark, path, table, checkpoint, 1000))
@@ -100,7 +100,8 @@ def x3(spark, sf_dir):
                 raise ConnectionError("lost after the write")
             return counts
 
-    path = fx.dirty_ndjson(spark, sf_dir)
+    path = scratch_path(spark, "x3-lines")
+    fx.nearly_clean_lines(spark, sf_dir).write.text(path)
     table = DiesOnce(spark, scratch_path(spark, "x3"), ATTRIBUTION_TABLE)
     checkpoint = scratch_path(spark, "x3-checkpoint")
     try:
@@ -121,8 +122,8 @@ def x4(spark, sf_dir):
     table = BatchTable(spark, scratch_path(spark, "x4"), CANONICAL)
     checkpoint = scratch_path(spark, "x4-checkpoint")
     for _ in range(2):
-        lines = loads.line_stream(spark, fx.documents(spark, sf_dir), 1)
-        _wait(loads.sync(lines, loads.document_rows(), table, TOLERANT, checkpoint, "docs"))
+        lines = loads.line_stream(spark, fx.loadable_documents(spark, sf_dir), 1)
+        _wait(loads.sync(lines, loads.document_rows(), table, ld.DOCUMENT_LOAD, checkpoint, "docs"))
     return table.read().select(
         "event_date", "event_ts", "user_id", "event_name",
         json_text(F.col("attributes")).alias("attributes"),
@@ -130,9 +131,11 @@ def x4(spark, sf_dir):
 
 
 @query("x5_failed_batch", f"""
-SELECT event_name, 2 * count(*) AS n, 'loaded failed loaded' AS runs FROM {A} GROUP BY event_name""")
+SELECT event_name, 3 * count(*) AS n, 'loaded failed loaded, then loaded after 2 attempts; 1 given up' AS runs FROM {A}
+GROUP BY event_name""")
 def x5(spark, sf_dir):
-    """Three arrivals on one checkpoint; the one with too many rejects does not stop the next."""
+    """Arrivals on one checkpoint; those with too many rejects do not stop the next. One of them is
+    corrected and loads when it is tried again, the other one fails until it is given up."""
     path = scratch_path(spark, "x5")
     clean = fx.attribution(spark, sf_dir).drop("event_id")
     text = F.to_json(F.struct(*clean.columns), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
@@ -141,16 +144,48 @@ def x5(spark, sf_dir):
     table = BatchTable(spark, scratch_path(spark, "x5-table"), ATTRIBUTION_TABLE)
     rows = loads.ndjson_rows(ATTRIBUTION, ld.ATTRIBUTION_LOAD, required=True)
     checkpoint = scratch_path(spark, "x5-checkpoint")
-    for part in (good, bad, good):
-        part.write.mode("append").text(path)
+
+    def arrive(part, folder):
+        part.write.text(f"{path}/{folder}")
         lines = loads.line_stream(spark, path)
         _wait(loads.sync(lines, rows, table, ld.ATTRIBUTION_LOAD, checkpoint, "x5"))
+
+    for folder, part in (("a", good), ("b", bad), ("c", good)):
+        arrive(part, folder)
     states = table.ledger().where("path IS NULL").orderBy("loaded_at").select("status").collect()
     runs = " ".join(r["status"] for r in states)
+    failed = [r["batch_id"] for r in table.failed_batches(loads.MAX_ATTEMPTS).collect()]
+    good.limit(0).write.mode("overwrite").text(f"{path}/b")
+    _overwrite_files(spark, table.batch_files(failed[0]), good)
+    arrive(bad, "d")
+    while loads.retry_failed(table, rows, ld.ATTRIBUTION_LOAD):
+        pass
+    own = table.ledger().where("path IS NULL")
+    again = own.where(F.col("batch_id") == failed[0]).first()
+    lost = own.where("status = 'failed'").select("attempts").collect()
+    runs += f", then {again['status']} after {again['attempts']} attempts; {len(lost)} given up"
+    if [r["attempts"] for r in lost] != [loads.MAX_ATTEMPTS]:
+        raise AssertionError("a failed batch was not tried as often as it should")
     counts = table.read().groupBy("event_name").agg(F.count("*").alias("n"))
     return counts.withColumn("runs", F.lit(runs))
 
 
+def _overwrite_files(spark, paths, rows):
+    """Give the files of a batch new content: all rows in the first one, nothing in the others."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new = scratch_path(spark, "corrected")
+    rows.coalesce(1).write.text(new)
+    part = spark.read.text(new).select(F.col("_metadata.file_path").alias("p")).first()["p"]
+    target = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    fs = target[0].getFileSystem(conf)
+    for n, path in enumerate(target):
+        fs.delete(path, False)
+        if n == 0:
+            fs.rename(jvm.org.apache.hadoop.fs.Path(part), path)
+        else:
+            fs.create(path).close()
+
+
 @query("x6_envelope_stream", ROWS)
 def x6(spark, sf_dir):
     table = BatchTable(spark, scratch_path(spark, "x6"), CANONICAL)
@@ -183,7 +218,8 @@ def x7(spark, sf_dir):
 def d3_stream(spark, sf_dir):
     """Repeats lie within the watermark; the bodies of one path arrive together."""
     path = scratch_path(spark, "d3")
-    path_bodies(spark, sf_dir).orderBy("event_id").select("body").write.text(path)
+    # files in time order, each with a range of the events
+    path_bodies(spark, sf_dir).repartitionByRange(4, "event_id").select("body").write.text(path)
     out = scratch_path(spark, "d3-out")
     unique = queue.distinct_path_stream(queue.body_stream(spark, path), "3650 days").select("s3_path")
     _wait(
@@ -194,18 +230,25 @@ def d3_stream(spark, sf_dir):
     return spark.read.schema(unique.schema).parquet(out)
 
 
-@query("k14_archive", f"SELECT appsflyer_id, event_name FROM {A} WHERE {TYPED_OK}")
+@query("k14_archive", f"""
+SELECT appsflyer_id, event_name, 'loaded files archived, failed files kept' AS files FROM {A} WHERE {TYPED_OK}""")
 def k14(spark, sf_dir):
-    """Files of the first run move to the archive when the second one goes on."""
+    """Files of loaded batches move to the archive, those of a failed one stay for the retry."""
     path, archive = scratch_path(spark, "k14"), scratch_path(spark, "k14-archive")
     table = BatchTable(spark, scratch_path(spark, "k14-table"), ATTRIBUTION_TABLE)
     checkpoint = scratch_path(spark, "k14-checkpoint")
     rows = loads.ndjson_rows(ATTRIBUTION, ld.ATTRIBUTION_LOAD, required=True)
-    for half in fx.dirty_lines(spark, sf_dir).randomSplit([0.5, 0.5], seed=7):
-        half.write.mode("append").text(path)
-        lines = loads.line_stream(spark, path, 1000, archive)
-        _wait(loads.sync(lines, rows, table, TOLERANT, checkpoint, "k14"))
-    archived = spark.read.option("recursiveFileLookup", "true").text(archive)
-    if archived.isEmpty():
-        raise AssertionError("nothing was archived")
-    return table.read().select("appsflyer_id", "event_name")
+    halves = fx.nearly_clean_lines(spark, sf_dir).randomSplit([0.5, 0.5], seed=7)
+    bad = fx.events(spark, sf_dir).select(F.lit(fx.NOT_JSON).alias("value"))
+    for part in (halves[0], bad, halves[1]):
+        part.write.mode("append").text(path)
+        lines = loads.line_stream(spark, path, 1000)
+        _wait(loads.sync(lines, rows, table, ld.ATTRIBUTION_LOAD, checkpoint, "k14"))
+        loads.archive_loaded(table, archive)
+    names = lambda df: {r["p"].rpartition("/")[2] for r in df.collect()}
+    listed = lambda root: names(fl.list_any(spark, root).select(F.col("path").alias("p")))
+    entries = table.ledger().where("path IS NOT NULL").withColumnRenamed("path", "p")
+    done, failed = (names(entries.where(F.col("status") == s)) for s in ("loaded", "failed"))
+    right = done and failed and done <= listed(archive) and not failed & listed(archive) and failed <= listed(path)
+    files = "loaded files archived, failed files kept" if right and not done & listed(path) else "wrong files moved"
+    return table.read().select("appsflyer_id", "event_name", F.lit(files).alias("files"))

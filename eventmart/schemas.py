@@ -195,7 +195,7 @@ def _side_table(listing: str) -> T.StructType:
 
 
 LEDGER = _side_table(
-    "path string, batch_id string, status string, attempts int, loaded_at timestamp"
+    "path string, batch_id string, status string, attempts int, loaded_at timestamp, attempt string"
 )
 INGEST_LOG = _side_table(
     "batch_id string, worker_id string, target string, msg string, started_at timestamp, "

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.csvtext import split_fields
 from eventmart.functions.values import empty_as_null
 from eventmart.operators.joins import join_small
-from eventmart.session import scratch_path
+from eventmart.session import materialize, scratch_path
 
 # ---- fixed values -----------------------------------------------------------------------
 TIME_COLUMNS = ["ts", "timestamp", "event_time", "time", "event_ts", "profileattr.created_time"]
@@ -150,23 +150,26 @@ def with_layout(
     return lines.join(file_map, "file_path").join(dictionary, "header_id")
 
 
+def header_candidates(lines: DataFrame):
+    """True for lines of a file's first split that equal its header."""
+    return (F.col("block_start") == 0) & (F.col("line") == F.col("header"))
+
+
 def data_lines(lines: DataFrame) -> DataFrame:
-    """Drop header lines: line 1 where lines are numbered, else text equal to the file's
-    header in the file's first split."""
+    """All lines but the first of each file.
+
+    Numbered lines know theirs. Others are told by text: of the lines of a file's first split that
+    equal its header one is the header, and as they are equal it does not matter which one goes.
+    The rest of them, which are data, are counted in a second read and put back.
+    """
     if "line_no" in lines.columns:
         return lines.where(F.col("line_no") > 1)
-    return lines.where(~((F.col("block_start") == 0) & (F.col("line") == F.col("header"))))
-
-
-def repeated_headers(lines: DataFrame) -> DataFrame:
-    """Data lines that repeat their file's header in its first split: all but one of the lines
-    there that equal the header. They are equal texts, so it does not matter which one goes."""
-    same = lines.where((F.col("block_start") == 0) & (F.col("line") == F.col("header")))
+    same = lines.where(header_candidates(lines))
     counts = same.groupBy("file_path").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     copies = F.explode(F.sequence(F.lit(2), F.col("n")))
     keys = counts.select("file_path", copies.alias("_copy")).drop("_copy")
-    one = same.dropDuplicates(["file_path"])
-    return keys.join(one, "file_path").select(*lines.columns)
+    again = keys.join(same.dropDuplicates(["file_path"]), "file_path").select(*lines.columns)
+    return lines.where(~header_candidates(lines)).unionByName(again)
 
 
 def csv_rows(
@@ -174,21 +177,17 @@ def csv_rows(
     paths: str | list[str],
     file_filter=None,
     broadcast_limit: int = BROADCAST_LIMIT,
-    keep_repeated_headers: bool = False,
 ) -> DataFrame:
     """Parsed data rows of CSV files: source file, fields and the layout columns.
 
-    ``file_filter`` takes the file-name column; files it rejects are never opened. A line that
-    repeats the header is left out, or kept as a row at the price of a second read of the text.
+    ``file_filter`` takes the file-name column; files it rejects are never opened. Every line but
+    the first of a file is a row, blank lines and repeats of the header too.
     """
     lines = text_lines(spark, paths)
     if file_filter is not None:
         lines = lines.where(file_filter(F.col("file_name")))
     lines = with_layout(lines, read_headers(spark, paths, file_filter), broadcast_limit)
-    data = data_lines(lines)
-    if keep_repeated_headers:
-        data = data.unionByName(repeated_headers(lines))
-    return _fields_of(data)
+    return _fields_of(data_lines(lines))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -223,17 +222,15 @@ def row_map() -> Column:
 def numbered_lines(spark: SparkSession, paths: str | list[str], file_filter=None) -> DataFrame:
     """Lines with their exact 1-based number in the file (the header is line 1).
 
-    The raw lines are written once to the shared folder, which fixes their order. Numbers are
-    the position inside a split plus the sizes of the file's earlier splits, so no task ever
-    holds a whole file.
+    Two reads of the same files with the same splits: the first counts the lines of each split and
+    keeps no text, the second adds to a line's place in its split the sizes of the file's earlier
+    splits. Nothing is copied, no line is shuffled, and no task ever holds a whole file.
     """
     lines = text_lines(spark, paths)
     if file_filter is not None:
         lines = lines.where(file_filter(F.col("file_name")))
-    target = scratch_path(spark, "lines")
-    lines.withColumn("row_id", F.monotonically_increasing_id()).write.parquet(target)
-    stored = spark.read.parquet(target)
-    splits = stored.groupBy("file_path", "block_start").agg(
+    lines = lines.withColumn("row_id", F.monotonically_increasing_id())
+    splits = lines.groupBy("file_path", "block_start").agg(
         F.min("row_id").alias("first_id"), F.count("*").alias("n")
     )  # one row per split
     earlier = (
@@ -246,7 +243,7 @@ def numbered_lines(spark: SparkSession, paths: str | list[str], file_filter=None
         "block_start",
         (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1 - F.col("first_id")).alias("shift"),
     )
-    joined = join_small(stored, offsets, ["file_path", "block_start"], BROADCAST_LIMIT)
+    joined = join_small(lines, materialize(offsets, "splits"), ["file_path", "block_start"], BROADCAST_LIMIT)
     return joined.select(
         "file_path",
         "file_name",
@@ -256,26 +253,8 @@ def numbered_lines(spark: SparkSession, paths: str | list[str], file_filter=None
     )
 
 
-RANKED_ROWS = 999  # beyond this a per-file ranking is not cut down before its shuffle
-
-
 def first_rows(
     spark: SparkSession, paths: str | list[str], rows: int, file_filter=None
 ) -> DataFrame:
-    """Header plus the first ``rows`` data lines of each file.
-
-    A short head is ranked: each task keeps that many lines per file and split before the
-    shuffle. A long one is cut from numbered lines, so that no task has to hold a file.
-    """
-    if rows > RANKED_ROWS - 1:
-        return numbered_lines(spark, paths, file_filter).where(F.col("line_no") <= rows + 1)
-    lines = text_lines(spark, paths)
-    if file_filter is not None:
-        lines = lines.where(file_filter(F.col("file_name")))
-    order = Window.partitionBy("file_path").orderBy("block_start", "row_id")
-    return (
-        lines.withColumn("row_id", F.monotonically_increasing_id())
-        .withColumn("line_no", F.row_number().over(order))
-        .where(F.col("line_no") <= rows + 1)
-        .drop("row_id")
-    )
+    """Header plus the first ``rows`` data lines of each file."""
+    return numbered_lines(spark, paths, file_filter).where(F.col("line_no") <= rows + 1)

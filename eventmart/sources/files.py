@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.values import file_name_numbers, url_parts
@@ -26,12 +28,7 @@ def list_files(spark: SparkSession, root: str, kind: str) -> DataFrame:
     root = root.rstrip("/")
     # a plain path compares with the URI form that the source reports
     path_of_root = root.split("://", 1)[-1] if "://" in root else root.removeprefix("file:")
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length", "modificationTime")
-    )
+    files = list_any(spark, root)
     tail = F.substring_index(F.col("path"), path_of_root + "/", -1)
     files = files.withColumn("key", tail).where(F.col("path").rlike(KINDS[kind]))
     if kind == "documents":
@@ -40,6 +37,12 @@ def list_files(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return files.select("path", "key", "length", "modificationTime")
 
 
+def list_any(spark: SparkSession, root: str) -> DataFrame:
+    """All files under ``root``: path, length, modified time."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select("path", "length", "modificationTime")
+
+
 def started_by(path: Column, start_date: str = START_DATE) -> Column:
     """True for files whose name carries a data date on or after ``start_date``.
 
@@ -82,10 +85,7 @@ _MANIFEST = "entries ARRAY<STRUCT<url: STRING, mandatory: BOOLEAN>>"
 
 
 def _entries(manifests: DataFrame) -> DataFrame:
-    """Entries as (manifest, path, mandatory); the manifest is known by its first file."""
-    return manifests.select(
-        F.element_at("entries.url", 1).alias("manifest"), F.explode("entries").alias("e")
-    ).select(
+    return manifests.select("manifest", F.explode("entries").alias("e")).select(
         "manifest",
         F.col("e.url").alias("path"),
         F.coalesce("e.mandatory", F.lit(False)).alias("mandatory"),
@@ -93,20 +93,45 @@ def _entries(manifests: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest files ``{entries:[{url, mandatory}]}``, one document per file."""
-    return _entries(spark.read.schema(_MANIFEST).option("multiLine", "true").json(path))
+    """Manifest files ``{entries:[{url, mandatory}]}``, one document per file, as (manifest, path,
+    mandatory). A manifest is known by its own file."""
+    files = spark.read.schema(_MANIFEST).option("multiLine", "true").json(path)
+    return _entries(files.select(F.col("_metadata.file_path").alias("manifest"), "entries"))
 
 
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The same with one manifest per line."""
-    return _entries(spark.read.schema(_MANIFEST).json(path))
+    """The same with one manifest per line, known by its file and a hash of its line. Lines that are
+    equal are one manifest."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").distinct()
+    name = F.concat_ws("#", "file", F.sha2("value", 256))
+    return _entries(lines.select(name.alias("manifest"), F.from_json("value", _MANIFEST).entries.alias("entries")))
+
+
+def manifest_loads(entries: DataFrame, files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:
+    """(manifest, batch, paths): what to load of every manifest, in batches of files.
+
+    All manifests meet the listing in one join. A missing mandatory file fails the whole call; other
+    missing files are left out. A manifest of any length is cut into batches of at most
+    ``batch_size`` files, by path; a path named twice in a manifest counts once.
+    """
+    named = entries.groupBy("manifest", "path").agg(F.max("mandatory").alias("mandatory"))
+    lost = named.where("mandatory").join(files.select("path"), "path", "left_anti").limit(5).collect()
+    if lost:
+        raise FileNotFoundError(f"mandatory files are missing: {[r['path'] for r in lost]}")
+    present = named.join(files.select("path"), "path", "left_semi")
+    place = F.row_number().over(Window.partitionBy("manifest").orderBy("path"))
+    return (
+        present.withColumn("batch", F.floor((place - 1) / batch_size))
+        .groupBy("manifest", "batch")
+        .agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    )
 
 
-def manifest_batches(entries: DataFrame):
-    """The entries of one manifest after the other: one load each."""
-    names = entries.select("manifest").distinct().orderBy("manifest")
-    for row in names.toLocalIterator():
-        yield entries.where(F.col("manifest") == row["manifest"])
+def run_loads(loads: DataFrame, load, parallel: int = 10) -> list:
+    """``load(manifest, batch, paths)`` for every row of ``manifest_loads``, several at a time."""
+    with ThreadPoolExecutor(parallel) as pool:
+        rows = loads.orderBy("manifest", "batch").toLocalIterator()
+        return list(pool.map(lambda r: load(r["manifest"], r["batch"], r["paths"]), rows))
 
 
 def manifest_of(files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:
@@ -131,19 +156,6 @@ def manifest_of(files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFram
     )
 
 
-def resolve_manifest(manifest: DataFrame, files: DataFrame) -> list[str]:
-    """Paths of one manifest that can be read. A missing mandatory file fails the load; more
-    entries than one load takes is an error, so the list is bounded."""
-    present, missing = check_exists(manifest.dropDuplicates(["path"]), files)
-    lost = missing.where("mandatory").limit(5).collect()
-    if lost:
-        raise FileNotFoundError(f"mandatory files are missing: {[r['path'] for r in lost]}")
-    paths = [r["path"] for r in present.select("path").limit(FILES_PER_BATCH + 1).collect()]
-    if len(paths) > FILES_PER_BATCH:
-        raise ValueError(f"a load takes at most {FILES_PER_BATCH} files")
-    return sorted(paths)
-
-
 def split_url(df: DataFrame, column: str) -> DataFrame:
     """Add ``bucket`` and ``key`` of an object URL; both null when it is not one."""
     bucket, key = url_parts(F.col(column))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import Callable
 
@@ -16,21 +17,22 @@ from eventmart.schemas import LOAD_TIME_COLUMNS
 from eventmart.sources.ndjson import SOURCE, parse_ndjson
 
 FILES_PER_BATCH = 1000  # fixed value
+MAX_ATTEMPTS = 3
 
 
 def line_stream(
     spark: SparkSession,
     path: str,
     files_per_batch: int = FILES_PER_BATCH,
-    archive_dir: str | None = None,
+    bytes_per_batch: str | None = None,
 ) -> DataFrame:
-    """Lines of new files with their file. With ``archive_dir`` a file moves there once its
-    batch is behind the checkpoint, so only loaded files are archived."""
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    if archive_dir is not None:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    """Lines of new files with their file. A batch ends at ``files_per_batch`` files, or at about
+    ``bytes_per_batch`` (such as ``"10g"``) if that is given."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if bytes_per_batch is None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     else:
-        reader = reader.option("recursiveFileLookup", "true")
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.text(path).select("value", F.col("_metadata.file_path").alias(SOURCE))
 
 
@@ -58,6 +60,21 @@ def document_rows(keep_source: bool = False):
     return transform
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def _load(rows: DataFrame, table: BatchTable, batch_id: str, policy: LoadPolicy) -> bool:
+    now = _now()
+    if set(LOAD_TIME_COLUMNS) <= set(table.schema.names):
+        rows = stamp(rows, F.lit(now))
+    try:
+        table.load(rows, batch_id, policy, now)
+    except LoadFailed:
+        return False  # recorded as failed, with its files and attempts, for ``retry_failed``
+    return True
+
+
 def sync(
     lines: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
@@ -72,19 +89,12 @@ def sync(
     Without ``interval`` it loads what is there and stops; ``"1 hour"`` keeps it running. The
     checkpoint remembers the files, the batch id (the checkpoint's own id and a number) makes a
     replay harmless, and a batch with too many rejects stays unpublished in the ledger while the
-    next ones go on.
+    next ones go on. ``retry_failed`` loads such batches again.
     """
 
     def load(rows: DataFrame, number: int) -> None:
         stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch_id = f"{name}-{stream}-{number}"
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        if set(LOAD_TIME_COLUMNS) <= set(table.schema.names):
-            rows = stamp(rows, F.lit(now))
-        try:
-            table.load(rows, batch_id, policy, now)
-        except LoadFailed:
-            pass  # recorded as failed, with its files and attempts
+        _load(rows, table, f"{name}-{stream}-{number}", policy)
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
@@ -96,3 +106,45 @@ def sync(
     )
 
 
+def retry_failed(
+    table: BatchTable,
+    transform: Callable[[DataFrame], DataFrame],
+    policy: LoadPolicy,
+    max_attempts: int = MAX_ATTEMPTS,
+) -> dict[str, bool]:
+    """Load the failed batches again from their files, as they are now, under the same ids.
+
+    Batches that have had ``max_attempts`` attempts are left. Returns what became of each batch
+    that was tried; files that are gone fail the job.
+    """
+    spark, outcome = table.spark, {}
+    for row in table.failed_batches(max_attempts).orderBy("batch_id").collect():  # failures are few
+        paths = table.batch_files(row["batch_id"])
+        if not paths:  # the transform kept no source: there is nothing to read again
+            continue
+        lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias(SOURCE))
+        outcome[row["batch_id"]] = _load(transform(lines), table, row["batch_id"], policy)
+    return outcome
+
+
+def archive_loaded(table: BatchTable, archive_dir: str, parallel: int = 16) -> int:
+    """Move the files of loaded batches to ``archive_dir``, keeping their names under a folder per
+    batch. Files of failed batches stay for the retry. Returns the number of files moved.
+
+    The ledger is streamed through the driver one partition at a time; a move is a rename. A file
+    that was moved before is skipped, so the job can be run again after a failure.
+    """
+    spark = table.spark
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path = jvm.org.apache.hadoop.fs.Path
+
+    def move(row) -> bool:
+        source = hadoop_path(row["path"])
+        target = hadoop_path(f"{archive_dir}/{row['batch_id']}/{source.getName()}")
+        fs = source.getFileSystem(conf)
+        fs.mkdirs(target.getParent())
+        return fs.exists(source) and fs.rename(source, target)
+
+    loaded = table.ledger().where((F.col("status") == "loaded") & F.col("path").isNotNull())
+    with ThreadPoolExecutor(parallel) as pool:
+        return sum(pool.map(move, loaded.select("path", "batch_id").toLocalIterator()))

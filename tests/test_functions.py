@@ -236,3 +236,30 @@ def test_numeric_user_id(spark):
 def test_unknown_mode(spark, mode):
     with pytest.raises(ValueError):
         times.resolve_time(F.lit("x"), mode)
+
+
+def test_written_dates(spark):
+    """The accepted shapes; a zone or an offset shifts to UTC."""
+    want = {
+        "January 5, 2024 3:04 PM": datetime(2024, 1, 5, 15, 4),
+        "Jan 5 2024 10:00": datetime(2024, 1, 5, 10),
+        "Jan-05-2024": datetime(2024, 1, 5),
+        "Jan 5, 2024 10:00:00 EST": datetime(2024, 1, 5, 15),
+        "Jan 5, 2024 10:00 +0200": datetime(2024, 1, 5, 8),
+        "Fri Jan 05 2024 10:00:00 GMT+0530 (India Standard Time)": datetime(2024, 1, 5, 4, 30),
+        "Fri, 05 Jan 2024 10:00:00 GMT": datetime(2024, 1, 5, 10),
+        "5 January 2024": datetime(2024, 1, 5),
+        "1st March 2024 at 5:00pm": datetime(2024, 3, 1, 17),
+        "Jan 5, 2024 12:01 am": datetime(2024, 1, 5, 0, 1),
+        "Jan 5, 2024 10:00 -03:30": datetime(2024, 1, 5, 13, 30),
+        "Jan 5, 2024 13:00 PM": None,
+        "Feb 30, 2024": None,
+        "Jan 5": None,
+        "soon": None,
+    }
+    assert column(spark, list(want), times.parse_worded) == list(want.values())
+    as_of = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    for mode in ("reference", "corrected"):
+        worded = [t for t, v in want.items() if v and not t[0].isdigit()]
+        got = column(spark, worded, lambda c: times.first_time(F.array(c), as_of, mode))
+        assert got == [want[t] for t in worded]

@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,8 +87,7 @@ def test_repeated_header_lines(spark, scratch):
     path = scratch()
     write_lines(spark, path, ["1,2", "x,y", "x,y", "3,4"], "a", "x,y")
     write_lines(spark, path, ["1,2"], "b", "x,y")
-    assert cl.csv_rows(spark, path).count() == 3
-    kept = cl.csv_rows(spark, path, keep_repeated_headers=True)
+    kept = cl.csv_rows(spark, path)
     assert kept.count() == 5 and kept.where(F.get("fields", F.lit(0)) == "x").count() == 2
 
 
@@ -150,10 +150,10 @@ def test_listing_manifest_and_ledger(spark, scratch):
     manifest = scratch()
     fl.manifest_of(files, batch_size=1).select("value").write.text(manifest)
     entries = fl.read_manifest_lines(spark, manifest)
-    batches = list(fl.manifest_batches(entries))
-    assert sorted(fl.resolve_manifest(b, files) for b in batches) == [[paths[0]], [paths[1]]]
+    loads_ = fl.manifest_loads(entries, files).collect()
+    assert sorted(r["paths"] for r in loads_) == [[paths[0]], [paths[1]]] and {r["batch"] for r in loads_} == {0}
     with pytest.raises(FileNotFoundError):
-        fl.resolve_manifest(entries, files.where(F.col("path") == paths[0]))
+        fl.manifest_loads(entries, files.where(F.col("path") == paths[0]))
 
     def ledger(status, attempts):
         return spark.createDataFrame([(paths[0], "b", status, attempts, NOW)],
@@ -389,3 +389,86 @@ def test_stream_batches_carry_the_checkpoint_id(spark, scratch):
 def test_good_drops_helper_columns(spark):
     rows = cast_rows(attribution_rows(spark, event()), ATTRIBUTION, ATTRIBUTION_LOAD)
     assert T.StructType(good(rows).schema.fields).names == ATTRIBUTION.names
+
+
+# -- attempts, retries, archive, manifests ---------------------------------------------------
+def canonical_rows(spark, *days, reject=False):
+    rows = spark.createDataFrame(
+        [(d, f"{d} 00:00:00", "u", f"n{i}", "f", '{"a":1}') for i, d in enumerate(days)]
+        + ([("2024-99-99", "x", "u", "bad", "f", "{}")] if reject else []),
+        "event_date STRING, event_ts STRING, user_id STRING, event_name STRING, source_file STRING, attributes STRING",
+    ).withColumn("attributes", F.parse_json("attributes"))
+    return cast_rows(rows, CANONICAL, LoadPolicy())
+
+
+def test_corrected_batch_loads(spark, scratch):
+    """The rejects of an earlier attempt do not count again, and its rows are not published."""
+    table = BatchTable(spark, scratch(), CANONICAL, partition_by=("event_date",))
+    with pytest.raises(LoadFailed):
+        table.load(canonical_rows(spark, "2024-01-01", reject=True), "b", LoadPolicy(), NOW)
+    assert table.rejects().count() == 1
+    assert table.load(canonical_rows(spark, "2024-01-02"), "b", LoadPolicy(), NOW) == {"ok": 1, "reject": 0}
+    assert [r["event_date"].isoformat() for r in table.read().collect()] == ["2024-01-02"]
+    assert table.rejects().count() == 0 and table.batch_state("b")["attempts"] == 2
+
+
+def test_crash_between_stage_and_ledger(spark, scratch):
+    """The next attempt may put the rows into other partitions; each row is read once."""
+    table = BatchTable(spark, scratch(), CANONICAL, partition_by=("event_date",))
+    table.stage(canonical_rows(spark, "2024-01-01"), "b")
+    assert table.read().count() == 0
+    table.load(canonical_rows(spark, "2024-01-02"), "b", LoadPolicy(), NOW)
+    assert [r["event_date"].isoformat() for r in table.read().collect()] == ["2024-01-02"]
+    assert table.load(canonical_rows(spark, "2024-01-03"), "b", LoadPolicy(), NOW) == {"ok": 1, "reject": 0}
+    assert table.read().count() == 1
+
+
+def test_csv_scan_keeps_every_line_at_any_split(spark, scratch):
+    path = scratch()
+    lines = []
+    for i in range(2000):
+        lines.append(f"{i},{'v' * (i % 50)}")
+        if i % 100 == 0:
+            lines += ["x,y", ""]
+    Path(path).mkdir(parents=True)
+    Path(path, "a.csv").write_text("\n".join(["x,y", *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("8k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = cl.csv_rows(spark, path)
+            first = F.get("fields", F.lit(0))
+            assert rows.count() == 2040
+            assert rows.where(first == "x").count() == 20 and rows.where(first == "").count() == 20
+            numbered = cl.numbered_lines(spark, path).where("line_no > 1").orderBy("line_no").collect()
+            assert [r["line"] for r in numbered] == lines
+            assert [r["line"] for r in cl.first_rows(spark, path, 300).orderBy("line_no").collect()][1:] == lines[:300]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_manifests_of_any_length(spark, scratch):
+    files = spark.range(2500).select(F.format_string("file:/d/%05d.json", "id").alias("path"))
+    root = scratch()
+    entry = lambda i: {"url": f"file:/d/{i:05d}.json", "mandatory": i != 2600}
+    long, short = ([entry(i) for i in r] for r in (range(0, 2501), (0, 7, 7, 2600)))
+    long[-1]["mandatory"] = False
+    for name, entries in (("a", long), ("b", short)):  # both begin with the same file
+        spark.createDataFrame([(json.dumps({"entries": entries}),)], "value STRING").coalesce(1).write.text(f"{root}/{name}")
+    for read in (fl.read_manifest, fl.read_manifest_lines):
+        got = {}
+        for r in fl.manifest_loads(read(spark, f"{root}/*"), files).collect():
+            got.setdefault(r["manifest"], {})[r["batch"]] = r["paths"]
+        sizes = sorted([len(p) for _, p in sorted(m.items())] for m in got.values())
+        assert sizes == [[2], [1000, 1000, 500]]
+    seen = fl.run_loads(fl.manifest_loads(fl.read_manifest(spark, f"{root}/*"), files), lambda m, b, p: len(p))
+    assert sorted(seen) == [2, 500, 1000, 1000]
+
+
+def test_retry_gives_up(spark, scratch):
+    source, table = scratch(), BatchTable(spark, scratch(), CANONICAL)
+    spark.createDataFrame([("oops",)], "value STRING").write.text(source)
+    loads.sync(loads.line_stream(spark, source), loads.document_rows(), table, LoadPolicy(), scratch(), "s").awaitTermination()
+    tried = [loads.retry_failed(table, loads.document_rows(), LoadPolicy(), 3) for _ in range(4)]
+    assert [list(t.values()) for t in tried] == [[False], [False], [], []]
+    assert loads.archive_loaded(table, scratch()) == 0
