@@ -124,27 +124,33 @@ def _induce(text: np.ndarray, symbols: int, end: np.ndarray, lms: np.ndarray) ->
 
 
 def _doubling(text: np.ndarray) -> np.ndarray:
-    """Suffix array of a text with many symbols: ranks of prefixes of doubling length."""
+    """Suffix array of a text with many symbols: ranks of prefixes of doubling length, of which only
+    those not yet alone are sorted again."""
     n, k = len(text), 1
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64) + 1
+    order = np.argsort(text, kind="stable")
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1  # beyond the end
+    first = np.concatenate([[True], text[order[1:]] != text[order[:-1]]])
     while True:
-        after = np.zeros(n, np.int64)
-        after[: n - k] = rank[k:] if k < n else after[: max(0, n - k)]
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.concatenate([[1], 1 + np.cumsum(key[1:] != key[:-1])])
-        if new[-1] == n:
+        head = np.flatnonzero(first)
+        size = np.diff(np.append(head, n))
+        rank[order] = np.repeat(head, size)
+        tied = np.flatnonzero(np.repeat(size > 1, size))
+        if not len(tied):
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+        some = order[tied]
+        key = rank[some] * (n + 1) + rank[np.minimum(some + k, n)] + 1
+        by = np.argsort(key)
+        order[tied], key = some[by], key[by]
+        first[tied[1:]] = key[1:] != key[:-1]
+        first[tied[0]] = True
         k *= 2
 
 
 def permuted_lcp(text: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     """For each place of a byte text, the common prefix with its predecessor in ``sa``, at most ``cap``.
 
-    Places are compared eight bytes at a time, in text order, until they differ.
+    ``sa`` may hold some of the suffixes only; the others get 0. Places are compared eight bytes at a time, in text order, until they differ.
     """
     n = len(text)
     padded = np.zeros(n + cap + 16, np.uint8)

@@ -167,16 +167,19 @@ def candidates(texts: DataFrame, shards: int) -> DataFrame:
 
 
 def owned_elsewhere(found: DataFrame, shards: int) -> DataFrame:
-    """(key, start, end) spans of strings that a smaller document has. ``found``: key, text, hashes."""
+    """(key, variant, start, end) spans of strings that a smaller document has.
+
+    ``found``: key, variant, text, hashes, and columns that are not looked at."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[bytes, int] = {}
         hashes, rows, held, salt = [], [], 0, 0
         for batch in batches:
-            data, offsets = packed(batch.column(1))
-            key = _ids(batch.column(0))
-            lists = batch.column(2)
-            of = np.repeat(np.arange(len(key)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            batch = batch.filter(batch.column("hashes").is_valid())
+            data, offsets = packed(batch.column("text"))
+            key, variant = _ids(batch.column("key")), batch.column("variant").to_numpy()
+            lists = batch.column("hashes")
+            of = np.repeat(np.arange(len(key)), lists.value_lengths().to_numpy(zero_copy_only=False))
             wanted = np.unique(_tagged(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), of))
             raw = data.tobytes()
             for h, start, end, text in regions(data, offsets):
@@ -184,13 +187,11 @@ def owned_elsewhere(found: DataFrame, shards: int) -> DataFrame:
                 h, start, end, text = h[hit], start[hit], end[hit], text[hit]
                 number = np.empty(len(h), np.int64)
                 for i, (x, y, z) in enumerate(zip(start.tolist(), end.tolist(), h.tolist())):
-                    content = raw[x:y]
-                    n = table.setdefault(content, len(table))
-                    number[i] = n
+                    n = number[i] = table.setdefault(raw[x:y], len(table))
                     if n == len(hashes):
                         hashes.append(z)
                         held += y - x
-                rows.append((number, key[text], start - offsets[text], end - start))
+                rows.append((number, key[text], variant[text], start - offsets[text], end - start))
             if held >= _FLUSH_BYTES:
                 yield flush(table, hashes, rows, salt)
                 table, hashes, rows, held, salt = {}, [], [], 0, salt + 1
@@ -199,9 +200,10 @@ def owned_elsewhere(found: DataFrame, shards: int) -> DataFrame:
 
     def flush(table: dict, hashes: list, rows: list, salt: int) -> pa.RecordBatch:
         content, h = list(table), np.array(hashes, np.uint64)
-        number, key, start, size = (np.concatenate(x) for x in zip(*rows))
-        number, key, start, low, spans = _resolve(number, key, start, size)
+        number, key, variant, start, size = (np.concatenate(x) for x in zip(*rows))
+        number, key, variant, start, low, spans = _resolve(number, key, variant, start, size)
         shard = (h % np.uint64(shards)).astype(np.int64)
+        part = ((h // np.uint64(shards)) & np.uint64(0xFFFF)).astype(np.uint16)
         by = np.argsort(shard, kind="stable")
         cut = np.searchsorted(shard[by], np.arange(shards + 1))
         first = np.searchsorted(number, np.arange(len(content) + 1))
@@ -212,9 +214,9 @@ def owned_elsewhere(found: DataFrame, shards: int) -> DataFrame:
                 text = np.frombuffer(b"".join(content[i] for i in some), np.uint8)
                 length = np.array([len(content[i]) for i in some], np.uint32)
                 places = (first[some + 1] - first[some]).astype(np.uint32)
-                at = np.concatenate([start[first[i] : first[i + 1]] for i in some])
+                at = np.concatenate([np.arange(first[i], first[i + 1]) for i in some])
                 to.append(s)
-                blobs.append(pack_arrays(h[some], length, low[some], places, at, text))
+                blobs.append(pack_arrays(part[some], length, low[some], places, variant[at], start[at], text))
         passed = [pack_arrays(*spans)] if len(spans[0]) else []
         where = int(mix(np.array([int(h[0]) + salt], np.uint64))[0] % np.uint64(shards))
         return _rows([*to, *[where] * len(passed)], blobs, passed)
@@ -227,14 +229,29 @@ def owned_elsewhere(found: DataFrame, shards: int) -> DataFrame:
                     yield _spans(unpack_arrays(blob))
                 else:
                     held.append(blob)
-        groups = 1 + sum(map(len, held)) * 2 // _TEXT_BYTES  # compressed by about two
+        # equal strings have equal hashes and so one part: groups of parts keep suffix arrays small
+        groups = max(1, sum(map(len, held)) * 2 // _TEXT_BYTES)  # compressed by about two
+        tables: list[dict[bytes, int]] = [{} for _ in range(groups)]
+        rows: list[list[tuple]] = [[] for _ in range(groups)]
+        while held:
+            part, length, low, places, variant, start, text = unpack_arrays(held.pop())
+            end, place, raw = np.cumsum(length, dtype=np.int64), np.cumsum(places, dtype=np.int64), text.tobytes()
+            group = (part.astype(np.int64) * groups) >> 16
+            number = np.empty(len(part), np.int64)
+            for i, (g, y, n) in enumerate(zip(group.tolist(), end.tolist(), length.tolist())):
+                number[i] = tables[g].setdefault(raw[y - n : y], len(tables[g]))
+            of = np.repeat(np.arange(len(part)), places)
+            for g in np.unique(group).tolist():
+                mine = np.flatnonzero(group[of] == g)
+                r = of[mine]
+                rows[g].append((number[r], low[r], variant[mine], start[mine], length[r].astype(np.int64)))
         for g in range(groups):
-            spans = _shard_spans(held, shards, groups, g)
-            if spans is not None:
-                yield _spans(spans)
+            if rows[g]:
+                yield _spans(_group_spans(list(tables[g]), *(np.concatenate(x) for x in zip(*rows[g]))))
+                tables[g], rows[g] = {}, []
 
     dealt = found.mapInArrow(deal, "shard int, done boolean, packed binary")
-    return dealt.repartitionById(shards, F.col("shard")).mapInArrow(meet, "key long, start long, end long")
+    return dealt.repartitionById(shards, F.col("shard")).mapInArrow(meet, "key long, variant int, start long, end long")
 
 
 def _tagged(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -242,84 +259,78 @@ def _tagged(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 
 def _spans(arrays) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(a, np.int64)) for a in arrays], names=["key", "start", "end"])
+    kinds = np.int64, np.int32, np.int64, np.int64
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(a, t)) for a, t in zip(arrays, kinds)], names=["key", "variant", "start", "end"])
 
 
-def _resolve(number: np.ndarray, key: np.ndarray, start: np.ndarray, size: np.ndarray):
+def _resolve(number: np.ndarray, key: np.ndarray, variant: np.ndarray, start: np.ndarray, size: np.ndarray):
     """Split the places of regions: those of a region's smallest document stay, the others are spans.
 
-    Returns number, key and start of the places that stay (by region), the smallest document of each
-    region, and (key, start, end) of the spans."""
-    order = np.lexsort((start, key, number))
-    number, key, start, size = number[order], key[order], start[order], size[order]
+    Returns number, key, variant and start of the places that stay (by region), the smallest document
+    of each region, and (key, variant, start, end) of the spans."""
+    order = np.lexsort((key, number))
+    number, key, variant, start, size = number[order], key[order], variant[order], start[order], size[order]
     first = _starts(number)
     low = key[first]
     other = key != np.repeat(low, np.diff(np.append(first, len(number))))
-    spans = key[other], start[other], start[other] + size[other]
-    return number[~other], key[~other], start[~other], low, spans
-
-
-def _shard_spans(held: list[bytes], shards: int, groups: int, group: int):
-    """Spans found among the regions of one hash group of a shard."""
-    table: dict[bytes, int] = {}
-    rows = []
-    for blob in held:
-        h, length, low, places, at, text = unpack_arrays(blob)
-        mine = ((h // np.uint64(shards)) % np.uint64(groups)).astype(np.int64) == group
-        end, raw = np.cumsum(length.astype(np.int64)), text.tobytes()
-        place = np.cumsum(places.astype(np.int64))
-        for i in np.flatnonzero(mine).tolist():
-            n = table.setdefault(raw[end[i] - length[i] : end[i]], len(table))
-            rows.append((n, low[i], at[place[i] - places[i] : place[i]], length[i]))
-    if not rows:
-        return None
-    count = np.array([len(r[2]) for r in rows])
-    number, key, size = (np.repeat(np.array([r[j] for r in rows], np.int64), count) for j in (0, 1, 3))
-    number, key, start, low, spans = _resolve(number, key, np.concatenate([r[2] for r in rows]), size)
-    found = [spans]
-    content = list(table)
-    flagged = foreign_strings(content, low)
-    for n, a, b in flagged:
-        lo, hi = np.searchsorted(number, [n, n + 1])
-        found.append((key[lo:hi], start[lo:hi] + a, start[lo:hi] + b))
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def foreign_strings(content: list[bytes], owner: np.ndarray) -> list[tuple[int, int, int]]:
-    """(region, first byte, end byte) of the strings that a region with a smaller owner has too."""
+    spans = key[other], variant[other], start[other], start[other] + size[other]
+    return number[~other], key[~other], variant[~other], start[~other], low, spans
+
+
+def _group_spans(content: list[bytes], number, key, variant, start, size):
+    """Spans found among some regions, given with their places."""
+    number, key, variant, start, low, spans = _resolve(number, key, variant, start, size)
+    region, a, b = foreign_strings(content, low)
+    first = np.searchsorted(number, np.arange(len(content) + 1))
+    count = (first[1:] - first[:-1])[region]
+    at = np.repeat(first[region] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    found = key[at], variant[at], start[at] + np.repeat(a, count), start[at] + np.repeat(b, count)
+    return tuple(np.concatenate(x) for x in zip(spans, found))
+
+
+def foreign_strings(content: list[bytes], owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(region, first byte, end byte) of runs of strings that a region with a smaller owner has too."""
     length = np.array([len(c) for c in content], np.int64)
     text = np.frombuffer(bytes([_SEPARATOR]).join(content), np.uint8)
     begin = np.cumsum(length + 1) - (length + 1)
+    region = np.repeat(np.arange(len(content), dtype=np.int32), length + 1)[: len(text)]
+    inside = np.arange(len(text)) + LENGTH <= (begin + length)[region]
     sa = suffix_array(text, 256)
+    sa = sa[inside[sa]]
     common = permuted_lcp(text, sa, LENGTH)[sa]
-    region = np.searchsorted(begin, sa, "right") - 1
-    inside = sa + LENGTH <= begin[region] + length[region]
-    own = np.where(inside, owner[region], NO_ID)
+    own = owner[region[sa]]
     group = np.flatnonzero(np.concatenate([[True], common[1:] < LENGTH])) if len(sa) else np.zeros(0, np.int64)
-    least = np.repeat(np.minimum.reduceat(own, group), np.diff(np.append(group, len(sa))))
+    least = np.repeat(np.minimum.reduceat(own, group), np.diff(np.append(group, len(sa)))) if len(sa) else own
     hit = np.zeros(len(text) + 1, bool)
-    hit[sa[inside & (least < own)]] = True
+    hit[sa[least < own]] = True
     at = np.flatnonzero(hit)
     if not len(at):
-        return []
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
     new = np.concatenate([[True], at[1:] != at[:-1] + 1])
     first, last = at[new], at[np.append(new[1:], True)]
-    r = np.searchsorted(begin, first, "right") - 1
-    return list(zip(r.tolist(), (first - begin[r]).tolist(), (last - begin[r] + LENGTH).tolist()))
+    r = region[first].astype(np.int64)
+    return r, first - begin[r], last - begin[r] + LENGTH
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(key, spans): byte spans of each document that a smaller document has, not yet merged.
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, key (the id, or NO_ID for null) and variant, which tells texts of one id apart."""
+    return docs.select(
+        "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
+        (F.xxhash64("text") % (1 << 31)).cast("int").alias("variant"),
+    )
 
-    ``key`` is the doc_id, or NO_ID for null. Documents without such spans are absent.
-    """
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), "text")
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(key, spans): byte spans (variant, start, end) of documents that a smaller document has, not yet
+    merged. Documents without such spans are absent."""
+    texts = keyed(docs)
     spark = docs.sparkSession
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
-    hashes = candidates(texts, shards).groupBy("key").agg(F.collect_list("hash").alias("hashes"))
-    spans = owned_elsewhere(texts.join(hashes, "key"), shards)
-    return spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    hashes = candidates(texts.select("key", "text"), shards).groupBy("key").agg(F.collect_list("hash").alias("hashes"))
+    # the same columns and the same side of the same join as in ``remove``: the texts are shuffled once
+    spans = owned_elsewhere(texts.join(hashes, "key", "left"), shards)
+    return spans.groupBy("key").agg(F.collect_list(F.struct("variant", "start", "end")).alias("spans"))
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -344,22 +355,22 @@ def remove(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = packed(batch.column(1))
+            data, offsets = packed(batch.column("text"))
             raw, out = data.tobytes(), []
-            for i, spans in enumerate(batch.column(2).to_pylist()):
+            variants = batch.column("variant").to_pylist()
+            for i, spans in enumerate(batch.column("spans").to_pylist()):
                 text = raw[offsets[i] : offsets[i + 1]]
-                cut = merge([(s["start"], s["end"]) for s in spans or ()])
+                cut = merge([(s["start"], s["end"]) for s in spans or () if s["variant"] == variants[i]])
                 edges = [0, *(x for span in cut for x in span), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 out.append((len(text), len(text) - len(kept), len(cut), kept))
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
+                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"))
-    joined = keyed.join(repeated_spans(docs), "key", "left").select("doc_id", "text", "spans")
+    joined = keyed(docs).join(repeated_spans(docs), "key", "left")
     return joined.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
