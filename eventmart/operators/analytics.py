@@ -58,7 +58,7 @@ def attribution(df: DataFrame, as_of=None, days: int = 30, approximate: bool = F
     )
 
 
-def revenue_by_platform(df: DataFrame, as_of=None, days: int = 7) -> DataFrame:
+def revenue_by_device(df: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     return (
         since(df, as_of, f"{days} DAYS")
         .where(F.col("event_name").isin(PURCHASES) & F.col("event_revenue_usd").isNotNull())
@@ -89,5 +89,8 @@ def latest_loaded(df: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def lookup(df: DataFrame, event_id: str, only_latest: bool = False) -> DataFrame:
+    """All rows of an id, or the latest; of equal times the one with the largest hash of all its text."""
     found = df.where(F.col("appsflyer_id") == event_id)
-    return found.orderBy(F.desc("event_time")).limit(1) if only_latest else found
+    if not only_latest:
+        return found
+    return found.orderBy(F.desc("event_time"), F.xxhash64(F.to_json(F.struct(*df.columns))).desc()).limit(1)

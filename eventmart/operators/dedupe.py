@@ -47,56 +47,80 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str]) ->
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
-def upsert_partitions(
-    path: str, updates: DataFrame, key: str, order: list[str], partition: str
-) -> None:
-    """Upsert into a Parquet table partitioned by ``partition``, rewriting only the partitions
-    that hold an updated key or receive one.
-
-    The new content of those partitions is written to the shared folder first, because a
-    partition cannot be read and replaced at once.
-    """
-    from eventmart.session import materialize
-
-    spark = updates.sparkSession
-    newest = materialize(latest(updates, [key], order), "updates")
-    # the updates' schema, so that partition names keep their type
-    target = spark.read.schema(updates.schema).parquet(path)
-    touched = (
-        target.join(newest.select(key), key, "left_semi")
-        .select(partition)
-        .union(newest.select(partition))
-        .distinct()
-    )
-    touched = materialize(touched, "touched")
-    # the small list of partitions prunes the scan of the target
-    affected = target.join(touched, partition, "left_semi").select(*target.columns)
-    merged = affected.join(newest.select(key), key, "left_anti").unionByName(
-        newest.select(*target.columns)
-    )
-    staged = materialize(merged, "merged")
-    # a partition all of whose keys moved elsewhere would keep its old rows: no output
-    # replaces it, so such partitions are dropped by name
-    emptied = touched.join(staged.select(partition).distinct(), partition, "left_anti")
-    (
-        staged.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    _drop_partitions(path, emptied, partition)
+class VersionedPartitions:
+    """A Parquet table partitioned by one column, whose partitions are replaced together or not at all.
 
+    Layout under the root::
 
-def _drop_partitions(path: str, values: DataFrame, partition: str) -> None:
-    spark = values.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for row in values.select(F.col(partition).cast("string")).toLocalIterator():  # one at a time
-        folder = jvm.org.apache.hadoop.fs.Path(
-            f"{path}/{names.getPartitionPathString(partition, row[0])}"
+        data/version=<n>/<partition>=<value>/   rows of the partitions that version n wrote
+        current/version=<n>/                    (value, version) of every partition, written last
+
+    The newest complete ``current`` folder is the table, so a writer that dies changes nothing, and
+    readers of the version before go on reading it. One writer at a time.
+    """
+
+    def __init__(self, spark, root: str, schema: T.StructType, partition: str):
+        self.spark, self.root, self.schema, self.partition = spark, root.rstrip("/"), schema, partition
+
+    def _versions(self) -> list[int]:
+        """Complete versions; the marker is written when all files are there."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/current/version=*/_SUCCESS")
+        found = pattern.getFileSystem(conf).globStatus(pattern) or []
+        return sorted(int(f.getPath().getParent().getName().removeprefix("version=")) for f in found)
+
+    def _current(self) -> DataFrame:
+        schema = T.StructType([self.schema[self.partition], T.StructField("version", T.IntegerType())])
+        versions = self._versions()
+        if not versions:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/current/version={versions[-1]}")
+
+    def read(self) -> DataFrame:
+        current = self._current()
+        if not self._versions():
+            return self.spark.createDataFrame([], self.schema)
+        stored = T.StructType([*self.schema.fields, T.StructField("version", T.IntegerType())])
+        data = self.spark.read.schema(stored).parquet(f"{self.root}/data")
+        # the small list of partitions prunes the scan
+        same = data[self.partition].eqNullSafe(current[self.partition]) & (data["version"] == current["version"])
+        return data.join(current, same, "left_semi").select(*self.schema.names)
+
+    def replace(self, rows: DataFrame, touched: DataFrame) -> None:
+        """Put ``rows`` in place of the partitions listed in ``touched``; those without rows vanish."""
+        version = max(self._versions(), default=0) + 1
+        (
+            rows.select(*self.schema.names)
+            .hint("rebalance", self.partition)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")  # what a dead writer left goes
+            .partitionBy(self.partition)
+            .parquet(f"{self.root}/data/version={version}")
+        )
+        stored = self.spark.read.schema(self.schema).parquet(f"{self.root}/data/version={version}")
+        written = stored.select(self.partition).distinct().withColumn("version", F.lit(version))
+        old = self._current()
+        gone = touched.select(F.col(self.partition).alias("_touched")).distinct()
+        kept = old.join(gone, old[self.partition].eqNullSafe(gone["_touched"]), "left_anti")
+        kept.unionByName(written).write.mode("overwrite").parquet(f"{self.root}/current/version={version}")
+
+    def upsert(self, updates: DataFrame, key: str, order: list[str]) -> None:
+        """Take the latest update of each key, rewriting only the partitions that hold an updated key
+        or receive one. Their new content is written once, to its place."""
+        from eventmart.session import materialize
+
+        newest = materialize(latest(updates, [key], order), "updates").select(*self.schema.names)
+        target = self.read()
+        touched = (
+            target.join(newest.select(key), key, "left_semi")
+            .select(self.partition)
+            .union(newest.select(self.partition))
+            .distinct()
         )
-        folder.getFileSystem(conf).delete(folder, True)
+        touched = materialize(touched, "touched").withColumnRenamed(self.partition, "_touched")
+        affected = target.join(touched, target[self.partition].eqNullSafe(touched["_touched"]), "left_semi")
+        merged = affected.join(newest.select(key), key, "left_anti").select(*self.schema.names).unionByName(newest)
+        self.replace(merged, touched.withColumnRenamed("_touched", self.partition))
 
 
 def parity(primary: DataFrame, secondary: DataFrame, key: str) -> DataFrame:

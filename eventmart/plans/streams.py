@@ -221,7 +221,7 @@ def d3_stream(spark, sf_dir):
     # files in time order, each with a range of the events
     path_bodies(spark, sf_dir).repartitionByRange(4, "event_id").select("body").write.text(path)
     out = scratch_path(spark, "d3-out")
-    unique = queue.distinct_path_stream(queue.body_stream(spark, path), "3650 days").select("s3_path")
+    unique = queue.distinct_path_stream(queue.body_stream(spark, path), "10 minutes").select("s3_path")
     _wait(
         unique.writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", scratch_path(spark, "d3-checkpoint"))

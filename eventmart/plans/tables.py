@@ -54,13 +54,12 @@ def d1(spark, sf_dir):
 @query("d1_upsert_partitions", f"SELECT *, strftime(event_time, '%Y%m%d') AS day FROM ({UPSERTED})")
 def d1_partitions(spark, sf_dir):
     """Into a table partitioned by day; an update may move a row to the next day."""
-    path = scratch_path(spark, "d1")
     day = F.date_format("event_time", "yyyyMMdd")
-    base(spark, sf_dir).withColumn("day", day).hint("rebalance", "day").write.partitionBy("day").parquet(path)
-    updates = fx.derive(spark, sf_dir, UPDATES_SQL).withColumn("day", day)
-    dedupe.upsert_partitions(path, updates, "appsflyer_id", ["event_time"], "day")
-    schema = base(spark, sf_dir).schema.add("day", "string")
-    return spark.read.schema(schema).parquet(path)
+    rows = base(spark, sf_dir).withColumn("day", day)
+    table = dedupe.VersionedPartitions(spark, scratch_path(spark, "d1"), rows.schema, "day")
+    table.replace(rows, rows.select("day"))
+    table.upsert(fx.derive(spark, sf_dir, UPDATES_SQL).withColumn("day", day), "appsflyer_id", ["event_time"])
+    return table.read()
 
 
 @query("d2_unique", f"SELECT DISTINCT * FROM ({REPEATED_SQL})")

@@ -25,6 +25,7 @@ SETTINGS = {
 }
 
 _local_base: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}  # paths handed out, by application
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -52,7 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/eventmart/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/eventmart/{label}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete everything that this application wrote under the shared folder's ``eventmart`` part.
+
+    For the owner of a job, at its end: tables that are still to be read must not lie there.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialize(df, label: str, *, partition_by: list[str] | None = None):

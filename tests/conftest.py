@@ -9,8 +9,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from eventmart.session import configure
+def spark(tmp_path_factory):
+    from eventmart.session import configure, remove_scratch
 
     session = (
         SparkSession.builder.master("local[8]")
@@ -18,10 +18,12 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)
+    remove_scratch(session)
     session.stop()
 
 

@@ -361,13 +361,22 @@ def test_alarm_needs_consecutive_periods(spark):
 
 
 def test_upsert_partitions_moves_rows(spark, scratch):
-    path = scratch()
-    old = spark.createDataFrame([("a", 1, "0:1"), ("b", 1, "02"), ("c", 1, "03")], "k STRING, t INT, part STRING")
-    old.write.partitionBy("part").parquet(path)
-    new = spark.createDataFrame([("a", 2, "02"), ("a", 3, "04"), ("d", 1, "03")], "k STRING, t INT, part STRING")
-    dedupe.upsert_partitions(path, new, "k", ["t"], "part")
-    back = spark.read.schema("k STRING, t INT, part STRING").parquet(path)
-    assert sorted(tuple(r) for r in back.collect()) == [("a", 3, "04"), ("b", 1, "02"), ("c", 1, "03"), ("d", 1, "03")]
+    schema = T.StructType.fromDDL("k STRING, t INT, part STRING")
+    table = dedupe.VersionedPartitions(spark, scratch(), schema, "part")
+    assert table.read().count() == 0
+    rows = lambda: sorted(tuple(r) for r in table.read().collect())
+    table.upsert(spark.createDataFrame([("a", 1, "0:1"), ("b", 1, "02"), ("c", 1, "03"), ("n", 1, None)], schema), "k", ["t"])
+    assert len(rows()) == 4
+    before = table.read()
+    table.upsert(spark.createDataFrame([("a", 2, "02"), ("a", 3, "04"), ("d", 1, "03")], schema), "k", ["t"])
+    after = [("a", 3, "04"), ("b", 1, "02"), ("c", 1, "03"), ("d", 1, "03")]
+    assert [r for r in rows() if r[2]] == after and len(rows()) == 5
+    assert before.count() == 4  # readers of the version before are not disturbed
+    # a writer that dies before the version is complete changes nothing
+    spark.createDataFrame([("z", 9, "02")], schema).write.partitionBy("part").parquet(f"{table.root}/data/version=3")
+    assert [r for r in rows() if r[2]] == after
+    table.upsert(spark.createDataFrame([("n", 2, "05")], schema), "k", ["t"])
+    assert rows() == sorted([*after, ("n", 2, "05")])
 
 
 # -- streams --------------------------------------------------------------------------------
