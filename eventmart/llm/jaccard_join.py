@@ -26,8 +26,8 @@ from eventmart.session import materialize
 WIDTH = 5
 PERCENT = 75
 COUNTERS = 1 << 18  # of the frequency table; its size is fixed, and so is what is broadcast
-SKETCH_BITS = 512
 SHARD_ENTRIES = 1 << 20  # prefix elements a shard holds, about
+BROADCAST_ROWS = 1 << 19  # of an id and a hash: some 30 MB
 _FLUSH = 1 << 20  # entries a map task holds before it deals them out
 
 
@@ -52,18 +52,12 @@ def class_id(grams: np.ndarray) -> int:
     return int(mix(np.array([h]))[0].astype(np.int64))
 
 
-def sketch(grams: np.ndarray) -> bytes:
-    """Parity of the number of elements in each hash cell."""
-    cells = np.bincount((grams >> np.uint64(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
-    return np.packbits(cells.astype(np.uint8)).tobytes()
-
-
 def _counter(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(40)).astype(np.int64) % COUNTERS
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(one row per document: doc_id, text_hash, n, cls, sketch; the frequency table), in one pass over the texts.
+    """(one row per document: doc_id, text_hash, n, cls, sketch, fold; the frequency table), in one pass over the texts.
 
     Every task sends one row with its counts, compressed; they are summed cell block by cell block.
     """
@@ -74,23 +68,23 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "text_hash", "n", "cls", "sketch", "counts"]
+        names = ["doc_id", "text_hash", "n", "cls", "sketch", "fold", "counts"]
         for batch in batches:
             n, cls, sk = [], [], []
             for _, sets in distinct_shingles(batch, 1):
                 for g in sets:
                     n.append(len(g))
                     cls.append(class_id(g))
-                    sk.append(sketch(g))
+                    sk.append(linking.sketch(g))
                 if sets:
                     counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sk, pa.binary()),
-                 pa.nulls(len(n), pa.binary())], names=names)
+                 pa.array([linking.fold(x) for x in sk], pa.binary()), pa.nulls(len(n), pa.binary())], names=names)
         if counts.any():
             blob = zstandard.compress(counts.astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.binary()),
+                [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 3, *[pa.nulls(1, pa.binary())] * 2,
                  pa.array([blob], pa.binary())], names=names)
 
     def add(blobs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +94,7 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 total += np.frombuffer(zstandard.decompress(b), np.int32 if len(batch.schema) == 1 else np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    schema = f"doc_id {id_type.simpleString()}, text_hash long, n long, cls long, sketch binary, counts binary"
+    schema = f"doc_id {id_type.simpleString()}, text_hash long, n long, cls long, sketch binary, fold binary, counts binary"
     stored = materialize(docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, schema), "join-docs")
     partial = stored.where("counts is not null").select("counts").mapInArrow(add, "total binary")
     frequency = np.zeros(COUNTERS, np.int64)
@@ -192,7 +186,7 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
 def _first(described: DataFrame, by: str) -> DataFrame:
     """(doc_id, text_hash) of the smallest doc_id of each group, nulls last."""
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    return described.groupBy(by).agg(F.min(key).alias("k")).select("k.doc_id", "k.text_hash")
+    return described.groupBy(by).agg(F.min(key).alias("k")).select(by, "k.doc_id", "k.text_hash")
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -201,24 +195,40 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, described: DataFrame):
-    """A function from a table of classes to their (cls, grams): shingles of one document of each."""
+    """For :func:`linking.verify`: shingles of one document of each class wanted, for each part that
+    wants it. The texts stay where they are as long as the list of wanted rows is small enough to
+    be sent to all tasks; beyond that both sides are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()  # rows repeated within a task are sent once
         for batch in batches:
-            found = [(class_id(g), g.tobytes()) for _, sets in distinct_shingles(batch, 1) for g in sets]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in found], pa.int64()), pa.array([g for _, g in found], pa.binary())], names=["cls", "grams"]
-            )
-
-    def of(classes: DataFrame) -> DataFrame:
-        one = _keyed(_first(described.join(classes, "cls", "left_semi"), "cls"))
-        texts = _keyed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))).join(one, ["row_id", "text_hash"], "left_semi")
-        grams = texts.select("row_id", "text").mapInArrow(run, "cls long, grams binary").join(classes, "cls", "left_semi")
-        return materialize(grams.dropDuplicates(["cls"]), "join-sets")
+            found = []
+            parts = batch.column(2).to_pylist()
+            for lo, sets in distinct_shingles(batch, 1):
+                for i, g in enumerate(sets):
+                    cls = class_id(g)
+                    if cls not in met:
+                        met.add(cls)
+                        found += [(to, cls, g.tobytes()) for to in parts[lo + i]]
+            cols = list(zip(*found)) or [(), (), ()]
+            types = pa.int64(), pa.int64(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["to", "cls", "grams"])
+
+    def of(wanted: DataFrame) -> DataFrame:
+        parts = wanted.groupBy("cls").agg(F.collect_set("to").alias("parts"))
+        one = _keyed(_first(described.join(parts, "cls", "left_semi"), "cls")).drop("doc_id").join(parts, "cls").drop("cls")
+        texts = _keyed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")))
+        chosen = texts.join(_small(materialize(one, "join-wanted")), ["row_id", "text_hash"])
+        return chosen.select("row_id", "text", "parts").mapInArrow(run, "to long, cls long, grams binary")
 
     return of
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """A stored table, marked to be sent to all tasks if it has few rows."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(per document: doc_id, text_hash, n_shingles, cls, component, component_id; the verified links).
 
@@ -233,16 +243,13 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(least, -(-words * (100 - percent) // 100 // SHARD_ENTRIES))
     buckets = prefix_buckets(docs, frequency, shards)
-    sketches = described.groupBy("cls").agg(F.first("sketch").alias("sketch"))
-    stored = materialize(buckets, "join-buckets").join(sketches, "cls").select("bucket", "cls", "n", "pos", "sketch")
-    stored = materialize(stored, "join-candidates")
-    links = linking.link(stored, sets_of(docs, described), percent)
-    return grouped(described, links), links
+    sketches = described.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
+    links, nodes = linking.link(materialize(buckets, "join-buckets"), sketches, sets_of(docs, described), percent)
+    return grouped(described, nodes), links
 
 
-def grouped(described: DataFrame, links: DataFrame) -> DataFrame:
+def grouped(described: DataFrame, nodes: DataFrame) -> DataFrame:
     """The described documents with the component of their class and its smallest doc_id."""
-    nodes = materialize(linking.components(links), "join-components")
     classes = (
         described.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low"))
         .join(nodes, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
@@ -261,9 +268,18 @@ def dedupe(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Rows that repeat an id and a text count once; documents without words all stay.
     """
     result, _ = join(docs, percent)
-    first = _first(result.where("n_shingles > 0"), "component")
-    kept = _keyed(first.union(result.where("n_shingles = 0").select("doc_id", "text_hash")))
-    kept = kept.select(F.col("row_id").alias("__join_id"), F.col("text_hash").alias("__join_hash")).distinct()
+    result = materialize(result, "join-result")
+    first = _first(result.where("n_shingles > 0"), "component").drop("component").withColumn("stays", F.lit(True))
+    rows = _keyed(result).groupBy("row_id", "text_hash", "n_shingles").agg(F.count("*").alias("times"))
+    judged = rows.join(_keyed(first).drop("doc_id"), ["row_id", "text_hash"], "left").withColumn(
+        "stays", F.coalesce("stays", F.col("n_shingles") == 0)
+    )
+    judged = judged.select(F.col("row_id").alias("__join_id"), F.col("text_hash").alias("__join_hash"), "stays", "times")
+    judged = materialize(judged.where("not stays or times > 1"), "join-judged")
     keyed = docs.withColumns({"__join_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__join_hash": F.xxhash64("text")})
-    rows = keyed.join(kept, ["__join_id", "__join_hash"]).dropDuplicates(["__join_id", "__join_hash"])
-    return rows.select([F.col(f"`{c}`") for c in docs.columns])
+    keys = ["__join_id", "__join_hash"]
+    kept = keyed.join(_small(judged.select(*keys)), keys, "left_anti")
+    repeated = judged.where("stays").select(*keys)  # rows that stay, but were there more than once
+    if not repeated.isEmpty():
+        kept = kept.unionByName(keyed.join(_small(materialize(repeated, "join-repeated")), keys, "left_semi").dropDuplicates(keys))
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])

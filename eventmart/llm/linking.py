@@ -1,15 +1,16 @@
 """Verified links between classes of equal documents, and their connected components.
 
-Candidates come as buckets: rows (bucket, cls, n, pos, sketch), where documents that may be alike share a bucket.
+Candidates come as buckets: rows (bucket, cls, n, pos), where documents that may be alike share a bucket.
 Pairs inside a bucket are never all listed at once:
 
-1. every member is paired with the bucket's first member, and these pairs are verified;
-2. components of the verified links are formed;
+1. every member is paired with the bucket's first member;
+2. of these pairs, the one with most shared buckets is verified for every class, then the others
+   whose ends are still in different components;
 3. in buckets that still hold members of different components, the remaining pairs between
-   components that pass all filters are verified.
+   components are verified.
 
-So a group of many like documents costs a star, not a square, and every link that could join two
-components is checked.
+Length, positional and suffix filters thin the pairs before they are verified. So a group of many like
+documents costs a star, not a square, and every link that could join two components is checked.
 """
 
 from __future__ import annotations
@@ -21,21 +22,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventmart.llm.textbatch import mix, pack_arrays, unpack_arrays
 from eventmart.session import materialize
 
 _SET_BYTES = 32 << 20  # sets that one verifying task holds, about
 _TILE = 1 << 18  # pairs filtered at a time
+_PER_SET = 64  # pairs of a class that are verified together
+SKETCH_BITS = 512  # at least; else the power of two from the number of elements on
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``links`` (a, b); the component is its smallest node.
 
-    Alternates large-star and small-star steps. Each step is a written table; the number of steps
-    grows with the logarithm of the longest chain.
+    Alternates large-star and small-star steps until every node points to a root. Each step is a
+    written table; the number of steps grows with the logarithm of the longest chain.
     """
     edges = materialize(links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u != v").distinct(), "cc-edges")
-    last = None
-    while True:
+    while not _stars(edges):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -43,14 +46,19 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u")
         small = small.select("u", F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = materialize(small.where("u != v").distinct(), "cc-edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if state == last:
-            break
-        last = state
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node points to one other node and nothing points to it, or the reverse."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.where("out > 1 or (out = 1 and into = 1)").isEmpty()
+
+
 def possible(n_a, n_b, pos_a, pos_b, percent: int):
     """Length and positional filter: can sets of these sizes, with a common element at these places
     of the common order, reach ``percent`` Jaccard similarity?  Works on columns and arrays."""
@@ -59,20 +67,66 @@ def possible(n_a, n_b, pos_a, pos_b, percent: int):
     return (100 * least(n_a, n_b) >= percent * greatest(n_a, n_b)) & ((100 + percent) * most >= percent * (n_a + n_b))
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach ``percent`` Jaccard similarity, with ``shared``.
+def sketch(grams: np.ndarray) -> bytes:
+    """Parity of the number of elements in each hash cell. A sketch of half the size is the
+    exclusive or of its halves."""
+    bits = max(SKETCH_BITS, 1 << int(max(1, len(grams)) - 1).bit_length())
+    cells = np.bincount((grams >> np.uint64(12)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(cells.astype(np.uint8)).tobytes()
+
+
+def fold(sketched: bytes) -> bytes:
+    """The sketch at its least size."""
+    return _folded(np.frombuffer(sketched, np.uint64), SKETCH_BITS // 64).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Cells in which two sketches differ: at most the number of elements that only one set has."""
+    a, b = (np.frombuffer(v, np.uint64) for v in (x, y))
+    return int(np.bitwise_count(_folded(a, len(b)) ^ _folded(b, len(a))).sum())
+
+
+def _folded(a: np.ndarray, size: int) -> np.ndarray:
+    while len(a) > size:
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return a
+
+
+def suffix_filter(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b, ...) that their sketches leave possible. The sketches bound how much of
+    the sets differs beyond the element they share."""
+    first = sketches.select(F.col("cls").alias("a"), F.col("sketch").alias("_x"))
+    second = sketches.select(F.col("cls").alias("b"), F.col("sketch").alias("_y"))
+    columns = pairs.columns
+    both = pairs.join(first, "a").join(second, "b").select(*columns, "_x", "_y")
 
-    ``sets``: cls, grams (sorted 64-bit values as bytes). Pairs are dealt by both members, so a class
-    with many pairs is spread; each part gets each set it needs once.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            apart = [differing(x, y) for x, y in zip(batch.column("_x").to_pylist(), batch.column("_y").to_pylist())]
+            keep = (100 + percent) * np.array(apart, np.int64) <= (100 - percent) * n
+            yield batch.select(columns).filter(pa.array(keep))
+
+    return both.mapInArrow(run, pairs.schema)
+
+
+def verify(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose sets reach ``percent`` Jaccard similarity: a, b, shared.
+
+    ``sets_of`` takes (to, cls) and gives (to, grams): sorted 64-bit values as bytes, of each class for
+    each part that needs it. Parts hold up to some pairs of one class, so one with many is spread.
     """
     spark = pairs.sparkSession
-    pairs = materialize(pairs.select("a", "b").distinct(), "link-pairs")
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    room = pairs.count() * 2 * (sets.agg(F.coalesce(F.avg(F.octet_length("grams")), F.lit(0.0))).first()[0])
-    parts = max(least, int(room / _SET_BYTES) + 1)
-    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("a", "b"), F.lit(parts)))
-    ends = dealt.select(F.col("part").alias("to"), F.explode(F.array("a", "b")).alias("cls")).distinct()
-    needed = ends.join(sets, "cls").select("to", "cls", "grams")
+    pairs = materialize(pairs.select("a", "b", "n_a", "n_b").distinct(), "link-pairs")
+    room = pairs.agg(F.coalesce(F.sum(F.col("n_a") + F.col("n_b")), F.lit(0)) * 8).first()[0]
+    if not room:
+        return spark.createDataFrame([], "a long, b long, shared long")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), room // _SET_BYTES + 1)
+    spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / _PER_SET).alias("_of"))
+    salt = F.pmod(F.xxhash64("b"), F.col("_of"))
+    dealt = pairs.join(spread, "a").select("a", "b", F.pmod(F.xxhash64("a", salt), F.lit(parts)).alias("part"))
+    dealt = materialize(dealt, "link-dealt")
+    needed = sets_of(dealt.select(F.col("part").alias("to"), F.explode(F.array("a", "b")).alias("cls")).distinct())
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         grams = {c: np.frombuffer(g, np.uint64) for c, g in zip(right["cls"].to_pylist(), right["grams"].to_pylist())}
@@ -89,11 +143,11 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def cross_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes of different components that share a bucket and pass every filter.
+    """Pairs (a, b, n_a, n_b) of classes of different components that share a bucket and pass the
+    length and positional filters, and the suffix filter on sketches folded to one size.
 
-    ``buckets``: bucket, cls, comp, n, pos, sketch. Filters: length, position, and the suffix filter:
-    the sketches hold the parity of each of their hash cells, so the number of differing bits is at
-    most the number of elements that only one set has.
+    ``buckets``: bucket, cls, comp, n, pos, fold. A pair that shares many buckets leaves a task once;
+    pairs are dealt by both members, packed, and come out once.
     """
     parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -102,7 +156,7 @@ def cross_pairs(buckets: DataFrame, percent: int) -> DataFrame:
         if table is None or not table.num_rows:
             return
         col = {c: table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("bucket", "cls", "comp", "n", "pos")}
-        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(table.num_rows, -1)
+        bits = np.frombuffer(b"".join(table["fold"].to_pylist()), np.uint64).reshape(table.num_rows, -1)
         order = np.lexsort((col["n"], col["bucket"]))
         col = {c: v[order] for c, v in col.items()}
         bits = bits[order]
@@ -128,17 +182,31 @@ def cross_pairs(buckets: DataFrame, percent: int) -> DataFrame:
                 c = (100 + percent) * apart <= (100 - percent) * both
                 a, b = col["cls"][i[c]], col["cls"][j[c]]
                 if len(a):
-                    seen.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                    swap = a > b
+                    na, nb = col["n"][i[c]], col["n"][j[c]]
+                    seen.append(np.stack([np.minimum(a, b), np.maximum(a, b), np.where(swap, nb, na), np.where(swap, na, nb)], axis=1))
             if len(seen) > 64:
                 seen = [np.unique(np.concatenate(seen), axis=0)]
             lo = hi
         if seen:
             pairs = np.unique(np.concatenate(seen), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            to = (mix((pairs[:, 0] ^ mix(pairs[:, 1].view(np.uint64)).view(np.int64)).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            pairs = pairs[np.argsort(to, kind="stable")]
+            cut = np.searchsorted(np.sort(to), np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(cut))
+            packed = [pack_arrays(*pairs[cut[p] : cut[p + 1]].T) for p in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], names=["part", "packed"])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [np.stack(unpack_arrays(x), axis=1) for batch in batches for x in batch.column(1).to_pylist()]
+        if found:
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in range(4)], names=["a", "b", "n_a", "n_b"])
 
     keyed = buckets.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts)).cast("int"))
-    dealt = keyed.repartitionById(parts, F.col("part")).select("bucket", "cls", "comp", "n", "pos", "sketch")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = keyed.repartitionById(parts, F.col("part")).select("bucket", "cls", "comp", "n", "pos", "fold")
+    met = dealt.mapInArrow(run, "part int, packed binary").repartitionById(parts, F.col("part"))
+    return met.mapInArrow(once, "a long, b long, n_a long, n_b long")
 
 
 def _tiles(lo: int, hi: int, ahead: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -154,23 +222,44 @@ def _tiles(lo: int, hi: int, ahead: np.ndarray) -> Iterator[tuple[np.ndarray, np
         yield np.full(len(j), lo), j
 
 
-def link(buckets: DataFrame, sets_of, percent: int) -> DataFrame:
-    """Verified links (a, b, shared) that connect every pair of alike classes, directly or by others.
+def link(buckets: DataFrame, sketches: DataFrame, sets_of, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(verified links (a, b, shared) that connect every pair of alike classes, directly or by others;
+    (node, component) of the classes that have links).
 
-    ``buckets``: a stored table (bucket, cls, n, pos, sketch) of buckets with several classes.
-    ``sets_of`` gives (cls, grams) for a table of classes.
+    ``buckets``: a stored table (bucket, cls, n, pos) of buckets with several classes.
+    ``sketches``: (cls, sketch, fold). ``sets_of`` gives (cls, grams) for a table of classes.
     """
-    sets = sets_of(buckets.select("cls").distinct())
     first = buckets.groupBy("bucket").agg(F.min(F.struct("cls", "n", "pos")).alias("c"))
     star = (
         buckets.join(first, "bucket").where("cls != c.cls")
         .where(possible(F.col("n"), F.col("c.n"), F.col("pos"), F.col("c.pos"), percent))
-        .select(F.col("c.cls").alias("a"), F.col("cls").alias("b"))
+        .groupBy(F.col("c.cls").alias("a"), F.col("cls").alias("b"), F.col("c.n").alias("n_a"), F.col("n").alias("n_b"))
+        .agg(F.count("*").alias("together"))
     )
-    linked = materialize(verify(star, sets, percent), "links-star")
-    comps = materialize(components(linked), "links-components")
+    star = materialize(suffix_filter(star, sketches, percent), "links-star")
+    best = star.groupBy("b").agg(F.max_by(F.struct("a", "n_a", "n_b"), F.struct("together", "a")).alias("m"))
+    links = materialize(verify(best.select("m.a", "b", "m.n_a", "m.n_b"), sets_of, percent), "links-best")
+    comps = materialize(components(links), "links-components")
+    links, comps = _more(links, comps, verify(_apart(star, comps), sets_of, percent))
     labelled = buckets.join(comps, buckets.cls == comps.node, "left").withColumn("comp", F.coalesce("component", "cls")).drop("node", "component")
     open_ = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
-    cross = cross_pairs(labelled.join(open_, "bucket", "left_semi"), percent)
-    more = materialize(verify(cross, sets, percent), "links-cross")
-    return linked.unionByName(more)
+    cross = cross_pairs(labelled.join(open_, "bucket", "left_semi").join(sketches.select("cls", "fold"), "cls"), percent)
+    cross = suffix_filter(cross, sketches, percent)
+    return _more(links, comps, verify(cross, sets_of, percent))
+
+
+def _more(links: DataFrame, comps: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and components with the links found since."""
+    found = materialize(found, "links-more")
+    if found.isEmpty():
+        return links, comps
+    links = links.unionByName(found)
+    return links, materialize(components(links), "links-components")
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components; a class without links is its own."""
+    x = comps.select(F.col("node").alias("a"), F.col("component").alias("_ca"))
+    y = comps.select(F.col("node").alias("b"), F.col("component").alias("_cb"))
+    with_comps = pairs.join(x, "a", "left").join(y, "b", "left")
+    return with_comps.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).drop("_ca", "_cb")

@@ -69,8 +69,8 @@ def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     keyed = rows.withColumn("key", F.coalesce(F.col("id").cast("double"), F.lit(float("-inf"))))
-    cuts = keyed.select("key").where("id is not null").approxQuantile("key", [i / parts for i in range(1, parts)], 0.1 / parts)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    cuts = [] if parts == 1 else keyed.select("key").where("id is not null").approxQuantile("key", [i / parts for i in range(1, parts)], 0.1 / parts)
+    splits = [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="key", outputCol="part").transform(keyed).withColumn("part", F.col("part").cast("int"))
     first = sorted((r.part, r.id) for r in bucketed.groupBy("part").agg(F.min_by("id", "key").alias("id")).collect())
     heads = [(p, i, first[k - 1][0]) for k, (p, i) in enumerate(first)]
@@ -177,8 +177,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, Data
     rows = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "bucket long, cls long, n long")
     banded = materialize(rows.distinct(), "minhash-bands")
     shared = banded.groupBy("bucket").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x != y").select("bucket")
-    sketches = described.groupBy("cls").agg(F.first("sketch").alias("sketch"))
-    buckets = banded.join(shared, "bucket", "left_semi").join(sketches, "cls").withColumn("pos", F.lit(0).cast("long"))
-    stored = materialize(buckets.select("bucket", "cls", "n", "pos", "sketch"), "minhash-candidates")
-    links = linking.link(stored, jaccard_join.sets_of(docs, described), percent)
-    return jaccard_join.grouped(described, links), links
+    sketches = described.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
+    buckets = banded.join(shared, "bucket", "left_semi").withColumn("pos", F.lit(0).cast("long"))
+    links, nodes = linking.link(materialize(buckets, "minhash-buckets"), sketches, jaccard_join.sets_of(docs, described), percent)
+    return jaccard_join.grouped(described, nodes), links
