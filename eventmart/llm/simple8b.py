@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from eventmart.llm.textbatch import ARROW_ROWS
 from eventmart.session import materialize, scratch_path
 
 MAGIC = b"S8BTOK01"
@@ -34,9 +35,9 @@ SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8
 ESCAPE = 15
 BLOCK = 256  # ids
 GROUP = 1024  # blocks coded at a time
-FILE_IDS = 1 << 22  # a file is closed once it has this many
+FILE_IDS = 1 << 21  # a file is closed once it has this many
 JOINED = 4096  # new words encoded as one string
-CACHED_PIECES = 800_000  # words whose ids a worker remembers
+CACHED_PIECES = 500_000  # words whose ids a worker remembers
 _COUNT = np.array([c for c, _ in SELECTORS] + [0, 1], np.int64)
 
 
@@ -197,6 +198,9 @@ class Encoder:
 
     _ODD = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
 
+    # a word and the marks behind it: the pattern cuts between them
+    _TAILED = re.compile(r"(.*[^\W_])([^\w\s]+)", re.DOTALL).fullmatch
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
@@ -207,7 +211,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes = _Codes()
+        self.codes, self.tails = _Codes(), {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -235,24 +239,42 @@ class Encoder:
     def _learn(self) -> None:
         """Encode the fresh parts: many in one string, each ended (or begun) by a line feed, whose id
         stands in no other place and so marks where the next part begins."""
-        fresh = self.codes.fresh
-        at = np.array([k[0] == "\n" for k in fresh], bool)
+        get, fresh = self.codes.__getitem__, self.codes.fresh
         first = len(self.start)
+        alone, tailed = [], []
+        for i, k in enumerate(fresh):  # the list grows by the stems
+            if m := self._TAILED(k):
+                tailed.append((i, get(m[1]), m[2]))
+            else:
+                alone.append(i)
         self.start = np.concatenate([self.start, np.zeros(len(fresh), np.int64)])
         self.length = np.concatenate([self.length, np.zeros(len(fresh), np.int64)])
-        for fed in (False, True):
-            which = np.flatnonzero(at == fed)
+        alone, fed = np.array(alone, np.int64), np.array([fresh[i][0] == "\n" for i in alone], bool)
+        flat, end = [self.flat], len(self.flat)
+        for feed in (False, True):
+            which = alone[fed == feed]
             for lo in range(0, len(which), JOINED):
                 some = which[lo : lo + JOINED]
-                text = "".join(fresh[i] if fed else f" {fresh[i]}\n" for i in some)
+                text = "".join(fresh[i] if feed else f" {fresh[i]}\n" for i in some)
                 ids = np.array(self._whole([text])[0], np.uint32)
                 mark = np.flatnonzero(ids == self.feed)
                 if len(mark) != len(some):
                     raise ValueError("this vocabulary does not cut at line feeds")
-                cut = np.append(mark, len(ids)) if fed else np.concatenate([[-1], mark]) + 1
-                self.start[first + some] = len(self.flat) + cut[:-1]
-                self.length[first + some] = np.diff(cut) - (not fed)
-                self.flat = np.concatenate([self.flat, ids])
+                cut = np.append(mark, len(ids)) if feed else np.concatenate([[-1], mark]) + 1
+                self.start[first + some] = end + cut[:-1]
+                self.length[first + some] = np.diff(cut) - (not feed)
+                flat.append(ids)
+                end += len(ids)
+        self.flat = np.concatenate(flat)
+        flat, end = [self.flat], len(self.flat)
+        for i, stem, tail in tailed:
+            if tail not in self.tails:
+                self.tails[tail] = np.array(self._whole([tail])[0], np.uint32)
+            a, n = self.start[stem], self.length[stem]
+            flat += self.flat[a : a + n], self.tails[tail]
+            self.start[first + i], self.length[first + i] = end, n + len(self.tails[tail])
+            end += n + len(self.tails[tail])
+        self.flat = np.concatenate(flat)
         fresh.clear()
 
     def _look_up(self, row: list[int]) -> np.ndarray:
@@ -318,40 +340,56 @@ def write(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0) -> Dat
     return materialize(dealt.mapInArrow(run, "part long, file long, path string, n_docs long, n_ids long"), "token-manifest")
 
 
-def read(manifest: DataFrame, folder: str) -> DataFrame:
-    """Per document of the files: doc_id, start (ids before it), n_tokens, ids."""
+def _files(manifest: DataFrame) -> DataFrame:
+    """(path, base) of the files, with the number of ids in all files before; dealt to tasks."""
     spark = manifest.sparkSession
     files = W.orderBy("part", "file")  # a row per file
     base = manifest.withColumn("base", F.sum("n_ids").over(files.rowsBetween(W.unboundedPreceding, 0)) - F.col("n_ids"))
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return base.select("path", "base").repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _contents(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple]:
+    """(document ids, first id of each, tokens of each, all ids) of one file at a time."""
+    fs = pafs.FileSystem.from_uri(folder)[0]
+    for batch in batches:
+        for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            with fs.open_input_stream(path) as f:
+                doc_ids, n, ids = read_file(f.read())
+            yield doc_ids, first + np.cumsum(n) - n, n, ids
+
+
+def read(manifest: DataFrame, folder: str) -> DataFrame:
+    """Per document of the files: doc_id, start (ids before it), n_tokens, ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs = pafs.FileSystem.from_uri(folder)[0]
-        for batch in batches:
-            for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with fs.open_input_stream(path) as f:
-                    doc_ids, n, ids = read_file(f.read())
-                stop = np.cumsum(n)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]), pa.int32()), pa.array(ids.astype(np.int64)))
+        for doc_ids, start, n, ids in _contents(batches, folder):
+            cut = np.concatenate([[0], np.cumsum(n)])
+            for lo in range(0, len(doc_ids), ARROW_ROWS):
+                hi = min(lo + ARROW_ROWS, len(doc_ids))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(cut[lo : hi + 1] - cut[lo], pa.int32()), pa.array(ids[cut[lo] : cut[hi]].astype(np.int64))
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(first + stop - n), pa.array(n), lists], names=["doc_id", "start", "n_tokens", "ids"]
+                    [pa.array(doc_ids[lo:hi], pa.int64()), pa.array(start[lo:hi]), pa.array(n[lo:hi]), lists],
+                    names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    return base.select("path", "base").repartition(parts).mapInArrow(run, "doc_id long, start long, n_tokens long, ids array<long>")
+    return _files(manifest).mapInArrow(run, "doc_id long, start long, n_tokens long, ids array<long>")
 
 
 def digest(manifest: DataFrame, folder: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens and the CRC-32 of its ids as 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(3)
-            at = lists.offsets.to_numpy()
-            raw = lists.values.to_numpy().astype("<u4")
-            crc = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read(manifest, folder).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        for doc_ids, start, n, ids in _contents(batches, folder):
+            raw, cut = ids.astype("<u4"), np.concatenate([[0], np.cumsum(n)])
+            crc = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids, pa.int64()), pa.array(start), pa.array(n), pa.array(crc, pa.int64())],
+                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+            )
+
+    return _files(manifest).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def new_folder(spark) -> str:
