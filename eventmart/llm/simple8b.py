@@ -37,7 +37,7 @@ BLOCK = 256  # ids
 GROUP = 1024  # blocks coded at a time
 FILE_IDS = 1 << 21  # a file is closed once it has this many
 JOINED = 4096  # new words encoded as one string
-CACHED_PIECES = 500_000  # words whose ids a worker remembers
+CACHED_PIECES = 900_000  # words whose ids a worker remembers, before it forgets the rare ones
 _COUNT = np.array([c for c, _ in SELECTORS] + [0, 1], np.int64)
 
 
@@ -180,7 +180,8 @@ def read_file(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 class _Codes(dict):
     """Numbers strings as they come; ``fresh`` holds those not yet encoded."""
 
-    def __init__(self):
+    def __init__(self, known=()):
+        super().__init__(known)
         self.fresh: list[str] = []
 
     def __missing__(self, key: str) -> int:
@@ -213,7 +214,19 @@ class Encoder:
     def _clear(self) -> None:
         self.codes, self.tails = _Codes(), {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.flat, self.hits = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Drop the parts met least often, at least half of them."""
+        often = max(2, int(np.median(self.hits)) + 1)
+        keep = np.flatnonzero(self.hits >= often)
+        kept = set(keep.tolist())
+        words = [k for k, code in self.codes.items() if code in kept]  # in the order of their codes
+        n, start = self.length[keep], self.start[keep]
+        new = np.cumsum(n) - n
+        self.flat = self.flat[np.repeat(start - new, n) + np.arange(int(n.sum()))]
+        self.start, self.length, self.hits = new, n, np.zeros(len(keep), np.int64)
+        self.codes = _Codes(zip(words, range(len(words))))
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -226,13 +239,14 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self.codes) > CACHED_PIECES:
-            self._clear()
+            self._forget()
         plain = [self._plain(t) for t in texts]
         rest = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
         get = self.codes.__getitem__
         # each text starts as after a line feed, whose id is then dropped
         rows = [list(map(get, ("\n" + t).replace("\n", " \n")[1:].split(" "))) for t, p in zip(texts, plain) if p]
         self._learn()
+        self.hits = np.concatenate([self.hits, np.zeros(len(self.start) - len(self.hits), np.int64)])
         parts = iter([self._look_up(row) for row in rows])
         return [next(parts) if p else np.array(next(rest), np.uint32) for p in plain]
 
@@ -279,6 +293,7 @@ class Encoder:
 
     def _look_up(self, row: list[int]) -> np.ndarray:
         code = np.array(row, np.int64)
+        self.hits[code] += 1  # texts that have the part
         n = self.length[code]
         at = np.repeat(self.start[code] - (np.cumsum(n) - n), n)
         return self.flat[at + np.arange(len(at))][1:]

@@ -257,6 +257,15 @@ def test_encoder_equals_the_tokenizer():
             assert got.tolist() == want, t
 
 
+def test_encoder_that_forgets(monkeypatch):
+    monkeypatch.setattr(simple8b, "CACHED_PIECES", 60)
+    e = simple8b.Encoder(vocabulary())
+    for i in range(40):
+        texts = [frames.prose(30, i % 7), frames.prose(25, i) + "\nThe, end.", ODD[i % len(ODD)]]
+        assert [x.tolist() for x in e.encode(texts)] == [list(x) for x in e._whole(texts)]
+        assert len(e.codes) == len(e.start) == len(e.hits)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab. \n\t,'s1é ", max_size=25), max_size=8))
 def test_encoder_on_random_texts(texts):
