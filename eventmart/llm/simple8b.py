@@ -37,7 +37,7 @@ BLOCK = 256  # ids
 GROUP = 1024  # blocks coded at a time
 FILE_IDS = 1 << 21  # a file is closed once it has this many
 JOINED = 4096  # new words encoded as one string
-CACHED_PIECES = 900_000  # words whose ids a worker remembers, before it forgets the rare ones
+CACHED_PIECES = 1_200_000  # words whose ids a worker remembers, before it forgets the rare ones
 _COUNT = np.array([c for c, _ in SELECTORS] + [0, 1], np.int64)
 
 
