@@ -1,8 +1,10 @@
 """Operators on single texts: quality rules, classifier, personal data, chat."""
 
 import hashlib
+import random
 import re
 import zlib
+from pathlib import Path
 
 import frames
 import numpy as np
@@ -99,6 +101,36 @@ def test_rules_keep_clean_documents(spark):
     assert r.where("not kept").count() == 0
 
 
+def long_prose(n):
+    """Words by Zipf's law: whole ratios of 0.36 to 0.37 from 0.25 MB on, hardly a window twice."""
+    words = list(dict.fromkeys(frames.prose(12000, 3).replace(".", "").split()))
+    return " ".join(random.Random(3).choices(words, [1 / (i + 20) for i in range(len(words))], k=n))
+
+
+def test_long_clean_texts_are_kept():
+    z, bands = zstandard.ZstdCompressor(level=3), compression_bands.Bands()
+    for n, size in ((45_000, 0.25), (180_000, 1), (700_000, 4)):
+        text = long_prose(n)
+        assert len(text) > size * 1e6 and compression_bands.measure(text, bands, z)[6], n
+
+
+@pytest.mark.parametrize("name", ["GPL-2", "GPL-3", "LGPL-2", "LGPL-2.1", "GFDL-1.2", "GFDL-1.3"])
+def test_ordinary_english_is_kept(name):
+    path = Path("/usr/share/common-licenses") / name
+    if not path.exists():
+        pytest.skip("no such text here")
+    assert compression_bands.measure(path.read_text(), compression_bands.Bands(), zstandard.ZstdCompressor(level=3))[6]
+
+
+def test_long_forms_are_rejected():
+    """A form filled in over and over: no window comes twice and each chunk looks clean, the whole text does not."""
+    z, bands, words = zstandard.ZstdCompressor(level=3), compression_bands.Bands(), frames.prose(1200, 4).split()
+    for n in (4, 10, 40, 120):
+        text = " ".join(w if i % 3 else str(1200 * k + i) for k in range(n) for i, w in enumerate(words))
+        m = compression_bands.measure(text, bands, z)
+        assert not m[5] and m[8] == 0 and not m[6], n
+
+
 def test_rules_edge_cases(spark):
     df = frames.documents(spark, clashing=True)
     assert compression_bands.assess(df).count() == df.count()
