@@ -207,7 +207,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         (self.feed,) = self._whole(["\n"])[0]
         self._clear()
 
@@ -234,6 +234,7 @@ class Encoder:
     def _plain(self, t: str) -> bool:
         return not (
             not t or t[0] in " \n" or t[-1] in " \n" or "  " in t or " \n" in t or "\n " in t or "\n\n" in t or self._ODD.search(t)
+            or any(x in t for x in self.added)
         )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

@@ -257,6 +257,20 @@ def test_encoder_equals_the_tokenizer():
             assert got.tolist() == want, t
 
 
+def test_encoder_equals_the_library_with_added_tokens():
+    from tokenizers import Tokenizer
+
+    plain, e = Tokenizer.from_file(vocabulary()), simple8b.Encoder(vocabulary())
+    texts = [
+        "a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|endoftext|>.b\nc", "a\n<|endoftext|>\nb",
+        "<|endoftext|", "a <|endoftext |> b", "end of text|>", "a b", "it's 12.\nok", *ODD,
+    ]
+    for some in (texts, texts[::-1]):
+        for t, got in zip(some, e.encode(some)):
+            assert got.tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    assert e.encode(["a <|endoftext|> b"])[0].tolist() == [64, 220, 50256, 275]
+
+
 def test_encoder_that_forgets(monkeypatch):
     monkeypatch.setattr(simple8b, "CACHED_PIECES", 60)
     e = simple8b.Encoder(vocabulary())
