@@ -16,6 +16,20 @@ from pyspark.sql import functions as F
 # match as it is: what follows a run is never in the run's own class.
 _LOCAL = "A-Za-z0-9._%+-"
 
+# Characters of an IBAN by country, those of the registry and those in partial use.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO EG GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+# The whole IBAN from its start: as long as its country has it; with other codes as long as it goes on.
+_IBAN_WHOLE = "^(?:{}|(?!{})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}})".format(
+    "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()),
+    "|".join(IBAN_LENGTHS.values()).replace(" ", "|"),
+)
+_IBAN_REACH = 4 + 2 * 30  # code points with a blank before each
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -25,6 +39,7 @@ class Kind:
     base: bool
     score: float
     context: str  # words near a span that raise its score
+    whole: str = ""  # ``pattern`` only finds starts; this one takes the hit from there
 
 
 KINDS = (
@@ -32,7 +47,7 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", True, 0.6, "ip|host|server|address|login"),
     Kind("card", r"[0-9](?:[\x20-]?+[0-9])++", r"[0-9][\x20-]?[0-9]", True, 0.8, "card|visa|credit|payment|pay"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", True, 0.7, "phone|call|tel|mobile|fax"),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", r"[A-Z][0-9][0-9]", False, 0.9, "iban|account|bank|transfer"),
+    Kind("iban", r"(?<![A-Za-z0-9-])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})", r"[A-Z][0-9][0-9]", False, 0.9, "iban|account|bank|transfer", _IBAN_WHOLE),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"[0-9]-[0-9][0-9]-[0-9]", False, 0.4, "ssn|social|security|tax"),
 )
 NEAR = 40  # code points before a span in which context words count
@@ -72,6 +87,11 @@ def _found(kind: Kind, rank: int, text: str, hits: str) -> str:
         "(a, x) -> if(x.hit is null, a, named_struct('at', a.at + length(x.piece) + length(x.hit), "
         "'out', concat(a.out, array(named_struct('start', a.at + length(x.piece), 'hit', x.hit)))))).out"
     )
+    if kind.whole:
+        placed = (
+            f"transform({placed}, x -> named_struct('start', x.start, 'hit', "
+            f"regexp_extract(substring({text}, int(x.start) + 1, {_IBAN_REACH}), '{kind.whole}', 0)))"
+        )
     around = (
         f"transform({placed}, x -> named_struct('start', x.start, 'hit', x.hit, "
         f"'before', substring({text}, int(greatest(x.start - {NEAR}, 0L)) + 1, int(least(x.start, {NEAR}L))), "
@@ -83,6 +103,11 @@ def _found(kind: Kind, rank: int, text: str, hits: str) -> str:
         f"transform(filter({around}, x -> {valid}), x -> named_struct('start', x.start, 'rank', {rank}, "
         f"'kind', '{kind.name}', 'end', x.start + length(x.hit), 'score', {score}))"
     )
+    if kind.whole:  # starts are found within hits too
+        spans = (
+            f"aggregate({spans}, cast(array() as array<{SPAN}>), "
+            "(a, s) -> if(size(a) > 0 and s.start < element_at(a, -1).end, a, concat(a, array(s))))"
+        )
     if not kind.base:
         spans = f"filter({spans}, s -> s.score >= {THRESHOLD}D)"
     return f"if(size({hits}) = 0, cast(array() as array<{SPAN}>), {spans})"

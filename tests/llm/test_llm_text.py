@@ -225,6 +225,24 @@ def test_spans(spark):
     assert extra(8, "ssn") == ["ssn:7:18"]
 
 
+IBANS = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "FR14 2004 1010 0505 0001 3M02 606"]
+IBAN_TEXTS = [
+    ("{0} BIC COBADEFFXXX", [0]), ("{0} 2024", [0]), ("{1} A payment", [1]), ("{0} {1}", [0, 1]), ("{1} {0} {3} {2} 7 X", [1, 0, 3, 2]),
+    ("🙂 {2} {2}, {3}", [2, 2, 3]), ("AT12 {0} X", [0]), ("AB12 {1} 99", [1]), ("x{0} {0}x {0}-1 -{0} {0}1", []), ("DE89370400440532013001 2", []),
+    ("QQ93 0000 0000 0000 0", []), ("{3}" + " {0}" * 40, [3] + [0] * 40),
+]
+
+
+def test_ibans_end_where_their_country_ends_them(spark):
+    texts = [t.format(*IBANS) for t, _ in IBAN_TEXTS]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"] for r in pii.with_spans(df).collect()}
+    masked = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    for i, (text, (_, which)) in enumerate(zip(texts, IBAN_TEXTS)):
+        assert [text[a:b] for a, b in found[i]] == [IBANS[k] for k in which], text
+        assert not which or not any(x in masked[i] for x in IBANS), masked[i]
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.text(alphabet="a@.-+ 0123459()é_", max_size=40), min_size=1, max_size=20))
 def test_spans_of_random_texts(spark, texts):
