@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, cnn_quality, compression_bands, jaccard_join, minhash, mixing, packing, pii, simple8b, sql, suffix_dedup
+from eventmart.llm import (
+    chat, cnn_quality, compression_bands, conversation_repair, jaccard_join, lexical_search, minhash, mixing, packing, pii,
+    pivot_index, simple8b, sql, suffix_dedup,
+)
 from eventmart.llm.textbatch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +98,19 @@ def op2(spark, sf_dir):
 @query("op9_suffix_array_dedup", sql.REPEATS)
 def op9(spark, sf_dir):
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_shared_lexical_search", sql.LEXICAL)
+def op11(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_auction_repair", sql.REPAIR)
+def op12(spark, sf_dir):
+    return conversation_repair.audit_damage(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_pivot_top_k", sql.NEAREST)
+def op13(spark, sf_dir):
+    vectors = pivot_index.lattice(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return pivot_index.search(pivot_index.build(vectors), vectors.where("vec_id % 20 = 0"))

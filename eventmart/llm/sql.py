@@ -121,3 +121,149 @@ SELECT d.doc_id, octet_length(d.b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
   sha256(coalesce(unhex(k.h), d.b)) AS kept_sha256
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
+
+LEXICAL = r"""
+WITH terms AS MATERIALIZED (
+  SELECT doc, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM (SELECT row_number() OVER () AS doc, doc_id, text FROM documents)
+),
+wanted AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark
+),
+lengths AS MATERIALIZED (SELECT doc, any_value(doc_id) AS doc_id, count(*) AS n FROM terms GROUP BY doc),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+hits AS MATERIALIZED (SELECT doc, t, count(*) AS tf FROM terms WHERE t IN (SELECT t FROM wanted) GROUP BY doc, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM hits GROUP BY t), corpus
+),
+scored AS (
+  SELECT item_id, h.doc, any_value(l.doc_id) AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+  FROM wanted JOIN hits h USING (t) JOIN weights USING (t) JOIN lengths l ON l.doc = h.doc, corpus
+  GROUP BY item_id, h.doc
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 50
+"""
+
+NEAREST = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 20
+"""
+
+# CRC-32 (reflected polynomial EDB88320) of a string of digits, colons, signs and spaces, bit by bit
+_CRC = (
+    "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+    "lambda crc, b: list_reduce(list_concat([xor(crc, b)], [CAST(0 AS BIGINT) FOR i IN range(8)]), "
+    "lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
+
+def _least(*ways: str) -> str:
+    """The cheapest of some structs (cost, audit, repaired), equal costs by audit; nulls are no way."""
+    return f"list_min(list_filter([{', '.join(ways)}], lambda s: s IS NOT NULL))"
+
+
+def _step(way: str, cost: str, letter: str, line: str) -> str:
+    return (
+        f"CASE WHEN {way} IS NOT NULL THEN {{'cost': {way}.cost + {cost}, 'audit': {way}.audit || '{letter}', "
+        f"'repaired': {way}.repaired || {line}}} END"
+    )
+
+
+_LINE = {"I2": "'user:' || chr(10)", "I3": "'assistant:' || chr(10)", "R2": "'user:' || text || chr(10)", "R3": "'assistant:' || text || chr(10)"}
+
+
+def _inserted(to: int, froms: dict[str, str]) -> str:
+    return ", ".join(_step(w, "2", "I", _LINE[f"I{to}"]) for w in froms.values())
+
+
+def _taken(state: int) -> str:
+    """State ``state`` after a row, from the states w0 to w3 before it."""
+    ways = [_step(f"w{state}", "3", "D", "''")]
+    keep = "CASE WHEN NOT gone AND initial = '{}' THEN {} END"
+    again = "CASE WHEN NOT gone THEN {} END"
+    sources = {1: ("s", (0,)), 2: ("u", (0, 1, 3)), 3: ("a", (2,))}
+    if state in sources:
+        initial, froms = sources[state]
+        for q in froms:
+            ways.append(keep.format(initial, _step(f"w{q}", "cut", "K", "role || ':' || text || chr(10)")))
+            if state > 1:
+                ways.append(again.format(_step(f"w{q}", "(2 + cut)", "R", _LINE[f"R{state}"])))
+    return _least(*ways)
+
+
+def _with_inserts(rows: str, prefix: str = "q", to: str = "w") -> str:
+    """States ``to``0..3 from ``prefix``0..3 of ``rows`` with up to three inserted turns before the next row."""
+    return f"""SELECT * EXCLUDE (a2, a3, b2), {prefix}0 AS {to}0, {prefix}1 AS {to}1, {_least('a2', 'b2')} AS {to}2, a3 AS {to}3 FROM (
+      SELECT *, {_least('a2', _step('a3', '2', 'I', _LINE['I2']))} AS b2 FROM (
+        SELECT *, {_least(f'{prefix}3', _step('a2', '2', 'I', _LINE['I3']))} AS a3 FROM (
+          SELECT *, {_least(f'{prefix}2', *(_step(f'{prefix}{q}', '2', 'I', _LINE['I2']) for q in (0, 1, 3)))} AS a2 FROM ({rows}))))"""
+
+
+_START = "CAST({'cost': 0, 'audit': '', 'repaired': ''} AS STRUCT(cost BIGINT, audit VARCHAR, repaired VARCHAR))"
+_NOWAY = "CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, repaired VARCHAR))"
+
+REPAIR = rf"""
+WITH RECURSIVE source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM source WHERE kind <> 0
+),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM placed
+),
+faulty AS MATERIALIZED (
+  SELECT conv_id, turn, role, text, i, role[1] AS initial, last = '' AS blank, last <> '' AND seen AS duplicate,
+    last <> '' AND NOT seen AND last NOT IN ('.', '!', '?') AS truncated,
+    last = '' OR seen AS gone, CASE WHEN last <> '' AND NOT seen AND last NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+  FROM numbered
+),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faulty GROUP BY conv_id
+),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {_START} AS q0, {_NOWAY} AS q1, {_NOWAY} AS q2, {_NOWAY} AS q3 FROM facts
+  UNION ALL
+  SELECT conv_id, i, {_taken(0)} AS q0, {_taken(1)} AS q1, {_taken(2)} AS q2, {_taken(3)} AS q3 FROM (
+    {_with_inserts('SELECT w.q0, w.q1, w.q2, w.q3, f.* FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1')}
+  )
+),
+best AS (
+  SELECT conv_id, {_least('w0', 'w3')} AS s FROM (
+    {_with_inserts('SELECT w.* FROM walk w JOIN facts f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.i')}
+  )
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s.cost, 0) AS cost, coalesce(s.audit, '') AS audit,
+  sha256(CASE WHEN s.repaired <> '' THEN s.repaired[:-2] ELSE '' END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

@@ -67,9 +67,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables["up"][:n], _tables["down"]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of all words; a word ends with its text."""
-    inside = ~_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all words, runs of bytes that are not ``blank``; a word ends with its text."""
+    inside = ~blank[data]
     first, last = inside.copy(), inside.copy()
     if len(data):
         cut = np.zeros(len(data) + 1, bool)
