@@ -403,14 +403,11 @@ def j1(spark, sf_dir):
 
 @query("j2_attach_header", f"SELECT file_label, header, count(*) AS n FROM {KEYED} r JOIN ({HEADERS}) h USING (file_label) GROUP BY ALL")
 def j2(spark, sf_dir):
-    """The same rows whether the headers are broadcast or shuffled: here they are shuffled."""
-    root = fx.csv_exports(spark, sf_dir)
-    lines = cl.text_lines(spark, root).where(fl.started_by(F.col("file_name")))
-    joined = cl.with_layout(lines, cl.read_headers(spark, root, fl.started_by), broadcast_limit=0)
+    """Each row with its file's header, which travels with the pieces of the file."""
+    pieces = cl.lines_with_headers(spark, fx.csv_exports(spark, sf_dir), fl.started_by)
     return (
-        cl.data_lines(joined)
-        .groupBy(file_label("file_path").alias("file_label"), "header")
-        .agg(F.count("*").alias("n"))
+        pieces.groupBy(file_label("file_path").alias("file_label"), "header")
+        .agg(F.sum(F.size("lines")).cast("long").alias("n"))
     )
 
 

@@ -20,6 +20,8 @@ SETTINGS = {
     # need one run faster on generated projections, which are split into small methods
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
+    # list state and timers of streams need it; state lies outside the heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # writes replace only the partitions they produce
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -1,13 +1,17 @@
 """Headered CSV exports whose columns differ from file to file.
 
-The scan is a plain text read. Each file's header becomes one small *layout* row (column
-positions, resolved once per file), and data lines only index into their fields.
+The scan is a plain text read. Headers become *layouts* (column positions), and data lines only
+index into their fields.
 """
 
 from __future__ import annotations
 
-from itertools import islice
+import re
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +34,10 @@ RESERVED_COLUMNS = [
 # -----------------------------------------------------------------------------------------
 
 BROADCAST_LIMIT = 256 << 20  # bytes of layout rows that may be broadcast
+SMALL_FILE = 1 << 20  # bytes; to read them costs about as much as to open the file
+PIECE_LINES = 256  # lines that share one copy of their layout
+FILES_PER_JOB, FILE_JOBS = 32, 4  # large files whose beginning one job reads, and jobs at a time
+FIRST_LINE_FILES = 16  # files that first lines are stored in
 
 LAYOUT_COLUMNS = [
     "headers", "lower_headers", "is_event_file", "time_slots", "identity_slots", "name_slots",
@@ -37,8 +45,8 @@ LAYOUT_COLUMNS = [
 ]
 
 
-def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Raw lines with the file and split they come from. Gzip is read by suffix."""
+def text_lines(spark: SparkSession, paths: str | list[str], *more: str) -> DataFrame:
+    """Raw lines with the file and split they come from, and ``more`` facts of the file. Gzip is read by suffix."""
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(paths)
@@ -47,34 +55,104 @@ def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.col("value").alias("line"),
+            *(F.col(f"_metadata.{m}").alias(m) for m in more),
         )
     )
 
 
-def read_headers(spark: SparkSession, paths: str | list[str], file_filter=None) -> DataFrame:
-    """(file_path, header) with the first line of every file, written once and read back.
+def first_lines(spark: SparkSession, paths: str | list[str], n: int, file_filter=None, larger_than: int = -1) -> DataFrame:
+    """(file_path, file_name, block_start, line, line_no) of the first ``n`` lines of every file, written once and read back.
 
-    A filter on the position would read every byte of every file to keep one line each. Here
-    each file is one task that stops after its first line, so the cost grows with the number
-    of files and not with their size. A sibling session carries the split settings, so the
-    caller's session stays as it is.
+    Files of up to ``SMALL_FILE`` bytes are read whole, many to a task. Larger ones are read under a limit
+    each, some dozen to a job, so no more of them is read than that. Files of at most ``larger_than`` bytes are left out.
     """
-    sibling = spark.newSession()
-    sibling.conf.set("spark.sql.session.timeZone", "UTC")
-    sibling.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
-    sibling.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
-    lines = text_lines(sibling, paths)
-    if file_filter is not None:
-        lines = lines.where(file_filter(F.col("file_name")))
-    firsts = lines.select("file_path", "line").rdd.mapPartitions(lambda rows: islice(rows, 1))
-    target = scratch_path(spark, "headers")
-    schema = "file_path STRING, header STRING"
-    out = sibling.createDataFrame(firsts.map(tuple), schema)
-    # one file per task in, far fewer files out
-    out.repartition(max(1, min(200, firsts.getNumPartitions() // 50 + 1))).write.parquet(target)
+    target = scratch_path(spark, "first-lines")
+    schema = "file_path string, file_name string, block_start long, line string, line_no long"
+    columns = ["file_path", "file_name", "block_start", "line"]
+    keep = (lambda name: F.lit(True)) if file_filter is None else file_filter
+    if larger_than < SMALL_FILE:
+        size = F.col("file_size")
+        small = text_lines(_sibling(spark, 64 * SMALL_FILE, SMALL_FILE), paths, "file_size").where((size <= SMALL_FILE) & (size > larger_than)).where(keep(F.col("file_name")))
+        heads = small.select(*columns).mapInArrow(_heads(n), schema)
+        # many tasks in, few files out; the shuffle keeps the tasks
+        heads.repartition(FIRST_LINE_FILES, "file_path").write.mode("append").parquet(target)
+    else:
+        spark.createDataFrame([], schema).write.parquet(target)
+
+    sibling = _sibling(spark, 1 << 50, 1 << 50)  # a file is one split, so a limit takes its first lines
+
+    def begin(group: list[str]) -> None:
+        heads = None
+        for path in group:
+            some = text_lines(sibling, re.sub(r"([{}\[\]*?\\])", r"\\\1", path)).select(*columns).withColumn("line_no", F.monotonically_increasing_id() + 1).limit(n)
+            heads = some if heads is None else heads.unionByName(some)
+        heads.coalesce(1).write.mode("append").parquet(target)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)  # its content is not read
+    name = F.element_at(F.split("path", "/"), -1)
+    large = files.where(F.col("length") > max(SMALL_FILE, larger_than)).where(keep(name)).select("path")
+    with ThreadPoolExecutor(FILE_JOBS) as pool:
+        running, group = [], []
+        for row in large.toLocalIterator():
+            group.append(row["path"])
+            if len(group) == FILES_PER_JOB:
+                running.append(pool.submit(begin, group))
+                group = []
+                if len(running) >= 2 * FILE_JOBS:  # no more is read ahead
+                    running.pop(0).result()
+        if group:
+            running.append(pool.submit(begin, group))
+        for job in running:
+            job.result()
     return spark.read.schema(schema).parquet(target)
 
 
+def _sibling(spark: SparkSession, partition: int, opening: int) -> SparkSession:
+    """A session with split settings of its own; the caller's stays as it is. Files of up to ``opening`` bytes are one split."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(partition))
+    session.conf.set("spark.sql.files.openCostInBytes", str(opening))
+    return session
+
+
+def _heads(n: int):
+    """The first ``n`` lines of each file of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, seen = None, 0
+        for batch in batches:
+            kept, number = [], []
+            for lo, hi, file, _ in _runs(batch):
+                if file != path:
+                    path, seen = file, 0
+                take = max(0, min(hi - lo, n - seen))
+                kept.append(np.arange(lo, lo + take))
+                number.append(np.arange(seen + 1, seen + take + 1))
+                seen += hi - lo
+            if sum(map(len, kept)):
+                rows = batch.take(pa.array(np.concatenate(kept)))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(number))], names=[*batch.schema.names, "line_no"])
+
+    return run
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, str, int]]:
+    """(first row, end, file, block start) of the file splits in a batch of ``file_path``, ``block_start``."""
+    if not batch.num_rows:
+        return
+    file = batch.column("file_path").dictionary_encode()
+    code, start = file.indices.to_numpy(), batch.column("block_start").to_numpy()
+    edge = np.flatnonzero((code[1:] != code[:-1]) | (start[1:] != start[:-1])) + 1
+    for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows]):
+        yield lo, hi, file.dictionary[int(code[lo])].as_py(), int(start[lo])
+
+
+def read_headers(spark: SparkSession, paths: str | list[str], file_filter=None, larger_than: int = -1) -> DataFrame:
+    """(file_path, header) with the first line of every file."""
+    return first_lines(spark, paths, 1, file_filter, larger_than).select("file_path", F.col("line").alias("header"))
+
+
 def _last_slot(names: Column, name: Column) -> Column:
     """0-based position of the last header of that name, or null."""
     from_end = F.array_position(F.reverse(names), name)
@@ -150,26 +228,9 @@ def with_layout(
     return lines.join(file_map, "file_path").join(dictionary, "header_id")
 
 
-def header_candidates(lines: DataFrame):
-    """True for lines of a file's first split that equal its header."""
-    return (F.col("block_start") == 0) & (F.col("line") == F.col("header"))
-
-
 def data_lines(lines: DataFrame) -> DataFrame:
-    """All lines but the first of each file.
-
-    Numbered lines know theirs. Others are told by text: of the lines of a file's first split that
-    equal its header one is the header, and as they are equal it does not matter which one goes.
-    The rest of them, which are data, are counted in a second read and put back.
-    """
-    if "line_no" in lines.columns:
-        return lines.where(F.col("line_no") > 1)
-    same = lines.where(header_candidates(lines))
-    counts = same.groupBy("file_path").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    copies = F.explode(F.sequence(F.lit(2), F.col("n")))
-    keys = counts.select("file_path", copies.alias("_copy")).drop("_copy")
-    again = keys.join(same.dropDuplicates(["file_path"]), "file_path").select(*lines.columns)
-    return lines.where(~header_candidates(lines)).unionByName(again)
+    """Numbered lines without the first of each file."""
+    return lines.where(F.col("line_no") > 1)
 
 
 def csv_rows(
@@ -178,16 +239,73 @@ def csv_rows(
     file_filter=None,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Parsed data rows of CSV files: source file, fields and the layout columns.
+    """Parsed data rows of CSV files: source file, fields and the layout columns, in one read of the text.
 
     ``file_filter`` takes the file-name column; files it rejects are never opened. Every line but
     the first of a file is a row, blank lines and repeats of the header too.
     """
+    rows = layouts(lines_with_headers(spark, paths, file_filter, broadcast_limit))
+    return _fields_of(rows.select("file_path", F.explode("lines").alias("line"), *LAYOUT_COLUMNS))
+
+
+def lines_with_headers(
+    spark: SparkSession, paths: str | list[str], file_filter=None, broadcast_limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """(file_path, header, lines): the data lines of CSV files in pieces of up to ``PIECE_LINES``.
+
+    A task meets a file's header as it reads the file's first split and hands it on with the lines, some
+    hundred at a time, so a layout is worked out once for each such piece and no line is joined or shuffled.
+    Only files that are cut into several splits need their headers beforehand, for the later splits: their
+    first lines alone are read, and joined to pieces, not lines.
+    """
     lines = text_lines(spark, paths)
     if file_filter is not None:
         lines = lines.where(file_filter(F.col("file_name")))
-    lines = with_layout(lines, read_headers(spark, paths, file_filter), broadcast_limit)
-    return _fields_of(data_lines(lines))
+    pieces = lines.select("file_path", "block_start", "line").mapInArrow(_pieces, "file_path string, header string, lines array<string>")
+    late = read_headers(spark, paths, _splittable(file_filter), _never_split(spark))
+    size = late.agg(F.sum(F.octet_length("file_path") + F.octet_length("header") + 32)).first()[0]
+    if size:
+        late = late.withColumnRenamed("header", "late")
+        late = F.broadcast(late) if size <= broadcast_limit else late
+        pieces = pieces.join(late, "file_path", "left").withColumn("header", F.coalesce("header", "late"))
+    return pieces.select("file_path", "header", "lines")
+
+
+def _splittable(file_filter):
+    """``file_filter``, and not gzip: those are read by one task each."""
+    plain = lambda name: ~name.endswith(".gz")
+    return plain if file_filter is None else lambda name: plain(name) & file_filter(name)
+
+
+def _never_split(spark: SparkSession) -> int:
+    """Files of up to so many bytes are one split under this session's settings."""
+    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    return min(to_bytes(spark.conf.get(f"spark.sql.files.{k}")) for k in ("maxPartitionBytes", "openCostInBytes"))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in pieces of one file each, with its header; null where a task did not read the file's start."""
+    at, header = (None, -1), None
+    for batch in batches:
+        line = batch.column("line")
+        files, headers, kept, size = [], [], [], []
+        for lo, hi, file, start in _runs(batch):
+            if (file, start) != at:
+                if start == 0:
+                    header, lo = line[lo].as_py(), lo + 1
+                elif file != at[0]:
+                    header = None
+                at = file, start
+            for a in range(lo, hi, PIECE_LINES):
+                b = min(a + PIECE_LINES, hi)
+                files.append(file)
+                headers.append(header)
+                size.append(b - a)
+            kept.append(np.arange(lo, hi))
+        if size:
+            every = pa.array(np.concatenate(kept))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), line.take(every))
+            yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(headers, pa.string()), lists], names=["file_path", "header", "lines"])
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -256,5 +374,5 @@ def numbered_lines(spark: SparkSession, paths: str | list[str], file_filter=None
 def first_rows(
     spark: SparkSession, paths: str | list[str], rows: int, file_filter=None
 ) -> DataFrame:
-    """Header plus the first ``rows`` data lines of each file."""
-    return numbered_lines(spark, paths, file_filter).where(F.col("line_no") <= rows + 1)
+    """Header plus the first ``rows`` data lines of each file; of large files no more is read than that."""
+    return first_lines(spark, paths, rows + 1, file_filter)
