@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,68 +48,68 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str]) ->
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
-class VersionedPartitions:
-    """A Parquet table partitioned by one column, whose partitions are replaced together or not at all.
+class PartitionedTable:
+    """A Parquet table partitioned by one column, whose partitions are replaced by dynamic partition overwrite.
 
-    Layout under the root::
-
-        data/version=<n>/<partition>=<value>/   rows of the partitions that version n wrote
-        current/version=<n>/                    (value, version) of every partition, written last
-
-    The newest complete ``current`` folder is the table, so a writer that dies changes nothing, and
-    readers of the version before go on reading it. One writer at a time.
+    The new content of the partitions is staged under ``_staged``, which readers of the table do not see, and
+    then published by one write. A partition that loses all its rows gets one row that is not ``_live``, as
+    an overwrite only touches partitions that it writes. A publish that broke off is repeated from what
+    was staged, by ``recover`` or the next writer. One writer at a time.
     """
 
     def __init__(self, spark, root: str, schema: T.StructType, partition: str):
         self.spark, self.root, self.schema, self.partition = spark, root.rstrip("/"), schema, partition
-
-    def _versions(self) -> list[int]:
-        """Complete versions; the marker is written when all files are there."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/current/version=*/_SUCCESS")
-        found = pattern.getFileSystem(conf).globStatus(pattern) or []
-        return sorted(int(f.getPath().getParent().getName().removeprefix("version=")) for f in found)
-
-    def _current(self) -> DataFrame:
-        schema = T.StructType([self.schema[self.partition], T.StructField("version", T.IntegerType())])
-        versions = self._versions()
-        if not versions:
+        self._stored = T.StructType([*schema.fields, T.StructField("_live", T.BooleanType())])
+
+    def _at(self, path: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/current/version={versions[-1]}")
 
     def read(self) -> DataFrame:
-        current = self._current()
-        if not self._versions():
-            return self.spark.createDataFrame([], self.schema)
-        stored = T.StructType([*self.schema.fields, T.StructField("version", T.IntegerType())])
-        data = self.spark.read.schema(stored).parquet(f"{self.root}/data")
-        # the small list of partitions prunes the scan
-        same = data[self.partition].eqNullSafe(current[self.partition]) & (data["version"] == current["version"])
-        return data.join(current, same, "left_semi").select(*self.schema.names)
+        return self._at(self.root, self._stored).where("_live").select(*self.schema.names)
+
+    def _write(self, rows: DataFrame, path: str, how: str, mode: str = "overwrite") -> None:
+        rows = rows.select(*self._stored.names).hint("rebalance", self.partition)
+        rows.write.mode(mode).option("partitionOverwriteMode", how).partitionBy(self.partition).parquet(path)
+
+    def _mark(self, ready: bool) -> None:
+        """Whether what is staged is whole and has yet to be published."""
+        self.spark.range(1 if ready else 0).write.mode("overwrite").parquet(f"{self.root}/_staged/ready")
+
+    def recover(self) -> bool:
+        """Publish what is staged, if anything is. To do so again changes nothing."""
+        if self._at(f"{self.root}/_staged/ready", T.StructType([T.StructField("id", T.LongType())])).isEmpty():
+            return False
+        self._write(self._at(f"{self.root}/_staged/rows", self._stored), self.root, "dynamic")
+        self._mark(False)
+        return True
+
+    def stage(self, rows: DataFrame, touched: DataFrame) -> None:
+        """Put ``rows`` where the next publish takes them, for the partitions listed in ``touched``."""
+        self.recover()
+        path = f"{self.root}/_staged/rows"
+        self._write(rows.select(*self.schema.names, F.lit(True).alias("_live")), path, "static")
+        filled = self._at(path, self._stored).select(F.col(self.partition).alias("_filled")).distinct()
+        emptied = touched.select(self.partition).distinct()
+        emptied = emptied.join(filled, F.col(self.partition).eqNullSafe(F.col("_filled")), "left_anti")
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name != self.partition]
+        self._write(emptied.select(self.partition, *nothing, F.lit(False).alias("_live")), path, "static", "append")
+        self._mark(True)
 
     def replace(self, rows: DataFrame, touched: DataFrame) -> None:
-        """Put ``rows`` in place of the partitions listed in ``touched``; those without rows vanish."""
-        version = max(self._versions(), default=0) + 1
-        (
-            rows.select(*self.schema.names)
-            .hint("rebalance", self.partition)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")  # what a dead writer left goes
-            .partitionBy(self.partition)
-            .parquet(f"{self.root}/data/version={version}")
-        )
-        stored = self.spark.read.schema(self.schema).parquet(f"{self.root}/data/version={version}")
-        written = stored.select(self.partition).distinct().withColumn("version", F.lit(version))
-        old = self._current()
-        gone = touched.select(F.col(self.partition).alias("_touched")).distinct()
-        kept = old.join(gone, old[self.partition].eqNullSafe(gone["_touched"]), "left_anti")
-        kept.unionByName(written).write.mode("overwrite").parquet(f"{self.root}/current/version={version}")
+        """Put ``rows`` in place of the partitions listed in ``touched``; those without rows are empty then."""
+        self.stage(rows, touched)
+        self.recover()
 
     def upsert(self, updates: DataFrame, key: str, order: list[str]) -> None:
-        """Take the latest update of each key, rewriting only the partitions that hold an updated key
-        or receive one. Their new content is written once, to its place."""
+        """Take the latest update of each key, rewriting only the partitions that hold an updated key or receive one."""
         from eventmart.session import materialize
 
+        self.recover()
         newest = materialize(latest(updates, [key], order), "updates").select(*self.schema.names)
         target = self.read()
         touched = (

@@ -32,8 +32,13 @@ class LoadPolicy:
     accept_invalid_bytes: bool = False
     parse_json_text: bool = False
 
+    @property
+    def limit(self) -> int:
+        """The number of rejects at which a load fails."""
+        return self.max_errors if self.max_errors is not None else 1
+
     def fails(self, rejects: int) -> bool:
-        return rejects >= (self.max_errors if self.max_errors is not None else 1)
+        return rejects >= self.limit
 
 
 # The four loads.

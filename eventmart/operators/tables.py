@@ -3,6 +3,7 @@
 Layout under the table's root::
 
     data/load_status=ok|reject/batch_id=<id>/attempt=<token>/[partitions]/   rows
+    ranges/attempt=<token>/                                                  first and last key of each file, if clustered
     ledger/batch_id=<id>/                                                    written last
 
 Every attempt at a batch writes folders of its own, and the ledger entry of the batch names the
@@ -22,8 +23,11 @@ from pyspark.sql import types as T
 
 from eventmart.operators.load import REASON, LoadFailed, LoadPolicy, project_to
 from eventmart.schemas import LEDGER
+from eventmart.session import materialize
 from eventmart.sources.ndjson import RAW, SOURCE
 
+LOOKUP_FILES = 10_000  # that a lookup names one by one
+
 
 class BatchTable:
     def __init__(
@@ -34,7 +38,11 @@ class BatchTable:
         *,
         partition_by: tuple[str, ...] = (),
         sort_by: tuple[str, ...] = (),
+        cluster_by: str | None = None,
     ):
+        """``cluster_by``: a key by which each load is cut into files of its own ranges, with bloom filters and a
+        table of ranges, so that :meth:`lookup` opens the files that can hold a value and no others."""
+        self.cluster_by = cluster_by
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.partition_by, self.sort_by = list(partition_by), list(sort_by)
         self._stored = T.StructType(
@@ -46,31 +54,44 @@ class BatchTable:
         )
 
     # -- writing ------------------------------------------------------------------------
-    def stage(self, df: DataFrame, batch_id: str) -> str:
-        """Write a batch's good rows and rejects in one pass over the input, as a new attempt.
-        Returns the attempt's token."""
+    def stage(self, df: DataFrame, batch_id: str | None) -> str:
+        """Write good rows and rejects in one pass over the input, as a new attempt. Without ``batch_id`` the
+        rows name their batches in a column of that name. Returns the attempt's token."""
         attempt = uuid.uuid4().hex
-        rows = project_to(df, T.StructType(self._stored.fields[:-3])).withColumns(
-            {
-                "load_status": F.when(F.col(REASON).isNull(), "ok").otherwise("reject"),
-                "batch_id": F.lit(batch_id),
-                "attempt": F.lit(attempt),
-            }
-        )
+        names = T.StructType(self._stored.fields[:-3])
+        if batch_id is not None:
+            df = project_to(df, names).withColumn("batch_id", F.lit(batch_id))
+        else:
+            df = project_to(df, T.StructType([*names.fields, T.StructField("batch_id", T.StringType())]))
+        status = F.when(F.col(REASON).isNull(), "ok").otherwise("reject")
+        rows = df.withColumns({"load_status": status, "attempt": F.lit(attempt)})
         keys = ["load_status", "batch_id", "attempt", *self.partition_by]
-        if self.partition_by:
+        sort_by = self.sort_by
+        if self.cluster_by:
+            rows = rows.repartitionByRange("load_status", "batch_id", *self.partition_by, self.cluster_by)
+            sort_by = [self.cluster_by, *sort_by]
+        elif self.partition_by:
             # one shuffle to avoid a file per task and partition; hot partitions are split
             rows = rows.hint("rebalance", *keys)
-        if self.sort_by:
-            rows = rows.sortWithinPartitions(*keys, *self.sort_by)
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys)
-            .parquet(f"{self.root}/data")
-        )
+        if sort_by:
+            rows = rows.sortWithinPartitions(*keys, *sort_by)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+        if self.cluster_by:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.cluster_by}", "true")
+        writer.parquet(f"{self.root}/data")
+        if self.cluster_by:
+            self._note_ranges(attempt)
         return attempt
 
+    def _note_ranges(self, attempt: str) -> None:
+        """Write the key range of each file of an attempt."""
+        key = F.col(self.cluster_by)
+        rows = self._data().where((F.col("attempt") == attempt) & (F.col("load_status") == "ok"))
+        found = rows.groupBy(F.col("_metadata.file_path").alias("file"), "batch_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        found.withColumn("attempt", F.lit(attempt)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("attempt").parquet(f"{self.root}/ranges")
+
     def counts(self, batch_id: str, attempt: str) -> dict[str, int]:
         """Rows and rejects of a staged attempt, from what is stored: no rerun of the input, and
         nothing counted twice when tasks are retried."""
@@ -133,6 +154,38 @@ class BatchTable:
             raise LoadFailed(f"batch {batch_id}: {counts['reject']} rejected rows")
         return counts
 
+    def load_batches(self, df: DataFrame, batches: DataFrame, policy: LoadPolicy, loaded_at: datetime) -> DataFrame:
+        """Load many batches in a fixed number of jobs: one staged write for all of them, rejects counted per
+        batch, all ledger entries written at once. A batch with too many rejects fails without stopping the others.
+
+        ``df`` names its batch in ``batch_id``; ``batches`` (batch_id, path) lists the batches and their files, with a
+        null path for one without files. Batches that are published are left alone. Returns (batch_id, status, ok, reject).
+        """
+        known = self.ledger().where("path IS NULL").select("batch_id", "status", "attempts")
+        done = materialize(known.where("status = 'loaded'").select("batch_id"), "loaded-batches")
+        todo = materialize(batches.select("batch_id", "path").distinct().join(done, "batch_id", "left_anti"), "batches-to-load")
+        attempt = self.stage(df.join(done, "batch_id", "left_anti"), None)
+        staged = self._data().where(F.col("attempt") == attempt)
+        counted = staged.groupBy("batch_id").agg(
+            F.count_if(F.col("load_status") == "ok").alias("ok"), F.count_if(F.col("load_status") == "reject").alias("reject")
+        )
+        zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+        judged = todo.select("batch_id").distinct().join(counted, "batch_id", "left").select("batch_id", zero("ok"), zero("reject"))
+        failed = F.col("reject") >= policy.limit
+        judged = judged.withColumn("status", F.when(failed, "failed").otherwise("loaded"))
+        before = known.select("batch_id", F.col("attempts").alias("before"))
+        judged = materialize(judged.join(before, "batch_id", "left"), "judged-batches")
+        paths = todo.where("path IS NOT NULL").unionByName(judged.select("batch_id", F.lit(None).cast("string").alias("path")))
+        entries = paths.join(judged, "batch_id").select(
+            "path", "status", (F.coalesce("before", F.lit(0)) + 1).alias("attempts"),
+            F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"), F.lit(attempt).alias("attempt"), "batch_id",
+        )
+        (
+            entries.repartition("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(f"{self.root}/ledger")
+        )
+        return judged.select("batch_id", "status", "ok", "reject")
+
     # -- reading ------------------------------------------------------------------------
     def _stored_schema(self) -> T.StructType:
         return T.StructType(
@@ -186,21 +239,54 @@ class BatchTable:
         own = _read_or_empty(self.spark, [f"{base}/batch_id={batch_id}"], base, LEDGER)
         return sorted(r["path"] for r in own.where("path IS NOT NULL").select("path").collect())
 
+    def lookup(self, value) -> DataFrame:
+        """Published rows whose ``cluster_by`` key is ``value``, from the files that can hold it."""
+        ranges = _read_or_empty(
+            self.spark, [f"{self.root}/ranges"], f"{self.root}/ranges",
+            T.StructType.fromDDL(f"file string, batch_id string, low {self._key()}, high {self._key()}, attempt string"),
+        )
+        wanted = F.lit(value).cast(self._key())
+        loaded = self.ledger().where("path IS NULL AND status = 'loaded'").select("batch_id", "attempt")
+        hits = ranges.where((F.col("low") <= wanted) & (F.col("high") >= wanted)).join(loaded, ["batch_id", "attempt"], "left_semi")
+        files = [r["file"] for r in hits.select("file").limit(LOOKUP_FILES + 1).collect()]
+        if len(files) > LOOKUP_FILES:  # a scan with the filter pushed down is as good then
+            return self.read().where(F.col(self.cluster_by) == wanted)
+        base = f"{self.root}/data"
+        rows = _read_or_empty(self.spark, files, base, self._stored_schema(), together=True)
+        return rows.where(F.col(self.cluster_by) == wanted).select(*self.schema.names)
+
+    def _key(self) -> str:
+        return self.schema[self.cluster_by].dataType.simpleString()
+
+    def moved(self) -> DataFrame:
+        """(path, what, at): files that were archived or deleted after their load."""
+        return self.side(f"{self.root}/moved", "path string, what string, at timestamp_ntz")
+
+    def side(self, path: str, schema: str) -> DataFrame:
+        """A table beside this one; empty if nobody has written to it."""
+        return _read_or_empty(self.spark, [path], path, T.StructType.fromDDL(schema))
+
+    def loaded_files(self) -> DataFrame:
+        """Ledger entries of the files of loaded batches that were neither archived nor deleted."""
+        entries = self.ledger().where((F.col("status") == "loaded") & F.col("path").isNotNull())
+        return entries.join(self.moved().select("path"), "path", "left_anti")
+
     def deletable(self, as_of, keep_hours: int = 24) -> DataFrame:
-        """Loaded files whose retention is over."""
+        """Loaded files whose retention is over and that are still there."""
         age = F.expr(f"INTERVAL {int(keep_hours)} HOURS")
         return (
-            self.ledger()
-            .where((F.col("status") == "loaded") & F.col("path").isNotNull())
+            self.loaded_files()
             .where(F.col("loaded_at") + age <= F.lit(as_of).cast("timestamp_ntz"))
         )
 
 
 def _read_or_empty(
-    spark: SparkSession, paths: list[str], base: str, schema: T.StructType
+    spark: SparkSession, paths: list[str], base: str, schema: T.StructType, together: bool = False
 ) -> DataFrame:
-    """The folders that exist; a table nobody has written to has no rows."""
+    """The folders that exist; a table nobody has written to has no rows. ``together``: all of them exist."""
     reader = spark.read.schema(schema).option("basePath", base)
+    if together and paths:
+        return reader.parquet(*paths)
     found = []
     for path in paths:
         try:

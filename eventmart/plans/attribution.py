@@ -12,6 +12,7 @@ from eventmart.functions.values import (
 from eventmart.functions import times
 from eventmart.operators import analytics as an
 from eventmart.operators import load as ld
+from eventmart.operators.load import REASON
 from eventmart.operators.tables import BatchTable
 from eventmart.plans import fixtures as fx
 from eventmart.plans.fixtures import AS_OF, ATTRIBUTION_SQL
@@ -244,6 +245,21 @@ def t3(spark, sf_dir):
     return an.lookup(fx.attribution(spark, sf_dir), "e42", only_latest=True).select(*TYPED[:7])
 
 
+@query("t3_lookup_files", f"""
+SELECT {', '.join(TYPED[:7])}, 1 AS files, true AS skipped FROM {A} WHERE appsflyer_id = 'e42'""")
+def t3_files(spark, sf_dir):
+    """The same id in a table of three loads, each with ids of its own range and cut by id: one file can hold it, and no
+    other one is opened."""
+    table = BatchTable(spark, scratch_path(spark, "t3"), ATTRIBUTION_TABLE, cluster_by="appsflyer_id")
+    rows = fx.attribution(spark, sf_dir).drop("event_id").withColumn(REASON, F.lit(None).cast("string"))
+    third = F.floor(F.coalesce(F.substring("appsflyer_id", 2, 1).cast("int"), F.lit(0)) / 4)
+    for k in range(3):
+        table.load(rows.where(third == k), f"b{k}", ld.ATTRIBUTION_LOAD, LOADED)
+    found = table.lookup("e42")
+    opened, every = len(found.inputFiles()), len(table.read().inputFiles())
+    return found.select(*TYPED[:7]).withColumn("files", F.lit(opened)).withColumn("skipped", F.lit(opened < every))
+
+
 # -- scalar functions -----------------------------------------------------------------------
 @query("p13_scalar_text", """
 SELECT event_id, CASE event_id % 6 WHEN 1 THEN 'true' WHEN 2 THEN CAST(event_id AS VARCHAR)

@@ -23,6 +23,7 @@ from eventmart.session import scratch_path
 from eventmart.sources import csvlines as cl
 from eventmart.sources import files as fl
 from eventmart.sources.ndjson import read_ndjson
+from eventmart.streaming import loads
 
 R = f"({EXPORT_ROWS_SQL}) r"
 P = f"({PROFILE_ROWS_SQL}) p"
@@ -288,21 +289,16 @@ SELECT event_name, count(*) AS n, count(user_id) AS users FROM {R} GROUP BY even
 UNION ALL SELECT event_name || ' again', count(*), count(user_id) FROM {R} GROUP BY event_name""")
 def s8(spark, sf_dir):
     """Manifests name the landed files, and a second set names them all once more in one manifest;
-    all are resolved in one join and loaded in batches of files."""
+    all are resolved in one join, and their batches of files are loaded together."""
     files = fl.list_files(spark, fx.structured_events(spark, sf_dir), "json")
     out = []
     for label, size in (("", 3), (" again", 1 << 30)):
         root = scratch_path(spark, "manifests")
         fl.manifest_of(files, size).select("value").write.text(root)
-        loads = fl.manifest_loads(fl.read_manifest_lines(spark, root), files, 20)
+        named = fl.manifest_batches(fl.read_manifest_lines(spark, root), files, 20)
+        batches = named.select(F.concat_ws("-", F.substring_index("manifest", "#", -1), "batch").alias("batch_id"), "path")
         table = BatchTable(spark, scratch_path(spark, "s8"), CANONICAL)
-
-        def load(manifest, batch, paths, table=table):
-            landed = read_ndjson(spark, paths, CANONICAL)
-            batch_id = f"{manifest.rpartition('#')[2]}-{batch}"
-            table.load(ld.cast_rows(landed, CANONICAL, ld.PATH_LOAD), batch_id, ld.PATH_LOAD, LOADED)
-
-        fl.run_loads(loads, load)
+        loads.load_batches(batches, loads.ndjson_rows(CANONICAL, ld.PATH_LOAD), table, ld.PATH_LOAD, LOADED)
         counts = table.read().groupBy("event_name").agg(F.count("*").alias("n"), F.count("user_id").alias("users"))
         out.append(counts.withColumn("event_name", F.concat("event_name", F.lit(label))))
     return out[0].unionByName(out[1])

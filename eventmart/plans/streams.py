@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from eventmart.plans.tables import L, LOAD_COUNTS
 from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL
 from eventmart.session import scratch_path
 from eventmart.sources import files as fl
-from eventmart.streaming import landing, live, loads, queue
+from eventmart.sources.ndjson import SOURCE
+from eventmart.streaming import flush, landing, live, loads, queue
 
 A = f"({ATTRIBUTION_SQL}) a"
 DIRTY_OK = "event_id % 80 <> 1 AND event_id % 150 <> 11 AND event_id % 90 <> 0"
@@ -72,6 +75,43 @@ def x1(spark, sf_dir):
     )
 
 
+ROWS_MOST, LANES = 20, 4
+WAIT_MS = 6 * 3_600_000
+FLUSHED = f"""
+WITH RECURSIVE r AS (
+  SELECT CAST(event_id % {LANES} AS INTEGER) AS lane, (epoch_us(ts) // 1000) AS ms, CAST(event_id AS VARCHAR) AS value,
+    row_number() OVER w AS i FROM events WINDOW w AS (PARTITION BY event_id % {LANES} ORDER BY (epoch_us(ts) // 1000), CAST(event_id AS VARCHAR))
+), e AS MATERIALIZED (
+  SELECT *, count(*) OVER (PARTITION BY lane ORDER BY ms RANGE BETWEEN UNBOUNDED PRECEDING AND {WAIT_MS - 1} FOLLOWING) AS last_in,
+    count(*) OVER (PARTITION BY lane) AS total FROM r
+), b AS (
+  SELECT lane, CAST(0 AS BIGINT) AS number, CAST(1 AS BIGINT) AS first FROM e WHERE i = 1
+  UNION ALL
+  SELECT b.lane, b.number + 1, least(b.first + {ROWS_MOST}, e.last_in + 1) FROM b JOIN e ON e.lane = b.lane AND e.i = b.first
+  WHERE least(b.first + {ROWS_MOST}, e.last_in + 1) <= e.total
+), s AS (SELECT b.lane, b.number, e.ms, e.value, least({ROWS_MOST}, e.last_in + 1 - b.first) AS n FROM b JOIN e ON e.lane = b.lane AND e.i = b.first)
+SELECT lane, number, CASE WHEN n = {ROWS_MOST} THEN 'rows' ELSE 'time' END AS reason, CAST(n AS INTEGER) AS n, ms AS first_at, value AS first_value
+FROM s WHERE n = {ROWS_MOST} OR ms + {WAIT_MS} <= (SELECT max((epoch_us(ts) // 1000)) FROM events)"""
+
+
+@query("x1_rows_or_time", FLUSHED)
+def x1_rows_or_time(spark, sf_dir):
+    """Batches of 20 rows, or of six hours from a batch's first row, by the rows' own times. The events arrive in two halves,
+    each read by a run of its own, so batches that are open in between lie in the state store."""
+    rows = fx.events(spark, sf_dir).select(F.col("event_id").cast("string").alias("value"), F.col("ts").cast("timestamp").alias("ts"))
+    middle = rows.agg(F.percentile_approx(F.unix_millis("ts"), 0.5)).first()[0]
+    path, out, checkpoint = (scratch_path(spark, f"x1-{k}") for k in ("in", "out", "checkpoint"))
+    for half in (F.unix_millis("ts") < middle, F.unix_millis("ts") >= middle):
+        rows.where(half).write.mode("append").parquet(path)
+        lines = spark.readStream.schema(rows.schema).parquet(path)
+        batched = flush.batches(lines, ROWS_MOST, WAIT_MS, lane=(F.col("value").cast("long") % LANES).cast("int"), arrival=F.col("ts"))
+        _wait(flush.write_batches(batched, out, checkpoint))
+    found = spark.read.schema(flush.BATCH).parquet(out)
+    return found.select(
+        "lane", "number", "reason", "n", F.unix_millis("first_at").alias("first_at"), F.col("rows")[0].alias("first_value")
+    )
+
+
 @query("x2_interval_sync", f"SELECT appsflyer_id, event_name, event_time FROM {A} WHERE {TYPED_OK}")
 def x2(spark, sf_dir):
     """Two runs: the second one finds the files that arrived in between."""
@@ -230,6 +270,54 @@ def d3_stream(spark, sf_dir):
     return spark.read.schema(unique.schema).parquet(out)
 
 
+@query("x5_many_batches", f"""
+SELECT 'm' || k AS batch_id, CASE k WHEN 7 THEN 'failed' ELSE 'loaded' END AS status, n AS ok,
+  CASE k WHEN 7 THEN 10 ELSE 0 END::BIGINT AS reject, CASE k WHEN 7 THEN 0 ELSE n END AS published
+FROM (SELECT event_id % 50 AS k, count(*) AS n FROM events GROUP BY 1)""")
+def x5_many_batches(spark, sf_dir):
+    """Fifty batches, named by their manifests, in one group; one has too many rejects, and the others are published with it."""
+    root = scratch_path(spark, "x5-many")
+    rows = fx.attribution(spark, sf_dir).withColumn("k", F.col("event_id") % 50)
+    text = F.to_json(F.struct(*[c for c in rows.columns if c not in ("event_id", "k")]), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    bad = fx.events(spark, sf_dir).orderBy("event_id").limit(10).select(F.lit(fx.NOT_JSON).alias("value"), F.lit(7).cast("long").alias("k"))
+    rows.select(text.alias("value"), "k").unionByName(bad).repartition("k").write.partitionBy("k").text(root)
+    files = fl.list_any(spark, root).select("path")
+    manifests = files.groupBy(F.regexp_extract("path", "/k=([0-9]+)/", 1).alias("k")).agg(
+        F.collect_list(F.struct(F.col("path").alias("url"), F.lit(True).alias("mandatory"))).alias("entries")
+    )
+    entries = manifests.select(F.concat(F.lit("m"), "k").alias("manifest"), F.explode("entries.url").alias("path"), F.lit(True).alias("mandatory"))
+    batches = fl.manifest_batches(entries, files).select(F.col("manifest").alias("batch_id"), "path")
+    table = BatchTable(spark, scratch_path(spark, "x5-many-table"), ATTRIBUTION_TABLE)
+    transform = loads.ndjson_rows(ATTRIBUTION, ld.ATTRIBUTION_LOAD, required=True)
+    state = loads.load_batches(batches, transform, table, ld.ATTRIBUTION_LOAD)
+    kept = table.read().groupBy(F.concat(F.lit("m"), F.substring("appsflyer_id", 2, 20).cast("long") % 50).alias("batch_id")).agg(F.count("*").alias("published"))
+    return state.join(kept, "batch_id", "left").withColumn("published", F.coalesce("published", F.lit(0).cast("long")))
+
+
+@query("k15_sweep", f"""
+SELECT event_name, count(*) AS n, 'early deleted; second sweep rested; third deleted the rest' AS sweeps FROM {A} WHERE event_id % 3 = 2
+GROUP BY event_name""")
+def k15_sweep(spark, sf_dir):
+    """Files of three loads, two of them a day apart; the third one failed, so its files stay whatever their age."""
+    root = scratch_path(spark, "k15")
+    rows = fx.attribution(spark, sf_dir).withColumn("k", F.col("event_id") % 3)
+    text = F.to_json(F.struct(*[c for c in rows.columns if c not in ("event_id", "k")]), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    rows.select(text.alias("value"), "k").write.partitionBy("k").text(root)
+    table = BatchTable(spark, scratch_path(spark, "k15-table"), ATTRIBUTION_TABLE)
+    first, day = datetime(2024, 2, 1), timedelta(days=1)
+    files = fl.list_any(spark, root).select("path").withColumn("batch_id", F.regexp_extract("path", "/k=([0-9]+)/", 1))
+    good = loads.ndjson_rows(ATTRIBUTION, ld.ATTRIBUTION_LOAD)
+    spoiled = lambda lines: good(lines.withColumn("value", F.lit(fx.NOT_JSON)))
+    for k, transform in (("0", good), ("1", good), ("2", spoiled)):
+        loads.load_batches(files.where(F.col("batch_id") == k), transform, table, ld.ATTRIBUTION_LOAD, first + int(k) * day)
+    n = {r["batch_id"]: r["n"] for r in files.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
+    hours = (24, 47, 72)
+    gone = [loads.sweep(table, first + timedelta(hours=h)) for h in hours]
+    said = "early deleted; second sweep rested; third deleted the rest" if gone == [n["0"], None, n["1"]] else str(gone)
+    left = good(spark.read.text(root).select("value", F.col("_metadata.file_path").alias(SOURCE)))
+    return left.groupBy("event_name").agg(F.count("*").alias("n")).withColumn("sweeps", F.lit(said))
+
+
 @query("k14_archive", f"""
 SELECT appsflyer_id, event_name, 'loaded files archived, failed files kept' AS files FROM {A} WHERE {TYPED_OK}""")
 def k14(spark, sf_dir):
@@ -245,10 +333,11 @@ def k14(spark, sf_dir):
         lines = loads.line_stream(spark, path, 1000)
         _wait(loads.sync(lines, rows, table, ld.ATTRIBUTION_LOAD, checkpoint, "k14"))
         loads.archive_loaded(table, archive)
-    names = lambda df: {r["p"].rpartition("/")[2] for r in df.collect()}
-    listed = lambda root: names(fl.list_any(spark, root).select(F.col("path").alias("p")))
-    entries = table.ledger().where("path IS NOT NULL").withColumnRenamed("path", "p")
-    done, failed = (names(entries.where(F.col("status") == s)) for s in ("loaded", "failed"))
-    right = done and failed and done <= listed(archive) and not failed & listed(archive) and failed <= listed(path)
-    files = "loaded files archived, failed files kept" if right and not done & listed(path) else "wrong files moved"
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    here, there = (fl.list_any(spark, root).select(name) for root in (path, archive))
+    entries = table.ledger().where("path IS NOT NULL").select(name, "status")
+    done, failed = (entries.where(F.col("status") == s).select("name") for s in ("loaded", "failed"))
+    wrong = [done.join(there, "name", "left_anti"), done.join(here, "name"), failed.join(here, "name", "left_anti"), failed.join(there, "name")]
+    right = not any(not w.isEmpty() for w in wrong) and not failed.isEmpty()
+    files = "loaded files archived, failed files kept" if right else "wrong files moved"
     return table.read().select("appsflyer_id", "event_name", F.lit(files).alias("files"))

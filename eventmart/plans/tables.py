@@ -56,7 +56,7 @@ def d1_partitions(spark, sf_dir):
     """Into a table partitioned by day; an update may move a row to the next day."""
     day = F.date_format("event_time", "yyyyMMdd")
     rows = base(spark, sf_dir).withColumn("day", day)
-    table = dedupe.VersionedPartitions(spark, scratch_path(spark, "d1"), rows.schema, "day")
+    table = dedupe.PartitionedTable(spark, scratch_path(spark, "d1"), rows.schema, "day")
     table.replace(rows, rows.select("day"))
     table.upsert(fx.derive(spark, sf_dir, UPDATES_SQL).withColumn("day", day), "appsflyer_id", ["event_time"])
     return table.read()

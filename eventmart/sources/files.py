@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.values import file_name_numbers, url_parts
+from eventmart.session import materialize
 
 # Fixed values.
 KINDS = {
@@ -19,6 +20,8 @@ SKIPPED_PREFIXES = ["manifests/", "jsonpaths/"]
 START_DATE = "2024-10-01"
 FILES_PER_BATCH = 1000
 
+RANGE_FILES = 100_000  # paths that one task numbers
+
 
 def list_files(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """Files under ``root`` of one kind: path, key (relative to root), length, modified time.
@@ -107,31 +110,47 @@ def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     return _entries(lines.select(name.alias("manifest"), F.from_json("value", _MANIFEST).entries.alias("entries")))
 
 
-def manifest_loads(entries: DataFrame, files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:
-    """(manifest, batch, paths): what to load of every manifest, in batches of files.
+def manifest_batches(entries: DataFrame, files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:
+    """(manifest, batch, path): what to load of every manifest, in batches of at most ``batch_size`` files, by path.
 
     All manifests meet the listing in one join. A missing mandatory file fails the whole call; other
-    missing files are left out. A manifest of any length is cut into batches of at most
-    ``batch_size`` files, by path; a path named twice in a manifest counts once.
+    missing files are left out; a path named twice in a manifest counts once. Places within a manifest
+    come from ranges of (manifest, path): each range numbers its own paths, and adds those of earlier ones.
     """
     named = entries.groupBy("manifest", "path").agg(F.max("mandatory").alias("mandatory"))
     lost = named.where("mandatory").join(files.select("path"), "path", "left_anti").limit(5).collect()
     if lost:
         raise FileNotFoundError(f"mandatory files are missing: {[r['path'] for r in lost]}")
-    present = named.join(files.select("path"), "path", "left_semi")
-    place = F.row_number().over(Window.partitionBy("manifest").orderBy("path"))
+    present = materialize(named.join(files.select("path"), "path", "left_semi").select("manifest", "path"), "manifest-paths")
+    parts = max(1, -(-present.count() // RANGE_FILES))
+    ranged = present.repartitionByRange(parts, "manifest", "path").withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged, "manifest-ranges")
+    sizes = ranged.groupBy("manifest", "part").agg(F.count("*").alias("n"))  # a row for each range of a manifest
+    before = F.sum("n").over(Window.partitionBy("manifest").orderBy("part")) - F.col("n")
+    place = F.row_number().over(Window.partitionBy("manifest", "part").orderBy("path")) - 1
+    placed = ranged.withColumn("place", place).join(sizes.select("manifest", "part", before.alias("before")), ["manifest", "part"])
+    return placed.select("manifest", F.floor((F.col("place") + F.col("before")) / batch_size).alias("batch"), "path")
+
+
+def manifest_loads(entries: DataFrame, files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:
+    """:func:`manifest_batches` with a row for each batch: (manifest, batch, paths)."""
     return (
-        present.withColumn("batch", F.floor((place - 1) / batch_size))
+        manifest_batches(entries, files, batch_size)
         .groupBy("manifest", "batch")
         .agg(F.array_sort(F.collect_list("path")).alias("paths"))
     )
 
 
 def run_loads(loads: DataFrame, load, parallel: int = 10) -> list:
-    """``load(manifest, batch, paths)`` for every row of ``manifest_loads``, several at a time."""
+    """``load(manifest, batch, paths)`` for every row of ``manifest_loads``, several at a time. The path lists of
+    at most twice as many batches are on the driver."""
+    out, running = [], []
     with ThreadPoolExecutor(parallel) as pool:
-        rows = loads.orderBy("manifest", "batch").toLocalIterator()
-        return list(pool.map(lambda r: load(r["manifest"], r["batch"], r["paths"]), rows))
+        for r in loads.orderBy("manifest", "batch").toLocalIterator():
+            running.append(pool.submit(load, r["manifest"], r["batch"], r["paths"]))
+            if len(running) >= 2 * parallel:
+                out.append(running.pop(0).result())
+        return out + [job.result() for job in running]
 
 
 def manifest_of(files: DataFrame, batch_size: int = FILES_PER_BATCH) -> DataFrame:

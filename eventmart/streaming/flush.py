@@ -92,15 +92,19 @@ class RowsOrTime(StatefulProcessor):
         return frame.astype({"lane": "int32", "number": "int64", "first_at": "datetime64[ns]", "n": "int32"})
 
 
-def batches(lines: DataFrame, rows: int, wait_ms: int, lanes: int = 16, arrival: Column | None = None, delay: str = "0 seconds") -> DataFrame:
+def batches(
+    lines: DataFrame, rows: int, wait_ms: int, lanes: int = 16, lane: Column | None = None, arrival: Column | None = None,
+    delay: str = "0 seconds",
+) -> DataFrame:
     """The batches of a stream with a ``value`` column: lane, number, reason (``rows`` or ``time``), first_at, n, rows.
+    ``lane`` tells the lanes of rows that must stay together; else they are dealt to ``lanes`` lanes.
 
     Without ``arrival`` the clock tells when a row comes, and every row leaves at last. With it, a timestamp column says
     so, and timers follow the watermark, which is ``delay`` behind it: rows later than that are dropped by
     Spark, and the last batch of each lane waits for the watermark.
     """
     value = F.coalesce(F.col("value"), F.lit(""))
-    lane = F.pmod(F.xxhash64(value), F.lit(lanes)).cast("int").alias("lane")
+    lane = (F.pmod(F.xxhash64(value), F.lit(lanes)).cast("int") if lane is None else lane).alias("lane")
     mode = "ProcessingTime"
     if arrival is None:
         keyed = lines.select(lane, F.lit(None).cast("long").alias("at"), value.alias("value"))

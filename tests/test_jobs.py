@@ -1,10 +1,12 @@
 """Loads, ledgers, targets, skew and replay on small inputs."""
 
 import json
-from datetime import datetime
+import time
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +21,7 @@ from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL, INGEST_
 from eventmart.sources import csvlines as cl
 from eventmart.sources import files as fl
 from eventmart.sources.ndjson import parse_ndjson, read_ndjson
-from eventmart.streaming import loads
+from eventmart.streaming import flush, loads
 
 NOW = datetime(2024, 2, 1)
 
@@ -362,21 +364,24 @@ def test_alarm_needs_consecutive_periods(spark):
 
 def test_upsert_partitions_moves_rows(spark, scratch):
     schema = T.StructType.fromDDL("k STRING, t INT, part STRING")
-    table = dedupe.VersionedPartitions(spark, scratch(), schema, "part")
-    assert table.read().count() == 0
+    table = dedupe.PartitionedTable(spark, scratch(), schema, "part")
+    assert table.read().count() == 0 and not table.recover()
     rows = lambda: sorted(tuple(r) for r in table.read().collect())
     table.upsert(spark.createDataFrame([("a", 1, "0:1"), ("b", 1, "02"), ("c", 1, "03"), ("n", 1, None)], schema), "k", ["t"])
     assert len(rows()) == 4
-    before = table.read()
     table.upsert(spark.createDataFrame([("a", 2, "02"), ("a", 3, "04"), ("d", 1, "03")], schema), "k", ["t"])
     after = [("a", 3, "04"), ("b", 1, "02"), ("c", 1, "03"), ("d", 1, "03")]
-    assert [r for r in rows() if r[2]] == after and len(rows()) == 5
-    assert before.count() == 4  # readers of the version before are not disturbed
-    # a writer that dies before the version is complete changes nothing
-    spark.createDataFrame([("z", 9, "02")], schema).write.partitionBy("part").parquet(f"{table.root}/data/version=3")
+    assert [r for r in rows() if r[2]] == after and len(rows()) == 5  # the partition that lost its row is empty
+    # a writer that dies before the staged rows are whole changes nothing
+    spark.createDataFrame([("z", 9, "02", True)], "k STRING, t INT, part STRING, _live BOOLEAN").write.mode("overwrite").partitionBy(
+        "part").parquet(f"{table.root}/_staged/rows")
+    assert [r for r in rows() if r[2]] == after and not table.recover()
+    # one that dies while publishing is finished by the next writer
+    gone = spark.createDataFrame([("03",), ("09",)], "part STRING")
+    table.stage(spark.createDataFrame([("y", 1, "09")], schema), gone)
     assert [r for r in rows() if r[2]] == after
     table.upsert(spark.createDataFrame([("n", 2, "05")], schema), "k", ["t"])
-    assert rows() == sorted([*after, ("n", 2, "05")])
+    assert rows() == [("a", 3, "04"), ("b", 1, "02"), ("n", 2, "05"), ("y", 1, "09")]
 
 
 # -- streams --------------------------------------------------------------------------------
@@ -481,3 +486,140 @@ def test_retry_gives_up(spark, scratch):
     tried = [loads.retry_failed(table, loads.document_rows(), LoadPolicy(), 3) for _ in range(4)]
     assert [list(t.values()) for t in tried] == [[False], [False], [], []]
     assert loads.archive_loaded(table, scratch()) == 0
+
+
+# -- rows or time, many batches, moves, lookups, one-pass scan ---------------------------------
+def test_batches_by_rows_or_time_over_a_restart(spark, scratch):
+    """By the clock: full batches leave at once, what is left waits, over a restart too, and leaves together."""
+    source, out, checkpoint = scratch(), scratch(), scratch()
+
+    def run(until, seconds):
+        lines = spark.readStream.schema("value STRING").text(source)
+        started = flush.write_batches(flush.batches(lines, 100, 15_000, lanes=1), out, checkpoint, "200 milliseconds")
+        end = time.time() + seconds
+        while time.time() < end and not until():
+            if started.exception() is not None:
+                raise started.exception()
+            time.sleep(0.3)
+        started.stop()
+
+    def got():
+        try:
+            return sorted((r["number"], r["reason"], r["n"]) for r in spark.read.schema(flush.BATCH).parquet(out).collect())
+        except AnalysisException:
+            return []
+
+    spark.range(250).select(F.col("id").cast("string")).write.text(source)
+    run(lambda: len(got()) == 2, 60)
+    assert got() == [(0, "rows", 100), (1, "rows", 100)]
+    spark.range(250, 280).select(F.col("id").cast("string")).write.mode("append").text(source)
+    run(lambda: sum(n for _, _, n in got()) == 280, 90)
+    assert [n for _, reason, n in got() if reason == "rows"] == [100, 100]
+    rest = [n for _, reason, n in got() if reason == "time"]
+    assert sum(rest) == 80 and len(rest) <= 2
+    rows = spark.read.schema(flush.BATCH).parquet(out).select(F.explode("rows").alias("v"))
+    assert rows.distinct().count() == rows.count() == 280
+
+
+def test_landed_batches_are_files(spark, scratch):
+    source, out = scratch(), scratch()
+    spark.range(50).select(F.concat(F.lit("x"), "id")).write.text(source)
+    lines = spark.readStream.schema("value STRING").text(source)
+    started = flush.land_batches(flush.batches(lines, 10, 60_000, lanes=1), out, scratch(), "200 milliseconds")
+    end = time.time() + 60
+    sizes = lambda: [n for p in Path(out).glob("*.txt") if (n := len(p.read_text().split()))]
+    while time.time() < end and sum(sizes()) < 50:
+        time.sleep(0.3)
+    started.stop()
+    assert sizes() == [10] * 5
+
+
+def test_many_batches_load_together(spark, scratch):
+    source = scratch()
+    doc = '{"ts":20240101000000,"eventName":"n","profile":{"identity":"1"}}'
+    rows = [(k, doc) for k in range(50) for _ in range(3)] + [(7, "oops")] * 2
+    spark.createDataFrame(rows, "k INT, value STRING").repartition("k").write.partitionBy("k").text(source)
+    batches = fl.list_any(spark, source).select(F.regexp_extract("path", "/k=([0-9]+)/", 1).alias("batch_id"), "path")
+    table = BatchTable(spark, scratch(), CANONICAL)
+    policy = LoadPolicy(max_errors=2)
+    calls = []
+    original = BatchTable.stage
+    BatchTable.stage = lambda self, *a: calls.append(1) or original(self, *a)
+    try:
+        state = {r["batch_id"]: (r["status"], r["ok"], r["reject"]) for r in loads.load_batches(batches, loads.document_rows(), table, policy, NOW).collect()}
+    finally:
+        BatchTable.stage = original
+    assert len(calls) == 1 and len(state) == 50
+    assert state["7"] == ("failed", 3, 2) and state["8"] == ("loaded", 3, 0)
+    assert table.read().count() == 147 and table.rejects().count() == 2
+    again = loads.load_batches(batches, loads.document_rows(), table, LoadPolicy(max_errors=3), NOW).collect()
+    assert [(r["batch_id"], r["status"]) for r in again] == [("7", "loaded")] and table.read().count() == 150
+    assert table.batch_state("7")["attempts"] == 2
+    archive, n = scratch(), batches.count()
+    assert loads.archive_loaded(table, archive) == n == fl.list_any(spark, archive).count()
+    assert loads.archive_loaded(table, archive) == 0 and table.deletable("2030-01-01").count() == 0
+
+
+def test_sweep_rests(spark, scratch):
+    source = scratch()
+    spark.createDataFrame([("{}",)], "value STRING").write.text(source)
+    table = BatchTable(spark, scratch(), CANONICAL)
+    files = fl.list_any(spark, source).select(F.lit("b").alias("batch_id"), "path")
+    loads.load_batches(files, loads.document_rows(), table, LoadPolicy(max_errors=9), NOW)
+    n = table.loaded_files().count()
+    assert [loads.sweep(table, NOW + timedelta(hours=h)) for h in (1, 24, 24.9, 25)] == [0, None, None, n] and n > 0
+    left = {p.name for p in Path(source).glob("part-*")}
+    assert not left & {r["path"].rpartition("/")[2] for r in table.ledger().where("path IS NOT NULL").collect()}
+
+
+def test_lookup_opens_few_files(spark, scratch):
+    table = BatchTable(spark, scratch(), CANONICAL, cluster_by="user_id")
+    rows = lambda lo, hi: cast_rows(
+        spark.range(lo, hi).select(F.lit("2024-01-01").alias("event_date"), F.lit("2024-01-01 00:00:00").alias("event_ts"),
+                                   F.format_string("%05d", "id").alias("user_id"), F.lit("n").alias("event_name")), CANONICAL, LoadPolicy())
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.load(rows(0, 4000), "a", LoadPolicy(), NOW)
+        table.load(rows(3000, 6000), "b", LoadPolicy(), NOW)
+        table.stage(rows(0, 100), "never published")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    every = len(table.read().inputFiles())
+    for key, n in (("00042", 1), ("03500", 2), ("05999", 1), ("07000", 0)):
+        found = table.lookup(key)
+        assert found.count() == n and len(found.inputFiles()) == n < every
+    assert table.lookup(None).count() == 0
+
+
+def test_thousands_of_small_exports_in_few_tasks(spark, scratch):
+    """One read of the text, no join, far fewer tasks than files."""
+    path = Path(scratch())
+    path.mkdir(parents=True)
+    for i in range(3000):
+        (path / f"f{i}.csv").write_text(f"ts,eventName,c{i % 3}\n20240101000000,e,{i}\n")
+    rows = cl.csv_rows(spark, str(path))
+    assert rows.rdd.getNumPartitions() < 300
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Join" not in plan and "Exchange" not in plan
+    names = rows.select(F.element_at("headers", -1).alias("h")).groupBy("h").count().collect()
+    assert {r["h"]: r["count"] for r in names} == {"c0": 1000, "c1": 1000, "c2": 1000}
+
+
+def test_beginning_of_a_large_file(spark, scratch):
+    """A file of several splits: its header reaches all of them, its first lines come without reading it."""
+    path = Path(scratch())
+    path.mkdir(parents=True)
+    with open(path / "big.csv", "w") as f:
+        f.write("ts,eventName,n\n")
+        f.writelines(f"20240101000000,e,{i}\n" for i in range(400_000))
+    (path / "small.csv").write_text("a,b\n1,2\n")
+    heads = cl.first_rows(spark, str(path), 2).orderBy("file_name", "line_no").collect()
+    assert [(r["file_name"], r["line_no"], r["line"]) for r in heads] == [
+        ("big.csv", 1, "ts,eventName,n"), ("big.csv", 2, "20240101000000,e,0"), ("big.csv", 3, "20240101000000,e,1"),
+        ("small.csv", 1, "a,b"), ("small.csv", 2, "1,2"),
+    ]
+    rows = cl.csv_rows(spark, str(path))
+    assert rows.rdd.getNumPartitions() > 1
+    counts = rows.groupBy("headers").agg(F.count("*").alias("n"), F.count_distinct("fields").alias("d")).collect()
+    assert sorted((r["headers"], r["n"], r["d"]) for r in counts) == [(["a", "b"], 1, 1), (["ts", "eventName", "n"], 400_000, 400_000)]
