@@ -154,12 +154,15 @@ def units_of(docs: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix wants them: each row as often as the mix takes its words, to the nearest
-    whole number. Rows that the mix does not take by half are out."""
+    whole number. Rows that the mix does not take by half are out, and so are rows without words (null, empty or
+    blank texts), of which a mix takes nothing. Rows that repeat an id and a text share what the mix takes of them; null ids and
+    sources are values like others; other columns are kept; an empty table gives an empty result.
+    """
     mixed, _ = mix(units_of(docs))
     copies = (
         mixed.groupBy(F.col("doc_id").alias("__mix_id"), F.col("text_hash").alias("__mix_hash"))
-        .agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__mix_copies"))
-        .where("__mix_copies > 0")
+        .agg(F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("__mix_copies"))
+        .where("__mix_copies > 0")  # null without words
     )
     joined = docs.join(
         copies, F.col("doc_id").eqNullSafe(F.col("__mix_id")) & F.xxhash64("text").eqNullSafe(F.col("__mix_hash"))

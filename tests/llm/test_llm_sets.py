@@ -389,6 +389,9 @@ def test_mix_applied(spark):
     assert mixing.mix(mixing.units_of(frames.empty(spark)))[0].count() == 0
     wordless = frames.documents(spark, [(1, None, None), (2, " ", "x")])
     assert [r.taken for r in mixing.mix(mixing.units_of(wordless))[0].collect()] == [0, 0]
+    assert mixing.apply(wordless).count() == 0
+    rows = [(1, "some words here", "x"), (2, "", "x"), (3, None, None), (None, " \t", "y"), (1, "some words here", "x"), (4, "more", None)]
+    assert {r.doc_id for r in mixing.apply(frames.documents(spark, rows)).collect()} == {1, 4}
 
 
 # ---- packing -----------------------------------------------------------------------------
