@@ -37,12 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op3_chat_formatting", sql.CHAT)
 def op3(spark, sf_dir):
-    """Each row of ``conversations`` is a whole message of its log."""
+    """Each row of ``conversations`` is the event of a whole message of its log, and goes through the fold."""
     log = table(spark, sf_dir, "conversations").select(
-        "conv_id", F.col("turn").alias("seq"), F.lit(None).cast("long").alias("message_id"), F.lit("message").alias("kind"), "role", "text"
+        "conv_id", F.col("turn").alias("seq"), F.monotonically_increasing_id().alias("message_id"), F.lit("message").alias("kind"), "role", "text"
     )
     probe = spark.sql(
-        "select -1L as conv_id, seq, cast(null as long) as message_id, 'message' as kind, role, "
+        "select -1L as conv_id, seq, -1L - seq as message_id, 'message' as kind, role, "
         "'</s>[INST] ok [/INST]' as text from values (0L, 'user'), (1L, 'assistant') as t(seq, role)"
     )
     return chat.digest(chat.render(chat.fold(log.unionByName(probe))))
