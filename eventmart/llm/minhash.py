@@ -48,8 +48,8 @@ def fingerprint(signature: np.ndarray) -> str:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity, row by row: the share of equal minima."""
-    return (a == b).mean(axis=-1)
+    """Estimated Jaccard similarity, row by row: the share of equal cells of the fingerprints."""
+    return (a.astype(np.uint16) == b.astype(np.uint16)).mean(axis=-1)
 
 
 def edited(text: str, following: str) -> str:
