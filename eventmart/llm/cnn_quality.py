@@ -22,7 +22,6 @@ FILTERS = 24
 WIDTH = 6
 BLOCK = 256
 SAMPLE_PER_CLASS = 1500  # labelled texts of each class that are learned from, at most
-SAMPLE_CHUNKS = 8  # evenly spaced chunks of each of them, at most
 STEPS = 450  # of gradient descent, with BATCH texts each
 BATCH = 64
 THRESHOLD = 0.7
@@ -145,13 +144,11 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, prior: float, seed: int
     return Model(p["filters"], p["bias"], p["unit"], float(p["offset"][0]) + logit)
 
 
-def sample_chunks(data: bytes) -> np.ndarray:
-    """Up to SAMPLE_CHUNKS chunks, evenly spaced from the text's start to its end."""
-    size = 2 * BLOCK
-    n = min(SAMPLE_CHUNKS, max(1, -(-len(data) // size)))
-    starts = np.linspace(0, max(0, len(data) - size), n).astype(int)
-    raw = b"".join(data[s : s + size + WIDTH - 1].ljust(size + WIDTH - 1, b"\0") for s in starts)
-    return np.frombuffer(raw, np.uint8).reshape(n, -1)
+def chunks_of(data: bytes) -> np.ndarray:
+    """All chunks of a text, as scores pool them: 2 * BLOCK bytes from each BLOCK on, zeros behind the end."""
+    size, n = 2 * BLOCK + WIDTH - 1, max(1, -(-len(data) // BLOCK) - 1)
+    padded = np.frombuffer(data.ljust((n - 1) * BLOCK + size, b"\0"), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(padded, size)[: (n - 1) * BLOCK + 1 : BLOCK]
 
 
 def held_out(doc_id) -> F.Column:
@@ -159,7 +156,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from at most SAMPLE_PER_CLASS texts of each class, taken by a hash of their id among the
+    """Learn from the whole of at most SAMPLE_PER_CLASS texts of each class, taken by a hash of their id among the
     labelled rows that are not held out. Null labels are left out; of two labels for an id one is used."""
     known = labels.where(~held_out("doc_id") & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     counts = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
@@ -169,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = [sample_chunks((t or "").encode("utf-8", "surrogatepass")).tobytes() for t in b.column(1).to_pylist()]
+            raw = [chunks_of((t or "").encode("utf-8", "surrogatepass")).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2).cast(pa.int32()), pa.array(raw, pa.binary())], names=["doc_id", "quality", "chunks"])
 
     got = sorted(
