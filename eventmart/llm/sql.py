@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from eventmart.llm.pii import IBAN_LENGTHS
+
 _ESC = r"regexp_replace({}, '([<\[\\])', '\1\\', 'g')"
 
 CHAT = rf"""
@@ -21,7 +23,7 @@ _PATTERNS = {
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
     "card": r"[0-9](?:[\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}",
+    "iban": "[A-Z]{2}[0-9]{2}",  # the start of one
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
 _DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
@@ -42,21 +44,48 @@ _VALID = {
 }
 
 
-def _kind(i: int, name: str) -> str:
+# An IBAN from its start: as long as its country has it; with other codes as long as it goes on.
+_IBAN_HIT = "CASE {} ELSE regexp_extract(ahead, '^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}') END".format(
+    " ".join(
+        f"WHEN ahead[1:2] IN ({', '.join(repr(c) for c in codes.split())}) THEN regexp_extract(ahead, '^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}')"
+        for n, codes in IBAN_LENGTHS.items()
+    )
+)
+
+
+def _starts(name: str) -> str:
+    """(doc_id, row_id, text, hit, start) of all matches."""
     pattern = _PATTERNS[name]
     return f"""
-  SELECT * FROM (
-    SELECT doc_id, row_id, {i} AS rank, '{name}' AS kind, start, start + length(hit) AS stop, hit,
-      substr(text, greatest(start - 40, 0) + 1, least(start, 40)) AS before, substr(text, start + length(hit) + 1, 1) AS after
-    FROM (
       SELECT doc_id, row_id, text, hits[i] AS hit,
         CAST(list_sum(list_transform(pieces[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda p: length(p))), 0) AS BIGINT) AS start
       FROM (
         SELECT doc_id, row_id, text, hits, pieces, unnest(range(1, len(hits) + 1)) AS i
         FROM (SELECT doc_id, row_id, text, regexp_extract_all(text, '{pattern}') AS hits, regexp_split_to_array(text, '{pattern}') AS pieces FROM docs)
-      )
+      )"""
+
+
+def _kind(i: int, name: str) -> str:
+    found = _starts(name)
+    if name == "iban":
+        found = f"SELECT * REPLACE ({_IBAN_HIT} AS hit) FROM (SELECT *, substr(text, start + 1, 64) AS ahead FROM ({found}))"
+    valid = f"""
+  SELECT * FROM (
+    SELECT doc_id, row_id, {i} AS rank, '{name}' AS kind, start, start + length(hit) AS stop, hit,
+      substr(text, greatest(start - 40, 0) + 1, least(start, 40)) AS before, substr(text, start + length(hit) + 1, 1) AS after
+    FROM ({found}
     )
   ) WHERE {_VALID[name]}"""
+    if name != "iban":
+        return valid
+    # starts are found within hits too: of those that overlap the first one stays
+    return f"""
+  SELECT doc_id, row_id, {i} AS rank, '{name}' AS kind, s.start, s.stop, '' AS hit, '' AS before, '' AS after FROM (
+    SELECT any_value(doc_id) AS doc_id, row_id, unnest(list_reduce(list(x ORDER BY start),
+      lambda a, b: CASE WHEN b[1].start < a[-1].stop THEN a ELSE list_concat(a, b) END)) AS s
+    FROM (SELECT *, [{{'start': start, 'stop': stop}}] AS x FROM ({valid}))
+    GROUP BY row_id
+  )"""
 
 
 PII = f"""

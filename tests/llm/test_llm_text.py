@@ -324,3 +324,24 @@ def test_chat_edge_cases(spark):
     assert r.turns_sha256 == hashlib.sha256("".join(f"{x[4]}\n{x[5]}\n" for x in rows).encode()).hexdigest()
     plan = chat.digest(chat.render(chat.fold(spark.createDataFrame(rows[:3], LOG))))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_iban_spans_equal_sql(spark):
+    """IBANs followed by capitals and digits, side by side, with blanks, of no country, and one that starts in another."""
+    import duckdb
+    import pyarrow as pa
+
+    from eventmart.llm import sql
+
+    texts = [
+        "DE89370400440532013000 2024", "DE89370400440532013000 BIC COBADEFFXXX", "GB82 WEST 1234 5698 7654 32 A payment",
+        "GB82WEST12345698765432 DE89370400440532013000", "xDE89370400440532013000", "DE89370400440532013000x", "DE8937040044053201300",
+        "AB12 DE89 3704 0044 0532 0130 00 and ZZ68539007547034", "NO9386011117947.", None, "", "ZZ12ABCDEFGHIJKLMN",
+        "FR1420041010050500013M02606 FR14 2004 1010 0505 0001 3M02 606 7", "write a@b.co ssn 123-45-6789, +1 (555) 010-0000, 4111 1111 1111 1111",
+    ]
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    got = sorted(tuple(r) for r in pii.digest(frames.documents(spark, rows)).select("doc_id", "base_sha256", "spans").collect())
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": texts}))
+    assert got == sorted(con.sql(f"SELECT doc_id, base_sha256, spans FROM ({sql.PII})").fetchall())
+    assert sum(s.count("iban") for _, _, s in got) >= 8
