@@ -163,3 +163,40 @@ def parity(primary: DataFrame, secondary: DataFrame, key: str) -> DataFrame:
         .where(F.col("status").isNotNull())
         .select(key, "primary_rows", "secondary_rows", "status")
     )
+
+
+def digests(df: DataFrame, columns: list[str], key: str, buckets: int) -> DataFrame:
+    """(bucket, n, x, s): what the rows whose key falls in a bucket add up to, in any order."""
+    h = row_hash(df.select(*columns))
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), h.alias("h"))
+    return rows.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).alias("s")
+    )
+
+
+def parity_by_digests(primary: DataFrame, secondary: DataFrame, key: str, buckets: int = 4096, levels: int = 2) -> DataFrame:
+    """The rows of :func:`parity`, from digests first: each level digests the keys that still may differ into more
+    buckets, and only what lies in buckets that differ at the last level is compared by key.
+
+    A level moves at most one row per bucket and task. Equal targets cost two aggregations, one for each side.
+    """
+    from eventmart.session import materialize
+
+    shared = [c for c in primary.columns if c in secondary.columns]
+    for level in range(1, levels + 1):
+        n = buckets**level
+        first, second = (digests(df, shared, key, n) for df in (primary, secondary))
+        both = first.unionByName(second).groupBy("bucket", "n", "x", "s").agg(F.count("*").alias("sides")).where("sides = 1")
+        apart = materialize(both.select("bucket").distinct(), "buckets-apart")
+        count = apart.count()
+        if not count:
+            return parity(primary.limit(0), secondary.limit(0), key)
+        if count <= 2 * buckets:  # of a fixed number: the side table is small
+            apart = F.broadcast(apart)
+        bucket = F.pmod(F.xxhash64(key), F.lit(n))
+        primary, secondary = (
+            df.withColumn("bucket", bucket).join(apart, "bucket", "left_semi").drop("bucket") for df in (primary, secondary)
+        )
+        if count > buckets // 2:  # most keys differ: further levels would tell nothing
+            break
+    return parity(primary, secondary, key)

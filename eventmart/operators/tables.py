@@ -219,6 +219,15 @@ class BatchTable:
         entries = self.ledger().where(F.col("path").isNull() & F.col("status").isin(statuses))
         return self._data().join(entries.select("batch_id", "attempt"), ["batch_id", "attempt"], "left_semi")
 
+    def published(self) -> DataFrame:
+        """(batch_id, attempt) of the loaded batches."""
+        return self.ledger().where("path IS NULL AND status = 'loaded'").select("batch_id", "attempt")
+
+    def rows_of(self, attempts: DataFrame) -> DataFrame:
+        """Good rows of some (batch_id, attempt), with these."""
+        rows = self._data().where(F.col("load_status") == "ok").join(attempts, ["batch_id", "attempt"], "left_semi")
+        return rows.select("batch_id", "attempt", *self.schema.names)
+
     def read(self) -> DataFrame:
         rows = self._recorded(["loaded"]).where(F.col("load_status") == "ok")
         return rows.select(*self.schema.names)
@@ -246,7 +255,7 @@ class BatchTable:
             T.StructType.fromDDL(f"file string, batch_id string, low {self._key()}, high {self._key()}, attempt string"),
         )
         wanted = F.lit(value).cast(self._key())
-        loaded = self.ledger().where("path IS NULL AND status = 'loaded'").select("batch_id", "attempt")
+        loaded = self.published()
         hits = ranges.where((F.col("low") <= wanted) & (F.col("high") >= wanted)).join(loaded, ["batch_id", "attempt"], "left_semi")
         files = [r["file"] for r in hits.select("file").limit(LOOKUP_FILES + 1).collect()]
         if len(files) > LOOKUP_FILES:  # a scan with the filter pushed down is as good then
@@ -262,9 +271,10 @@ class BatchTable:
         """(path, what, at): files that were archived or deleted after their load."""
         return self.side(f"{self.root}/moved", "path string, what string, at timestamp_ntz")
 
-    def side(self, path: str, schema: str) -> DataFrame:
+    def side(self, path: str, schema: str | T.StructType) -> DataFrame:
         """A table beside this one; empty if nobody has written to it."""
-        return _read_or_empty(self.spark, [path], path, T.StructType.fromDDL(schema))
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return _read_or_empty(self.spark, [path], path, schema)
 
     def loaded_files(self) -> DataFrame:
         """Ledger entries of the files of loaded batches that were neither archived nor deleted."""

@@ -12,6 +12,7 @@ from eventmart.functions.values import (
 from eventmart.functions import times
 from eventmart.operators import analytics as an
 from eventmart.operators import load as ld
+from eventmart.operators import summaries
 from eventmart.operators.load import REASON
 from eventmart.operators.tables import BatchTable
 from eventmart.plans import fixtures as fx
@@ -245,6 +246,33 @@ def t3(spark, sf_dir):
     return an.lookup(fx.attribution(spark, sf_dir), "e42", only_latest=True).select(*TYPED[:7])
 
 
+@query("a4_daily_summaries", f"""
+SELECT media_source, campaign, count(*) AS installs, true AS users_near FROM {A}
+WHERE event_name = 'install' AND CAST(event_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-31' GROUP BY ALL""")
+def a4_summaries(spark, sf_dir):
+    """Installs and users from the daily summaries of three loads, one of which is corrected and loaded again; users are
+    within the stated error of their exact number."""
+    table = BatchTable(spark, scratch_path(spark, "a4-daily"), ATTRIBUTION_TABLE)
+    daily = summaries.DailySummaries(table)
+    rows = fx.attribution(spark, sf_dir).withColumn(REASON, F.lit(None).cast("string"))
+    part = F.col("event_id") % 3
+    for batch, some in (("b0", rows.where(part == 0)), ("b1", rows.where(part == 1)), ("b2", rows.where(part == 2).withColumn(REASON, F.lit("held back")))):
+        try:
+            table.load(some.drop("event_id"), batch, ld.ATTRIBUTION_LOAD, LOADED)
+        except ld.LoadFailed:
+            pass
+        daily.refresh()
+    table.load(rows.where(part == 2).drop("event_id"), "b2", ld.ATTRIBUTION_LOAD, LOADED)
+    daily.refresh()
+    daily.refresh()
+    installs = F.col("event_name") == "install"
+    found = daily.report(["media_source", "campaign"], "2024-01-05", "2024-01-31", installs)
+    days = F.to_date("event_time").between("2024-01-05", "2024-01-31")
+    exact = table.read().where(installs & days).groupBy("media_source", "campaign").agg(F.count_distinct("customer_user_id").alias("exact"))
+    near = F.abs(F.col("users") - F.col("exact")) <= F.col("exact") * summaries.ERROR + 1
+    return found.join(exact, ["media_source", "campaign"]).select("media_source", "campaign", F.col("events").alias("installs"), near.alias("users_near"))
+
+
 @query("t3_lookup_files", f"""
 SELECT {', '.join(TYPED[:7])}, 1 AS files, true AS skipped FROM {A} WHERE appsflyer_id = 'e42'""")
 def t3_files(spark, sf_dir):

@@ -434,9 +434,18 @@ def _wide_table(spark, name):
 
 @query("d4_missing_columns", """
 SELECT unnest(['clevertapid', 'eventname', 'extra_col', 'extra_tail', 'event_time', 'identity', 'note', 'phone',
-  'profile_identity', 'profileattr_created_time', 'segment', 'ts']) AS missing WHERE (SELECT count(*) FROM events) > 0""")
+  'profile_identity', 'profileattr_created_time', 'segment', 'ts']) AS missing WHERE (SELECT count(*) FROM events) > 0
+UNION SELECT lower(regexp_replace(name, '[^A-Za-z0-9_]+', '_', 'g')) FROM (
+  SELECT n_name AS name FROM nation UNION SELECT c_mktsegment FROM customer
+  UNION SELECT 'day ' || CAST(CAST(ts AS DATE) AS VARCHAR) FROM events)""")
 def d4(spark, sf_dir):
-    headers = cl.read_headers(spark, fx.csv_exports(spark, sf_dir))
+    """Headers of the exports, and of one whose columns are the nations, segments and days that the tables hold."""
+    names = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("name"))
+    names = names.union(spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_mktsegment"))
+    names = names.union(fx.events(spark, sf_dir).select(F.concat(F.lit("day "), F.to_date("ts").cast("string")))).distinct()
+    wide = scratch_path(spark, "d4")
+    names.agg(F.array_join(F.sort_array(F.collect_list("name")), ",").alias("value")).write.text(wide)
+    headers = cl.read_headers(spark, fx.csv_exports(spark, sf_dir)).unionByName(cl.read_headers(spark, wide))
     found = evolve.missing_columns(headers, CANONICAL.names)
     return spark.createDataFrame([(c,) for c in found], "missing STRING")
 

@@ -174,6 +174,12 @@ def nearly_clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.when(e == 1, NOT_JSON).otherwise(text).alias("value"))
 
 
+def nearly_clean_halves(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Those lines in two folders."""
+    halves = nearly_clean_lines(spark, sf_dir).randomSplit([0.5, 0.5], seed=7)
+    return [_once(spark, sf_dir, f"half{k}", half.write.text) for k, half in enumerate(halves)]
+
+
 BLOCK = 250_000  # ids per export file
 EXPORT_HEADER = "ts,event_time,eventName,profile.identity,note,Extra Col"
 EXPORT_SQL = """

@@ -118,13 +118,19 @@ def x2(spark, sf_dir):
     path = scratch_path(spark, "x2")
     table = BatchTable(spark, scratch_path(spark, "x2-table"), ATTRIBUTION_TABLE)
     checkpoint = scratch_path(spark, "x2-checkpoint")
-    halves = fx.nearly_clean_lines(spark, sf_dir).randomSplit([0.5, 0.5], seed=7)
-    for half in halves:
-        half.write.mode("append").text(path)
+    for half in fx.nearly_clean_halves(spark, sf_dir):
+        _arrive(spark, half, f"{path}/{half.rpartition('/')[2]}")
         _wait(_attribution_sync(spark, path, table, checkpoint, 1000))
     return table.read().select("appsflyer_id", "event_name", "event_time")
 
 
+def _arrive(spark, source, target):
+    """Copy a folder of the fixtures to where a stream looks."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(old.getFileSystem(conf), old, new.getFileSystem(conf), new, False, conf)
+
+
 @query("x3_replay_safe", f"SELECT count(*) AS n, count(DISTINCT appsflyer_id) AS ids FROM {A} WHERE {TYPED_OK}")
 def x3(spark, sf_dir):
     """The first run dies after its batch is written and before the checkpoint knows; the

@@ -74,13 +74,7 @@ def w3(spark, sf_dir):
     return dedupe.latest(fx.derive(spark, sf_dir, REPEATED_SQL), ["appsflyer_id"], ["event_time"])
 
 
-@query("j4_target_parity", """
-SELECT 'e' || event_id AS appsflyer_id, CAST(event_id % 11 <> 0 AS BIGINT) AS primary_rows,
-  CASE WHEN event_id % 13 = 0 THEN 0 WHEN event_id % 17 = 0 THEN 2 ELSE 1 END::BIGINT AS secondary_rows,
-  CASE WHEN event_id % 13 = 0 THEN 'only_primary' WHEN event_id % 11 = 0 THEN 'only_secondary' ELSE 'differs' END AS status
-FROM events WHERE (event_id % 13 = 0 AND event_id % 11 <> 0) OR (event_id % 11 = 0 AND event_id % 13 <> 0)
-  OR (event_id % 13 <> 0 AND (event_id % 17 = 0 OR event_id % 19 = 0))""")
-def j4(spark, sf_dir):
+def two_targets(spark, sf_dir):
     """The primary lacks every 11th event and the secondary every 13th; the secondary holds
     every 17th twice and another platform for every 19th."""
     df = fx.attribution(spark, sf_dir)
@@ -91,7 +85,26 @@ def j4(spark, sf_dir):
     )
     copies = F.when(e % 17 == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     secondary = other.withColumn("copy", F.explode(copies)).select(*KEPT)
-    return dedupe.parity(primary, secondary, "appsflyer_id")
+    return primary, secondary
+
+
+PARITY = """
+SELECT 'e' || event_id AS appsflyer_id, CAST(event_id % 11 <> 0 AS BIGINT) AS primary_rows,
+  CASE WHEN event_id % 13 = 0 THEN 0 WHEN event_id % 17 = 0 THEN 2 ELSE 1 END::BIGINT AS secondary_rows,
+  CASE WHEN event_id % 13 = 0 THEN 'only_primary' WHEN event_id % 11 = 0 THEN 'only_secondary' ELSE 'differs' END AS status
+FROM events WHERE (event_id % 13 = 0 AND event_id % 11 <> 0) OR (event_id % 11 = 0 AND event_id % 13 <> 0)
+  OR (event_id % 13 <> 0 AND (event_id % 17 = 0 OR event_id % 19 = 0))"""
+
+
+@query("j4_target_parity", PARITY)
+def j4(spark, sf_dir):
+    return dedupe.parity(*two_targets(spark, sf_dir), "appsflyer_id")
+
+
+@query("j4_parity_by_digests", PARITY)
+def j4_digests(spark, sf_dir):
+    """The same targets, of which only the buckets that differ are compared by key."""
+    return dedupe.parity_by_digests(*two_targets(spark, sf_dir), "appsflyer_id", buckets=64)
 
 
 # -- tables ---------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.operators import csv_events, dedupe, dualwrite, evolve, sinks
+from eventmart.operators import csv_events, dedupe, dualwrite, evolve, sinks, summaries
 from eventmart.operators import opsmetrics as om
 from eventmart.operators.joins import join_small, measured_bytes
 from eventmart.operators.load import (
@@ -623,3 +623,41 @@ def test_beginning_of_a_large_file(spark, scratch):
     assert rows.rdd.getNumPartitions() > 1
     counts = rows.groupBy("headers").agg(F.count("*").alias("n"), F.count_distinct("fields").alias("d")).collect()
     assert sorted((r["headers"], r["n"], r["d"]) for r in counts) == [(["a", "b"], 1, 1), (["ts", "eventName", "n"], 400_000, 400_000)]
+
+
+def test_equal_targets_are_not_compared_by_key(spark, monkeypatch):
+    rows = spark.range(500).select(F.concat(F.lit("k"), F.col("id") % 100).alias("k"), F.col("id").alias("v"))
+    shuffled = rows.orderBy(F.rand(3)).select("v", "k")
+    compared = []
+    original = dedupe.parity
+    monkeypatch.setattr(dedupe, "parity", lambda a, b, key: compared.append(a.count() + b.count()) or original(a, b, key))
+    assert dedupe.parity_by_digests(rows, shuffled, "k").count() == 0 and compared == [0]
+    other = rows.where("v != 7").unionByName(rows.where("v = 8"))
+    found = dedupe.parity_by_digests(rows, other, "k").orderBy("k").collect()
+    assert [tuple(r) for r in found] == [("k7", 5, 4, "differs"), ("k8", 5, 6, "differs")]
+    assert compared[1] < 100
+    assert dedupe.parity_by_digests(rows, rows.limit(0), "k", buckets=8).count() == 100
+    assert dedupe.parity_by_digests(rows.limit(0), rows.limit(0), "k").count() == 0
+
+
+def test_summaries_count_a_replay_once(spark, scratch):
+    table = BatchTable(spark, scratch(), ATTRIBUTION_TABLE)
+    daily = summaries.DailySummaries(table)
+    assert daily.report(["platform"]).count() == 0
+
+    def load(batch, users, platform="ios"):
+        rows = spark.range(users).select(
+            F.concat(F.lit("e"), "id").alias("appsflyer_id"), F.lit("install").alias("event_name"), F.lit("2024-01-02 03:04:05").alias("event_time"),
+            F.concat(F.lit("u"), "id").alias("customer_user_id"), F.lit(platform).alias("platform"), F.lit("1.5").alias("event_revenue_usd"),
+        )
+        table.load(cast_rows(rows, ATTRIBUTION, LoadPolicy()), batch, LoadPolicy(), NOW)
+        daily.refresh()
+
+    load("a", 20_000)
+    load("a", 20_000)
+    load("b", 30_000)
+    load("c", 10, "web")
+    got = {r["platform"]: r for r in daily.report(["platform"], "2024-01-02", "2024-01-02").collect()}
+    assert (got["ios"]["events"], got["ios"]["revenue_events"], float(got["ios"]["revenue"])) == (50_000, 50_000, 75_000.0)
+    assert abs(got["ios"]["users"] - 30_000) <= summaries.ERROR * 30_000 and got["web"]["users"] == 10
+    assert daily.report(["platform"], "2024-01-03").count() == 0
