@@ -262,7 +262,11 @@ def lines_with_headers(
     if file_filter is not None:
         lines = lines.where(file_filter(F.col("file_name")))
     pieces = lines.select("file_path", "block_start", "line").mapInArrow(_pieces, "file_path string, header string, lines array<string>")
-    late = read_headers(spark, paths, _splittable(file_filter), _never_split(spark))
+    splittable, whole = _splittable(file_filter), _never_split(spark)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)  # its content is not read
+    if files.where(F.col("length") > whole).where(splittable(F.element_at(F.split("path", "/"), -1))).select("path").isEmpty():
+        return pieces.select("file_path", "header", "lines")
+    late = read_headers(spark, paths, splittable, whole)
     size = late.agg(F.sum(F.octet_length("file_path") + F.octet_length("header") + 32)).first()[0]
     if size:
         late = late.withColumnRenamed("header", "late")
