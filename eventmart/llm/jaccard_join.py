@@ -27,7 +27,8 @@ WIDTH = 5
 PERCENT = 75
 COUNTERS = 1 << 18  # of the frequency table; its size is fixed, and so is what is broadcast
 SHARD_ENTRIES = 1 << 20  # prefix elements a shard holds, about
-BROADCAST_ROWS = 1 << 19  # of an id and a hash: some 30 MB
+_SLOTS = 64  # in which the parts that want a class are gathered
+_FAN = 1024  # parts that a set is sent to by one row
 _FLUSH = 1 << 20  # entries a map task holds before it deals them out
 
 
@@ -194,10 +195,22 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("row_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
 
 
-def sets_of(docs: DataFrame, described: DataFrame):
+def classes(described: DataFrame) -> DataFrame:
+    """A stored row per class: cls, sketch, fold, and (row_id, text_hash) of its smallest doc_id, nulls last."""
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    each = described.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.first("fold").alias("fold"), F.min(key).alias("k"))
+    return materialize(_keyed(each.select("cls", "sketch", "fold", "k.doc_id", "k.text_hash")).drop("doc_id"), "join-classes")
+
+
+def sets_of(docs: DataFrame, each: DataFrame):
     """For :func:`linking.verify`: shingles of one document of each class wanted, for each part that
     wants it. The texts stay where they are as long as the list of wanted rows is small enough to
-    be sent to all tasks; beyond that both sides are shuffled."""
+    be sent to all tasks; beyond that both sides are shuffled. ``each``: as of :func:`classes`.
+
+    The parts that want a class are gathered in slots before they become one row, so a class that all
+    parts want is no hot key. A set wanted by many parts leaves its task once for each slot and is
+    repeated behind a shuffle by slots.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()  # rows repeated within a task are sent once
@@ -209,24 +222,32 @@ def sets_of(docs: DataFrame, described: DataFrame):
                     cls = class_id(g)
                     if cls not in met:
                         met.add(cls)
-                        found += [(to, cls, g.tobytes()) for to in parts[lo + i]]
+                        found += [(some, cls, g.tobytes()) for some in parts[lo + i]]
             cols = list(zip(*found)) or [(), (), ()]
-            types = pa.int64(), pa.int64(), pa.binary()
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["to", "cls", "grams"])
+            types = pa.list_(pa.int64()), pa.int64(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["parts", "cls", "grams"])
 
     def of(wanted: DataFrame) -> DataFrame:
-        parts = wanted.groupBy("cls").agg(F.collect_set("to").alias("parts"))
-        one = _keyed(_first(described.join(parts, "cls", "left_semi"), "cls")).drop("doc_id").join(parts, "cls").drop("cls")
+        slots = wanted.groupBy("cls", F.pmod(F.col("to"), F.lit(_SLOTS)).alias("slot")).agg(F.collect_set("to").alias("some"))
+        parts = slots.groupBy("cls").agg(F.collect_list("some").alias("parts"), F.sum(F.size("some")).alias("many"))
+        rows = each.select("cls", "row_id", "text_hash").join(parts, "cls")
+        fewer = F.when(F.col("many") <= _FAN, F.array(F.flatten("parts"))).otherwise(F.col("parts"))
+        one = materialize(rows.select("row_id", "text_hash", fewer.alias("parts"), "many"), "join-wanted")
+        widest = one.agg(F.max("many")).first()[0] or 0
         texts = _keyed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")))
-        chosen = texts.join(_small(materialize(one, "join-wanted")), ["row_id", "text_hash"])
-        return chosen.select("row_id", "text", "parts").mapInArrow(run, "to long, cls long, grams binary")
+        sent = linking.small(one, F.length("row_id") * 4 + F.col("many") * 8 + 64)
+        chosen = texts.join(sent, ["row_id", "text_hash"]).select("row_id", "text", "parts")
+        sets = chosen.mapInArrow(run, "parts array<long>, cls long, grams binary")
+        if widest > _FAN:
+            sets = sets.repartition("cls", F.element_at("parts", 1))
+        return sets.select(F.explode("parts").alias("to"), "cls", "grams")
 
     return of
 
 
 def _small(rows: DataFrame) -> DataFrame:
-    """A stored table, marked to be sent to all tasks if it has few rows."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    """A stored table of keys, marked to be sent to all tasks if it is small."""
+    return linking.small(rows, F.length("__join_id") * 4 + 32)
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -243,8 +264,8 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(least, -(-words * (100 - percent) // 100 // SHARD_ENTRIES))
     buckets = prefix_buckets(docs, frequency, shards)
-    sketches = described.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
-    links, nodes = linking.link(materialize(buckets, "join-buckets"), sketches, sets_of(docs, described), percent)
+    each = classes(described)
+    links, nodes = linking.link(materialize(buckets, "join-buckets"), each, sets_of(docs, each), percent)
     return grouped(described, nodes), links
 
 

@@ -28,16 +28,21 @@ from eventmart.session import materialize
 _SET_BYTES = 32 << 20  # sets that one verifying task holds, about
 _TILE = 1 << 18  # pairs filtered at a time
 _PER_SET = 64  # pairs of a class that are verified together
+_CHUNK = 1 << 20  # edges that a task joins up at a time
+SMALL_BYTES = 32 << 20  # of a table that is sent to all tasks
+_NODE_BYTES = 24  # of a node and its component
 SKETCH_BITS = 512  # at least; else the power of two from the number of elements on
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``links`` (a, b); the component is its smallest node.
 
-    Alternates large-star and small-star steps until every node points to a root. Each step is a
-    written table; the number of steps grows with the logarithm of the longest chain.
+    Tasks first join up the edges that they read. Then large-star and small-star steps alternate until
+    every node points to a root. Each step is a written table; the number of steps grows with the
+    logarithm of the longest chain.
     """
-    edges = materialize(links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u != v").distinct(), "cc-edges")
+    edges = _contracted(links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u != v"))
+    edges = materialize(edges.distinct(), "cc-edges")
     while not _stars(edges):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -50,13 +55,50 @@ def components(links: DataFrame) -> DataFrame:
     return nodes.union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (v, u) that connect the same nodes: within a chunk of a task, each node and its smallest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(np.stack([c.to_numpy() for c in batch.columns]))
+            size += batch.num_rows
+            if size >= _CHUNK:
+                yield joined(held)
+                held, size = [], 0
+        if size:
+            yield joined(held)
+
+    def joined(held: list[np.ndarray]) -> pa.RecordBatch:
+        nodes, at = np.unique(np.concatenate(held, axis=1), return_inverse=True)
+        x, y = at.reshape(2, -1)
+        root = np.arange(len(nodes))
+        while True:
+            low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+            if (low == high).all():
+                break
+            np.minimum.at(root, high, low)
+            while not np.array_equal(root, root[root]):
+                root = root[root]
+        moved = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[root[moved]]), pa.array(nodes[moved])], names=["v", "u"])
+
+    return edges.mapInArrow(run, "v long, u long")
+
+
+def small(rows: DataFrame, size) -> DataFrame:
+    """A stored table, marked to be sent to all tasks if the sum of ``size``, the bytes of a row, is small."""
+    measured = rows.agg(F.coalesce(F.sum(F.lit(size)), F.lit(0))).first()[0]
+    return F.broadcast(rows) if measured <= SMALL_BYTES else rows
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether every node points to one other node and nothing points to it, or the reverse."""
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
         edges.select("v", F.lit(0), F.lit(1))
     )
     seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
-    return seen.where("out > 1 or (out = 1 and into = 1)").isEmpty()
+    return not seen.agg(F.count_if(F.expr("out > 1 or (out = 1 and into = 1)"))).first()[0]
 
 
 def possible(n_a, n_b, pos_a, pos_b, percent: int):
@@ -111,22 +153,22 @@ def suffix_filter(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFr
 
 
 def verify(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) whose sets reach ``percent`` Jaccard similarity: a, b, shared.
+    """The pairs (a, b, n_a, n_b), each there once, whose sets reach ``percent`` Jaccard similarity: a, b, shared.
 
-    ``sets_of`` takes (to, cls) and gives (to, grams): sorted 64-bit values as bytes, of each class for
+    ``sets_of`` takes (to, cls), with repeats, and gives (to, grams): sorted 64-bit values as bytes, of each class for
     each part that needs it. Parts hold up to some pairs of one class, so one with many is spread.
     """
     spark = pairs.sparkSession
-    pairs = materialize(pairs.select("a", "b", "n_a", "n_b").distinct(), "link-pairs")
+    pairs = materialize(pairs.select("a", "b", "n_a", "n_b"), "link-pairs")
     room = pairs.agg(F.coalesce(F.sum(F.col("n_a") + F.col("n_b")), F.lit(0)) * 8).first()[0]
     if not room:
         return spark.createDataFrame([], "a long, b long, shared long")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), room // _SET_BYTES + 1)
-    spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / _PER_SET).alias("_of"))
-    salt = F.pmod(F.xxhash64("b"), F.col("_of"))
-    dealt = pairs.join(spread, "a").select("a", "b", F.pmod(F.xxhash64("a", salt), F.lit(parts)).alias("part"))
-    dealt = materialize(dealt, "link-dealt")
-    needed = sets_of(dealt.select(F.col("part").alias("to"), F.explode(F.array("a", "b")).alias("cls")).distinct())
+    wide = pairs.groupBy("a").agg(F.ceil(F.count("*") / _PER_SET).alias("_of")).where("_of > 1")
+    wide = small(materialize(wide, "link-wide"), 16)
+    salt = F.pmod(F.xxhash64("b"), F.coalesce("_of", F.lit(1)))
+    dealt = pairs.join(wide, "a", "left").select("a", "b", F.pmod(F.xxhash64("a", salt), F.lit(parts)).alias("part"))
+    needed = sets_of(dealt.select(F.col("part").alias("to"), F.explode(F.array("a", "b")).alias("cls")))
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         grams = {c: np.frombuffer(g, np.uint64) for c, g in zip(right["cls"].to_pylist(), right["grams"].to_pylist())}
@@ -227,8 +269,9 @@ def link(buckets: DataFrame, sketches: DataFrame, sets_of, percent: int) -> tupl
     (node, component) of the classes that have links).
 
     ``buckets``: a stored table (bucket, cls, n, pos) of buckets with several classes.
-    ``sketches``: (cls, sketch, fold). ``sets_of`` gives (cls, grams) for a table of classes.
+    ``sketches``: a stored table with cls, sketch, fold. ``sets_of`` gives (cls, grams) for a table of classes.
     """
+    sketches = small(sketches.select("cls", "sketch", "fold"), F.length("sketch") + F.length("fold") + 24)
     first = buckets.groupBy("bucket").agg(F.min(F.struct("cls", "n", "pos")).alias("c"))
     star = (
         buckets.join(first, "bucket").where("cls != c.cls")
@@ -239,7 +282,7 @@ def link(buckets: DataFrame, sketches: DataFrame, sets_of, percent: int) -> tupl
     star = materialize(suffix_filter(star, sketches, percent), "links-star")
     best = star.groupBy("b").agg(F.max_by(F.struct("a", "n_a", "n_b"), F.struct("together", "a")).alias("m"))
     links = materialize(verify(best.select("m.a", "b", "m.n_a", "m.n_b"), sets_of, percent), "links-best")
-    comps = materialize(components(links), "links-components")
+    comps = small(materialize(components(links), "links-components"), _NODE_BYTES)
     links, comps = _more(links, comps, verify(_apart(star, comps), sets_of, percent))
     labelled = buckets.join(comps, buckets.cls == comps.node, "left").withColumn("comp", F.coalesce("component", "cls")).drop("node", "component")
     open_ = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
@@ -249,17 +292,23 @@ def link(buckets: DataFrame, sketches: DataFrame, sets_of, percent: int) -> tupl
 
 
 def _more(links: DataFrame, comps: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and components with the links found since."""
+    """Links and components with the links found since, which are read as links of components."""
     found = materialize(found, "links-more")
     if found.isEmpty():
         return links, comps
-    links = links.unionByName(found)
-    return links, materialize(components(links), "links-components")
+    joining = _ends(found, comps).select(F.col("_ca").alias("a"), F.col("_cb").alias("b"))
+    known = comps.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return links.unionByName(found), small(materialize(components(known.union(joining)), "links-components"), _NODE_BYTES)
 
 
-def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components; a class without links is its own."""
+def _ends(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs with the components of their ends, _ca and _cb; a class without links is its own."""
     x = comps.select(F.col("node").alias("a"), F.col("component").alias("_ca"))
     y = comps.select(F.col("node").alias("b"), F.col("component").alias("_cb"))
-    with_comps = pairs.join(x, "a", "left").join(y, "b", "left")
-    return with_comps.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).drop("_ca", "_cb")
+    both = pairs.join(x, "a", "left").join(y, "b", "left")
+    return both.withColumns({"_ca": F.coalesce("_ca", "a"), "_cb": F.coalesce("_cb", "b")})
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    return _ends(pairs, comps).where("_ca != _cb").drop("_ca", "_cb")

@@ -177,7 +177,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, Data
     rows = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "bucket long, cls long, n long")
     banded = materialize(rows.distinct(), "minhash-bands")
     shared = banded.groupBy("bucket").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x != y").select("bucket")
-    sketches = described.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
+    each = jaccard_join.classes(described)
     buckets = banded.join(shared, "bucket", "left_semi").withColumn("pos", F.lit(0).cast("long"))
-    links, nodes = linking.link(materialize(buckets, "minhash-buckets"), sketches, jaccard_join.sets_of(docs, described), percent)
+    links, nodes = linking.link(materialize(buckets, "minhash-buckets"), each, jaccard_join.sets_of(docs, each), percent)
     return jaccard_join.grouped(described, nodes), links
