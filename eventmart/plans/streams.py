@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.values import json_text
 from eventmart.operators import load as ld
+from eventmart.operators import opsmetrics as om
 from eventmart.operators.tables import BatchTable
 from eventmart.plans import fixtures as fx
 from eventmart.plans.documents import D, DOC_TEXT, MESSAGES, ROWS, path_bodies
 from eventmart.plans.fixtures import ATTRIBUTION_SQL
 from eventmart.plans.registry import query
-from eventmart.plans.tables import L, LOAD_COUNTS
+from eventmart.plans.tables import L, LOAD_COUNTS, alarm_sql
 from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL
 from eventmart.session import scratch_path
 from eventmart.sources import files as fl
 from eventmart.sources.ndjson import SOURCE
-from eventmart.streaming import flush, landing, live, loads, queue
+from eventmart.streaming import alarms, flush, landing, live, loads, queue
 
 A = f"({ATTRIBUTION_SQL}) a"
 DIRTY_OK = "event_id % 80 <> 1 AND event_id % 150 <> 11 AND event_id % 90 <> 0"
@@ -112,6 +113,37 @@ def x1_rows_or_time(spark, sf_dir):
     )
 
 
+def _alarm_stream(spark, sf_dir, metric, rule):
+    """The samples of a metric arrive in two halves, each read by a run of its own, so the run of breaches and the period that
+    are open in between lie in the state store."""
+    samples = fx.metrics(spark, sf_dir).where(F.col("metric") == metric)
+    middle = samples.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
+    path, out, checkpoint = (scratch_path(spark, f"{metric}-{k}") for k in ("in", "out", "checkpoint"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for half in (at < middle, at >= middle):
+        samples.where(half).write.mode("append").parquet(path)
+        judged = alarms.threshold_alarm(spark.readStream.schema(samples.schema).parquet(path), *rule)
+        started = (
+            judged.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start()
+        )
+        _wait(started)
+    found = spark.read.schema(alarms.PERIODS).parquet(out)
+    return found.withColumns({"period_start": F.col("period_start").cast("timestamp_ntz"), "stat": F.round("stat", 6)})
+
+
+@query("w1_queue_depth_stream", alarm_sql("queue_depth", *om.QUEUE_DEPTH_ALARM, stream=True))
+def w1_stream(spark, sf_dir):
+    """Periods that the watermark has passed; the others are still open."""
+    return _alarm_stream(spark, sf_dir, "queue_depth", om.QUEUE_DEPTH_ALARM)
+
+
+@query("w2_hourly_stream", alarm_sql("message_age", "max", 3600, 3, 100, stream=True))
+def w2_stream(spark, sf_dir):
+    """The same for the hourly rule, in which runs of breaches are common."""
+    return _alarm_stream(spark, sf_dir, "message_age", ("max", 3600, 3, 100))
+
+
 @query("x2_interval_sync", f"SELECT appsflyer_id, event_name, event_time FROM {A} WHERE {TYPED_OK}")
 def x2(spark, sf_dir):
     """Two runs: the second one finds the files that arrived in between."""

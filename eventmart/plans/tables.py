@@ -285,7 +285,16 @@ def t4(spark, sf_dir):
     return om.recent_loads(fx.ingest_log(spark, sf_dir))
 
 
-def _alarm_sql(metric, statistic, period, periods, threshold):
+def alarm_sql(metric, statistic, period, periods, threshold, stream=False):
+    """SQL of a threshold alarm; of a stream also when it goes off, for the periods before the watermark only."""
+    samples = f"({METRIC_SQL}) WHERE metric = '{metric}'"
+    if stream:
+        judged = alarm_sql(metric, statistic, period, periods, threshold)
+        return f"""
+    SELECT metric, period_start, stat, breach, alarm,
+      alarm AND NOT coalesce(lag(alarm) OVER w AND period_start - lag(period_start) OVER w = INTERVAL {period} SECOND, false) AS raised
+    FROM ({judged}) WHERE epoch_ms(period_start) + {period} * 1000 <= (SELECT epoch_ms(max(ts)) FROM {samples})
+    WINDOW w AS (PARTITION BY metric ORDER BY period_start)"""
     runs = " AND ".join(
         f"coalesce(lag(breach, {i}) OVER w AND p - lag(p, {i}) OVER w = {i}, false)"
         for i in range(1, periods)
@@ -295,7 +304,7 @@ def _alarm_sql(metric, statistic, period, periods, threshold):
       breach AND {runs} AS alarm FROM (
       SELECT metric, p, stat, stat > {threshold} AS breach FROM (
         SELECT metric, epoch_us(ts) // 1000000 // {period} AS p, {statistic}(value) AS stat
-        FROM ({METRIC_SQL}) WHERE metric = '{metric}' GROUP BY ALL))
+        FROM {samples} GROUP BY ALL))
     WINDOW w AS (PARTITION BY metric ORDER BY p)"""
 
 
@@ -304,17 +313,17 @@ def _alarm(spark, sf_dir, metric, rule):
     return om.threshold_alarm(samples, *rule).withColumn("stat", F.round("stat", 6))
 
 
-@query("w1_queue_depth_alarm", _alarm_sql("queue_depth", "avg", 300, 2, 1000000))
+@query("w1_queue_depth_alarm", alarm_sql("queue_depth", "avg", 300, 2, 1000000))
 def w1(spark, sf_dir):
     return _alarm(spark, sf_dir, "queue_depth", om.QUEUE_DEPTH_ALARM)
 
 
-@query("w2_message_age_alarm", _alarm_sql("message_age", "max", 60, 3, 300))
+@query("w2_message_age_alarm", alarm_sql("message_age", "max", 60, 3, 300))
 def w2(spark, sf_dir):
     return _alarm(spark, sf_dir, "message_age", om.MESSAGE_AGE_ALARM)
 
 
-@query("w2_hourly_alarm", _alarm_sql("message_age", "max", 3600, 3, 100))
+@query("w2_hourly_alarm", alarm_sql("message_age", "max", 3600, 3, 100))
 def w2_hourly(spark, sf_dir):
     """The same rule with hourly periods, which the samples fill."""
     return _alarm(spark, sf_dir, "message_age", ("max", 3600, 3, 100))

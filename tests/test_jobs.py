@@ -21,7 +21,7 @@ from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL, INGEST_
 from eventmart.sources import csvlines as cl
 from eventmart.sources import files as fl
 from eventmart.sources.ndjson import parse_ndjson, read_ndjson
-from eventmart.streaming import flush, loads
+from eventmart.streaming import alarms, flush, loads
 
 NOW = datetime(2024, 2, 1)
 
@@ -488,6 +488,36 @@ def test_retry_gives_up(spark, scratch):
     assert loads.archive_loaded(table, scratch()) == 0
 
 
+def test_alarm_on_a_stream_over_restarts(spark, scratch):
+    """Runs go on over restarts, an alarm is raised once per run, late samples and null values count for nothing."""
+    source, out, checkpoint = scratch(), scratch(), scratch()
+    schema = "ts TIMESTAMP_NTZ, metric STRING, value DOUBLE"
+
+    def run(*samples):
+        rows = [(datetime(2024, 1, 1, 0, m, s), k, v) for m, s, k, v in samples]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        judged = alarms.threshold_alarm(spark.readStream.schema(schema).parquet(source), "max", 60, 3, 5.0, "60 seconds")
+        started = (
+            judged.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        started.awaitTermination()
+        found = spark.read.schema(alarms.PERIODS).parquet(out).where("metric = 'q'")
+        return [(r["period_start"].minute, r["alarm"], r["raised"]) for r in found.orderBy("period_start").collect()]
+
+    # the watermark is 60 s behind the latest sample of any metric
+    first = run((0, 0, "q", 9.0), (1, 0, "q", 1.0), (1, 1, "q", 9.0), (2, 0, "q", 2.0), (4, 0, "other", 1.0))
+    assert first == [(0, False, False), (1, False, False), (2, False, False)]
+    # minute 3 is still open; minute 1 is too late to count
+    second = run((3, 0, "q", 9.0), (4, 0, "q", 9.0), (1, 30, "q", 99.0), (6, 0, "other", None))
+    assert second == [*first, (3, False, False), (4, False, False)]
+    # the run of minutes 3 to 6 goes on; minute 7 has only a null, so the next run starts in minute 8
+    third = run((5, 0, "q", 9.0), (6, 0, "q", 9.0), (7, 0, "q", None), (8, 0, "q", 9.0), (9, 0, "q", 9.0), (10, 0, "q", 9.0), (12, 0, "q", 1.0))
+    assert third == [
+        *second, (5, True, True), (6, True, False), (8, False, False), (9, False, False), (10, True, True),
+    ]
+
+
 # -- rows or time, many batches, moves, lookups, one-pass scan ---------------------------------
 def test_batches_by_rows_or_time_over_a_restart(spark, scratch):
     """By the clock: full batches leave at once, what is left waits, over a restart too, and leaves together."""
