@@ -26,6 +26,7 @@ from eventmart.session import materialize
 WIDTH = 5
 PERCENT = 75
 COUNTERS = 1 << 18  # of the frequency table; its size is fixed, and so is what is broadcast
+_BLOCKS = 32  # of the frequency table, summed apart
 SHARD_ENTRIES = 1 << 20  # prefix elements a shard holds, about
 _SLOTS = 64  # in which the parts that want a class are gathered
 _FAN = 1024  # parts that a set is sent to by one row
@@ -60,7 +61,8 @@ def _counter(grams: np.ndarray) -> np.ndarray:
 def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(one row per document: doc_id, text_hash, n, cls, sketch, fold; the frequency table), in one pass over the texts.
 
-    Every task sends one row with its counts, compressed; they are summed cell block by cell block.
+    Every task sends one row with its counts, compressed; they are cut into blocks of cells and each block is
+    summed in a task of its own, so the driver gets as many rows as there are blocks.
     """
     id_type = docs.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
@@ -88,19 +90,32 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 [pa.nulls(1, arrow_id), *[pa.nulls(1, pa.int64())] * 3, *[pa.nulls(1, pa.binary())] * 2,
                  pa.array([blob], pa.binary())], names=names)
 
-    def add(blobs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(blobs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in blobs:
             for b in batch.column(0).to_pylist():
-                total += np.frombuffer(zstandard.decompress(b), np.int32 if len(batch.schema) == 1 else np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+                total += np.frombuffer(zstandard.decompress(b), np.int32)
+        if total.any():
+            cells = [zstandard.compress(x.tobytes()) for x in np.split(total, _BLOCKS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_BLOCKS), pa.int32()), pa.array(cells, pa.binary())], names=["block", "cells"])
+
+    def add(blobs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in blobs:
+            for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                cells = np.frombuffer(zstandard.decompress(b), np.int64)
+                totals[k] = totals[k] + cells if k in totals else cells
+        cells = [x.tobytes() for x in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(cells, pa.binary())], names=["block", "cells"])
 
     schema = f"doc_id {id_type.simpleString()}, text_hash long, n long, cls long, sketch binary, fold binary, counts binary"
     stored = materialize(docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, schema), "join-docs")
-    partial = stored.where("counts is not null").select("counts").mapInArrow(add, "total binary")
-    frequency = np.zeros(COUNTERS, np.int64)
-    for row in partial.toLocalIterator():  # one fixed-size row per reading task, one at a time
-        frequency += np.frombuffer(row.total, np.int64)
+    partial = stored.where("counts is not null").select("counts").mapInArrow(cut, "block int, cells binary")
+    summed = partial.repartitionById(_BLOCKS, F.col("block")).mapInArrow(add, "block int, cells binary")
+    frequency = np.zeros((_BLOCKS, COUNTERS // _BLOCKS), np.int64)
+    for row in summed.collect():  # a row of fixed size per block
+        frequency[row.block] = np.frombuffer(row.cells, np.int64)
+    frequency = frequency.ravel()
     return stored.where("counts is null").drop("counts"), frequency
 
 
@@ -184,12 +199,6 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     return gram, cls[number], n[number], pos
 
 
-def _first(described: DataFrame, by: str) -> DataFrame:
-    """(doc_id, text_hash) of the smallest doc_id of each group, nulls last."""
-    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    return described.groupBy(by).agg(F.min(key).alias("k")).select(by, "k.doc_id", "k.text_hash")
-
-
 def _keyed(rows: DataFrame) -> DataFrame:
     """``rows`` with the id as a text that is never null."""
     return rows.withColumn("row_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -233,9 +242,10 @@ def sets_of(docs: DataFrame, each: DataFrame):
         rows = each.select("cls", "row_id", "text_hash").join(parts, "cls")
         fewer = F.when(F.col("many") <= _FAN, F.array(F.flatten("parts"))).otherwise(F.col("parts"))
         one = materialize(rows.select("row_id", "text_hash", fewer.alias("parts"), "many"), "join-wanted")
-        widest = one.agg(F.max("many")).first()[0] or 0
+        size = F.length("row_id") * 4 + F.col("many") * 8 + 64
+        widest, measured = one.agg(F.coalesce(F.max("many"), F.lit(0)), F.coalesce(F.sum(size), F.lit(0))).first()
         texts = _keyed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")))
-        sent = linking.small(one, F.length("row_id") * 4 + F.col("many") * 8 + 64)
+        sent = F.broadcast(one) if measured <= linking.SMALL_BYTES else one
         chosen = texts.join(sent, ["row_id", "text_hash"]).select("row_id", "text", "parts")
         sets = chosen.mapInArrow(run, "parts array<long>, cls long, grams binary")
         if widest > _FAN:
@@ -259,6 +269,12 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     wordless text has no shingles and is linked with nothing; null ids are not counted as smallest;
     repeated rows are rows of one class; other columns are ignored; an empty table gives empty results.
     """
+    described, nodes, links = linked(docs, percent)
+    return grouped(described, nodes), links
+
+
+def linked(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(the described documents, (node, component) of linked classes, the links)."""
     described, frequency = describe(docs)
     words = described.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -266,7 +282,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     buckets = prefix_buckets(docs, frequency, shards)
     each = classes(described)
     links, nodes = linking.link(materialize(buckets, "join-buckets"), each, sets_of(docs, each), percent)
-    return grouped(described, nodes), links
+    return described, nodes, links
 
 
 def grouped(described: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -288,14 +304,16 @@ def dedupe(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows that repeat an id and a text count once; documents without words all stay.
     """
-    result, _ = join(docs, percent)
-    result = materialize(result, "join-result")
-    first = _first(result.where("n_shingles > 0"), "component").drop("component").withColumn("stays", F.lit(True))
-    rows = _keyed(result).groupBy("row_id", "text_hash", "n_shingles").agg(F.count("*").alias("times"))
-    judged = rows.join(_keyed(first).drop("doc_id"), ["row_id", "text_hash"], "left").withColumn(
-        "stays", F.coalesce("stays", F.col("n_shingles") == 0)
-    )
-    judged = judged.select(F.col("row_id").alias("__join_id"), F.col("text_hash").alias("__join_hash"), "stays", "times")
+    described, nodes, _ = linked(docs, percent)
+    placed = _keyed(described.join(nodes, described.cls == nodes.node, "left").withColumn("component", F.coalesce("component", "cls")))
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "row_id")
+    first = placed.where("n > 0").groupBy("component").agg(F.min(key).alias("k"))
+    first = first.select("k.row_id", "k.text_hash", F.lit(True).alias("first"))
+    rows = placed.groupBy("row_id", "text_hash").agg(F.count("*").alias("times"), F.max("n").alias("n"))
+    judged = rows.join(first, ["row_id", "text_hash"], "left").select(
+        F.col("row_id").alias("__join_id"), F.col("text_hash").alias("__join_hash"), "times",
+        (F.col("first").isNotNull() | (F.col("n") == 0)).alias("stays"),
+    )
     judged = materialize(judged.where("not stays or times > 1"), "join-judged")
     keyed = docs.withColumns({"__join_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__join_hash": F.xxhash64("text")})
     keys = ["__join_id", "__join_hash"]

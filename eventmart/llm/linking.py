@@ -35,28 +35,42 @@ SKETCH_BITS = 512  # at least; else the power of two from the number of elements
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) for the nodes of ``links`` (a, b); the component is its smallest node.
+    """(node, component) for the nodes of ``links`` (a, b); the component is its smallest node."""
+    nodes = _rooted(links)
+    return nodes.union(nodes.select("component", "component").distinct())
 
-    Tasks first join up the edges that they read. Then large-star and small-star steps alternate until
-    every node points to a root. Each step is a written table; the number of steps grows with the
-    logarithm of the longest chain.
+
+def _rooted(links: DataFrame) -> DataFrame:
+    """As :func:`components`, without the smallest nodes themselves; each other node is there once.
+
+    Tasks join up the edges that they read, then the edges of a node meet in one task and are joined up
+    again. As long as a parent has a parent itself, edges go to that one (the large-star step) and
+    meet once more. Each round is a written table; the number of rounds grows with the logarithm of
+    the longest chain.
     """
-    edges = _contracted(links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u != v"))
-    edges = materialize(edges.distinct(), "cc-edges")
-    while not _stars(edges):
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.select("u", F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = materialize(small.where("u != v").distinct(), "cc-edges")
-    nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.union(edges.select(F.col("v"), F.col("v")).distinct())
+    edges = links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u != v")
+    edges = materialize(_contracted(_of_nodes(_contracted(edges))), "cc-edges")
+    while True:
+        below = edges.select(F.col("u").alias("node"), F.col("v").alias("up"), F.lit(False).alias("inner"))
+        ends = below.union(edges.select("v", F.lit(None).cast("long"), F.lit(True))).groupBy("node")
+        seen = ends.agg(F.max("inner").alias("inner"), F.min("up").alias("x"), F.max("up").alias("y"), F.count("up").alias("times"))
+        open_, times = seen.agg(F.count_if(F.expr("x is not null and (inner or x != y)")), F.max("times")).first()
+        if not open_:
+            stars = edges if (times or 0) <= 1 else materialize(edges.distinct(), "cc-edges")
+            return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        up = edges.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("w"))
+        large = edges.join(up, "v", "left").select(F.coalesce("w", "v").alias("v"), "u")
+        edges = materialize(_contracted(_of_nodes(large)), "cc-edges")
+
+
+def _of_nodes(edges: DataFrame) -> DataFrame:
+    """Edges (v, u) with those of one u side by side in one task."""
+    return edges.select("v", "u").repartition("u").sortWithinPartitions("u")
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """Edges (v, u) that connect the same nodes: within a chunk of a task, each node and its smallest."""
+    """Edges (v, u) that connect the same nodes: within a chunk of a task, each node and its smallest.
+    Edges of one u that follow one another are in one chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -64,8 +78,12 @@ def _contracted(edges: DataFrame) -> DataFrame:
             held.append(np.stack([c.to_numpy() for c in batch.columns]))
             size += batch.num_rows
             if size >= _CHUNK:
-                yield joined(held)
-                held, size = [], 0
+                rows = np.concatenate(held, axis=1)
+                last = rows[1] == rows[1, -1]  # more edges of this node may follow
+                if not last.all():
+                    yield joined([rows[:, ~last]])
+                held = [rows[:, last]]
+                size = int(last.sum())
         if size:
             yield joined(held)
 
@@ -92,15 +110,6 @@ def small(rows: DataFrame, size) -> DataFrame:
     return F.broadcast(rows) if measured <= SMALL_BYTES else rows
 
 
-def _stars(edges: DataFrame) -> bool:
-    """Whether every node points to one other node and nothing points to it, or the reverse."""
-    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
-        edges.select("v", F.lit(0), F.lit(1))
-    )
-    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
-    return not seen.agg(F.count_if(F.expr("out > 1 or (out = 1 and into = 1)"))).first()[0]
-
-
 def possible(n_a, n_b, pos_a, pos_b, percent: int):
     """Length and positional filter: can sets of these sizes, with a common element at these places
     of the common order, reach ``percent`` Jaccard similarity?  Works on columns and arrays."""
@@ -160,14 +169,18 @@ def verify(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
     """
     spark = pairs.sparkSession
     pairs = materialize(pairs.select("a", "b", "n_a", "n_b"), "link-pairs")
-    room = pairs.agg(F.coalesce(F.sum(F.col("n_a") + F.col("n_b")), F.lit(0)) * 8).first()[0]
+    each = pairs.groupBy("a").agg(F.count("*").alias("_of"), F.sum(F.col("n_a") + F.col("n_b")).alias("_n"))
+    room, many = each.agg(F.coalesce(F.sum("_n"), F.lit(0)) * 8, F.count_if(F.col("_of") > _PER_SET)).first()
     if not room:
         return spark.createDataFrame([], "a long, b long, shared long")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), room // _SET_BYTES + 1)
-    wide = pairs.groupBy("a").agg(F.ceil(F.count("*") / _PER_SET).alias("_of")).where("_of > 1")
-    wide = small(materialize(wide, "link-wide"), 16)
+    if many:
+        wide = each.where(F.col("_of") > _PER_SET).select("a", F.ceil(F.col("_of") / _PER_SET).alias("_of"))
+        salted = pairs.join(F.broadcast(wide) if 16 * many <= SMALL_BYTES else wide, "a", "left")
+    else:
+        salted = pairs.withColumn("_of", F.lit(1).cast("long"))
     salt = F.pmod(F.xxhash64("b"), F.coalesce("_of", F.lit(1)))
-    dealt = pairs.join(wide, "a", "left").select("a", "b", F.pmod(F.xxhash64("a", salt), F.lit(parts)).alias("part"))
+    dealt = salted.select("a", "b", F.pmod(F.xxhash64("a", salt), F.lit(parts)).alias("part"))
     needed = sets_of(dealt.select(F.col("part").alias("to"), F.explode(F.array("a", "b")).alias("cls")))
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -266,7 +279,7 @@ def _tiles(lo: int, hi: int, ahead: np.ndarray) -> Iterator[tuple[np.ndarray, np
 
 def link(buckets: DataFrame, sketches: DataFrame, sets_of, percent: int) -> tuple[DataFrame, DataFrame]:
     """(verified links (a, b, shared) that connect every pair of alike classes, directly or by others;
-    (node, component) of the classes that have links).
+    (node, component) of the classes that have links, without the smallest class of each component).
 
     ``buckets``: a stored table (bucket, cls, n, pos) of buckets with several classes.
     ``sketches``: a stored table with cls, sketch, fold. ``sets_of`` gives (cls, grams) for a table of classes.
@@ -282,7 +295,7 @@ def link(buckets: DataFrame, sketches: DataFrame, sets_of, percent: int) -> tupl
     star = materialize(suffix_filter(star, sketches, percent), "links-star")
     best = star.groupBy("b").agg(F.max_by(F.struct("a", "n_a", "n_b"), F.struct("together", "a")).alias("m"))
     links = materialize(verify(best.select("m.a", "b", "m.n_a", "m.n_b"), sets_of, percent), "links-best")
-    comps = small(materialize(components(links), "links-components"), _NODE_BYTES)
+    comps = small(_rooted(links), _NODE_BYTES)
     links, comps = _more(links, comps, verify(_apart(star, comps), sets_of, percent))
     labelled = buckets.join(comps, buckets.cls == comps.node, "left").withColumn("comp", F.coalesce("component", "cls")).drop("node", "component")
     open_ = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
@@ -292,13 +305,17 @@ def link(buckets: DataFrame, sketches: DataFrame, sets_of, percent: int) -> tupl
 
 
 def _more(links: DataFrame, comps: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and components with the links found since, which are read as links of components."""
+    """Links and components with the links found since. Only the components that these links join are
+    worked out; the nodes known before take over what becomes of their component."""
     found = materialize(found, "links-more")
-    if found.isEmpty():
-        return links, comps
-    joining = _ends(found, comps).select(F.col("_ca").alias("a"), F.col("_cb").alias("b"))
-    known = comps.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return links.unionByName(found), small(materialize(components(known.union(joining)), "links-components"), _NODE_BYTES)
+    joining = _ends(found, comps).select(F.col("_ca").alias("a"), F.col("_cb").alias("b")).where("a != b")
+    joined = _rooted(joining)
+    if joined.isEmpty():
+        return links.unionByName(found), comps
+    joined = small(joined, _NODE_BYTES)
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    known = comps.join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    return links.unionByName(found), small(materialize(known.unionByName(joined), "links-components"), _NODE_BYTES)
 
 
 def _ends(pairs: DataFrame, comps: DataFrame) -> DataFrame:
