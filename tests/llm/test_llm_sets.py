@@ -158,6 +158,16 @@ def test_components(spark):
     assert got == {x: top(x) for x in up if any(a != b and x in (a, b) for a, b in edges)}
 
 
+def test_components_in_small_chunks(spark, monkeypatch):
+    """Edges of one node that lie in several chunks and tasks: a chain, a hub of the largest id, repeated edges."""
+    monkeypatch.setattr(linking, "_CHUNK", 4)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(i, 999) for i in range(100, 130)] + [(200, 201)] * 5 + [(7, 7)]
+    got = linking.components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
+    want = {i: 0 for i in range(41)} | {i: 100 for i in [*range(100, 130), 999]} | {200: 200, 201: 200}
+    assert sorted((r.node, r.component) for r in got) == sorted(want.items())
+    assert linking.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 # ---- repeated strings --------------------------------------------------------------------
 @settings(max_examples=80, deadline=None)
 @given(st.integers(1, 5), st.lists(st.integers(0, 4), max_size=80), st.booleans())
