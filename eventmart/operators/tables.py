@@ -23,10 +23,11 @@ from pyspark.sql import types as T
 
 from eventmart.operators.load import REASON, LoadFailed, LoadPolicy, project_to
 from eventmart.schemas import LEDGER
-from eventmart.session import materialize
+from eventmart.session import materialize, setting
 from eventmart.sources.ndjson import RAW, SOURCE
 
 LOOKUP_FILES = 10_000  # that a lookup names one by one
+OPEN_FILES = 8  # that a task writes side by side
 
 
 class BatchTable:
@@ -78,7 +79,11 @@ class BatchTable:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
         if self.cluster_by:
             writer = writer.option(f"parquet.bloom.filter.enabled#{self.cluster_by}", "true")
-        writer.parquet(f"{self.root}/data")
+        # without partitions a task has rows of few folders, mostly of one: it keeps their files open, where Spark would
+        # else sort all its wide rows by folder; beyond so many files it sorts the rest
+        open_files = 0 if sort_by or self.partition_by else OPEN_FILES
+        with setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(open_files)):
+            writer.parquet(f"{self.root}/data")
         if self.cluster_by:
             self._note_ranges(attempt)
         return attempt

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.operators import csv_events, dedupe, dualwrite, evolve, sinks, summaries
+from eventmart.operators import csv_events, dedupe, dualwrite, evolve, sinks, summaries, tables
 from eventmart.operators import opsmetrics as om
 from eventmart.operators.joins import join_small, measured_bytes
 from eventmart.operators.load import (
@@ -18,6 +18,7 @@ from eventmart.operators.load import (
 )
 from eventmart.operators.tables import BatchTable
 from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL, INGEST_LOG
+from eventmart.session import setting
 from eventmart.sources import csvlines as cl
 from eventmart.sources import files as fl
 from eventmart.sources.ndjson import parse_ndjson, read_ndjson
@@ -590,6 +591,22 @@ def test_many_batches_load_together(spark, scratch):
     assert loads.archive_loaded(table, archive) == 0 and table.deletable("2030-01-01").count() == 0
 
 
+def test_wide_rows_are_staged_without_a_sort(spark, scratch, monkeypatch):
+    """A task keeps the files of its folders open, up to a number of them; beyond it all rows are written too."""
+    asked = []
+    monkeypatch.setattr(tables, "setting", lambda session, key, value: asked.append((key, value)) or setting(session, key, value))
+    names = spark.range(60).select(F.concat(F.lit("n"), F.col("id") % 20).alias("event_name"), F.concat(F.lit("b"), F.col("id") % 20).alias("batch_id"))
+    rows = names.withColumn(REASON, F.when(F.col("event_name") == "n3", "bad")).coalesce(1)
+    table = BatchTable(spark, scratch(), CANONICAL)
+    attempt = table.stage(rows, None)
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    assert asked == [(key, str(tables.OPEN_FILES))] and spark.conf.get(key, "0") == "0"
+    got = {(r["batch_id"], r["load_status"]): r["count"] for r in table._data().where(F.col("attempt") == attempt).groupBy("batch_id", "load_status").count().collect()}
+    assert got == {(f"b{k}", "reject" if k == 3 else "ok"): 3 for k in range(20)}
+    BatchTable(spark, scratch(), CANONICAL, sort_by=("event_name",)).stage(rows, "b")
+    assert asked[1:] == [(key, "0")]
+
+
 def test_sweep_rests(spark, scratch):
     source = scratch()
     spark.createDataFrame([("{}",)], "value STRING").write.text(source)
