@@ -249,17 +249,18 @@ def x5(spark, sf_dir):
 
 
 def _overwrite_files(spark, paths, rows):
-    """Give the files of a batch new content: all rows in the first one, nothing in the others."""
+    """Give the files of a batch new content: the rows, written by as many tasks as there are files, and nothing in files
+    for which a task had no rows."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     new = scratch_path(spark, "corrected")
-    rows.coalesce(1).write.text(new)
-    part = spark.read.text(new).select(F.col("_metadata.file_path").alias("p")).first()["p"]
+    rows.coalesce(len(paths)).write.text(new)
+    parts = [r["path"] for r in fl.list_any(spark, new).select("path").orderBy("path").collect()]  # at most as many as the paths
     target = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
     fs = target[0].getFileSystem(conf)
     for n, path in enumerate(target):
         fs.delete(path, False)
-        if n == 0:
-            fs.rename(jvm.org.apache.hadoop.fs.Path(part), path)
+        if n < len(parts):
+            fs.rename(jvm.org.apache.hadoop.fs.Path(parts[n]), path)
         else:
             fs.create(path).close()
 

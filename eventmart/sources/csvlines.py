@@ -283,8 +283,12 @@ def _splittable(file_filter):
 
 def _never_split(spark: SparkSession) -> int:
     """Files of up to so many bytes are one split under this session's settings."""
-    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    return min(to_bytes(spark.conf.get(f"spark.sql.files.{k}")) for k in ("maxPartitionBytes", "openCostInBytes"))
+    return min(to_bytes(spark, spark.conf.get(f"spark.sql.files.{k}")) for k in ("maxPartitionBytes", "openCostInBytes"))
+
+
+def to_bytes(spark: SparkSession, text: str) -> int:
+    """A size setting such as ``128MB``."""
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,7 @@ from eventmart.operators.load import (
     ATTRIBUTION_LOAD, REASON, LoadFailed, LoadPolicy, cast_rows, check_required, good, stamp,
 )
 from eventmart.operators.tables import BatchTable
+from eventmart.plans import streams
 from eventmart.schemas import ATTRIBUTION, ATTRIBUTION_TABLE, CANONICAL, INGEST_LOG
 from eventmart.session import setting
 from eventmart.sources import csvlines as cl
@@ -607,6 +608,27 @@ def test_wide_rows_are_staged_without_a_sort(spark, scratch, monkeypatch):
     assert asked[1:] == [(key, "0")]
 
 
+def test_batch_loads_split_short_lines(spark, scratch, monkeypatch):
+    """Tasks read a bounded number of bytes, and the session's own setting is back afterwards."""
+    source, table, before = scratch(), BatchTable(spark, scratch(), CANONICAL), spark.conf.get(loads.SPLIT)
+    spark.range(400).select(F.lit("oops").alias("value")).coalesce(1).write.text(source)
+    monkeypatch.setattr(loads, "SPLIT_BYTES", 250)
+    batches = fl.list_any(spark, source).select(F.lit("b").alias("batch_id"), "path")
+    state = loads.load_batches(batches, loads.document_rows(True), table, LoadPolicy(), NOW).collect()
+    assert [(r["status"], r["ok"], r["reject"]) for r in state] == [("failed", 0, 400)]
+    assert table._data().select("_metadata.file_path").distinct().count() == 8
+    assert spark.conf.get(loads.SPLIT) == before
+
+
+def test_corrected_files_share_the_rows(spark, scratch):
+    path = scratch()
+    spark.range(4).select(F.lit("old").alias("value")).repartition(3).write.text(path)
+    paths = sorted(r["path"] for r in fl.list_any(spark, path).collect())
+    streams._overwrite_files(spark, paths, spark.range(0, 100, 1, 2).select(F.col("id").cast("string").alias("value")))
+    now = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count("*").alias("n")).collect()
+    assert [r["n"] for r in now] == [50, 50] and spark.read.text(path).distinct().count() == 100
+
+
 def test_sweep_rests(spark, scratch):
     source = scratch()
     spark.createDataFrame([("{}",)], "value STRING").write.text(source)
