@@ -15,10 +15,10 @@ _FIELD = r',((?:[^",]++|"[^"]*+(?:""[^"]*+)*+(?:"|\z))*+)'
 def _no_edge_space(line: Column, quoted: bool) -> Column:
     """True when no field can begin or end with white space, from a few plain text searches."""
     ascii_only = F.octet_length(line) == F.length(line)
-    clean = ascii_only & ~line.startswith(" ") & ~line.endswith(" ")
-    for text in ("\t", "\x0b", "\x0c", "\r", ", ", " ,") + (('" ', ' "') if quoted else ()):
+    clean = ~line.startswith(" ") & ~line.endswith(" ")
+    for text in (", ", " ,", *(('" ', ' "') if quoted else ()), "\t", "\x0b", "\x0c", "\r"):
         clean = clean & ~line.contains(text)
-    return clean
+    return clean & ascii_only
 
 
 def split_fields(line: Column) -> Column:
@@ -42,7 +42,7 @@ def split_fields(line: Column) -> Column:
         F.when(
             line.contains('"'),
             F.when(_no_edge_space(line, True), F.transform(raw, unquote)).otherwise(
-                F.transform(raw, lambda x: trim_all(unquote(x)))
+                F.transform(F.transform(raw, unquote), trim_all)
             ),
         )
         .when(_no_edge_space(line, False), F.split(line, ","))

@@ -71,9 +71,8 @@ def _from_parts(parts: Column) -> Column:
     def number(i: int) -> Column:
         return part(i).cast("int")
 
-    month = F.array_position(
-        F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.coalesce(part(1), part(4)))
-    ).cast("int")
+    # each month word takes four characters of the list
+    month = F.floor((F.instr(F.lit(" ".join(MONTHS)), F.lower(F.coalesce(part(1), part(4)))) + 3) / 4).cast("int")
     hour, half = F.coalesce(number(6), F.lit(0)), F.lower(part(9))
     hour = (
         F.when(half.isNull(), hour)
@@ -156,7 +155,7 @@ def first_time(candidates: Column, as_of: Column, mode: str = "reference") -> Co
     best = F.aggregate(
         candidates, start, lambda acc, x: F.when(acc["found"], acc).otherwise(resolve_time(x, mode))
     )
-    return F.when(best["found"], best["ts"]).otherwise(ntz(as_of))
+    return _let(best, lambda b: F.when(b["found"], b["ts"]).otherwise(ntz(as_of)))
 
 
 def strict_date(c: Column) -> Column:

@@ -186,6 +186,24 @@ def test_blank_as_null(spark):
     assert column(spark, texts, lambda c: F.expr(v.blank_as_null_sql("x"))) == [None, None, " a "]
 
 
+def test_blanks_are_not_searched_for_beside_visible_ascii(spark):
+    texts = ["!", "~", "a", " a", "a ", "\x7f", "\x1fa", "a\u3000", "\u00e9", "\ufeffx", "a b", " ", "", None]
+    blanks = v.WHITESPACE
+    assert column(spark, texts, v.trim_all) == [t if t is None else t.strip(blanks) for t in texts]
+    kept = [t if t is not None and t.strip(blanks) else None for t in texts]
+    assert column(spark, texts, lambda c: F.expr(v.blank_as_null_sql("x"))) == kept
+    plan = spark.range(1).select(v.trim_all(F.lit("").substr(F.col("id").cast("int"), F.lit(1))))._jdf.queryExecution().analyzed().toString()
+    assert plan.index(">=") < plan.index("trim")
+
+
+def test_months_and_times_are_worked_out_once(spark):
+    texts = [f"{m.title()} 5, 2024" for m in times.MONTHS] + ["5 january 2024", "Sept 5, 2024", "nosuch 5, 2024"]
+    months = [t and t.month for t in column(spark, texts, times.parse_worded)]
+    assert months == [*range(1, 13), 1, 9, None]
+    df = spark.createDataFrame([("x",)], "x STRING").select(times.first_time(F.array("x"), F.lit("2024-01-01").cast("timestamp")).alias("ts"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+
+
 def test_replace_invalid_bytes(spark):
     hexes = ["61FF62", "E282", "C3A9", "61E28262", "F0808080", "EDA080", ""]
     got = column(spark, hexes, lambda c: v.replace_invalid_bytes(F.unhex(c).cast("string")))
