@@ -17,9 +17,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,6 +39,7 @@ BLOCK = 256  # ids
 GROUP = 1024  # blocks coded at a time
 FILE_IDS = 1 << 21  # a file is closed once it has this many
 JOINED = 4096  # new words encoded as one string
+CUT_CHARS = 1 << 22  # texts cut into words at a time, in characters
 CACHED_PIECES = 1_200_000  # words whose ids a worker remembers, before it forgets the rare ones
 _COUNT = np.array([c for c, _ in SELECTORS] + [0, 1], np.int64)
 
@@ -177,6 +180,11 @@ def read_file(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [int(d) if k else None for k, d in zip(known, doc_ids)], n_tokens, ids
 
 
+def _gather(flat: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``start`` and have ``n`` ids, one after another."""
+    return flat[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
 class _Codes(dict):
     """Numbers strings as they come; ``fresh`` holds those not yet encoded."""
 
@@ -224,7 +232,7 @@ class Encoder:
         words = [k for k, code in self.codes.items() if code in kept]  # in the order of their codes
         n, start = self.length[keep], self.start[keep]
         new = np.cumsum(n) - n
-        self.flat = self.flat[np.repeat(start - new, n) + np.arange(int(n.sum()))]
+        self.flat, self.tails = _gather(self.flat, start, n), {}
         self.start, self.length, self.hits = new, n, np.zeros(len(keep), np.int64)
         self.codes = _Codes(zip(words, range(len(words))))
 
@@ -239,66 +247,96 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        out, lo, held = [], 0, 0
+        for hi, t in enumerate(texts, 1):
+            held += len(t)
+            if held >= CUT_CHARS or hi == len(texts):
+                out += self._encode(texts[lo:hi])
+                lo, held = hi, 0
+        return out
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.codes) > CACHED_PIECES:
             self._forget()
         plain = [self._plain(t) for t in texts]
         rest = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
-        get = self.codes.__getitem__
+        parts = iter(self._look_up([t for t, p in zip(texts, plain) if p]))
+        return [next(parts) if p else np.array(next(rest), np.uint32) for p in plain]
+
+    def _look_up(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts that are cut; each different part of them is looked up once."""
+        if not texts:
+            return []
         # each text starts as after a line feed, whose id is then dropped
-        rows = [list(map(get, ("\n" + t).replace("\n", " \n")[1:].split(" "))) for t, p in zip(texts, plain) if p]
+        rows = pc.split_pattern(pa.array([("\n" + t).replace("\n", " \n")[1:] for t in texts], pa.large_string()), " ")
+        parts = rows.flatten().dictionary_encode()
+        code = self._numbers(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         self._learn()
+        at = parts.indices.to_numpy()
         self.hits = np.concatenate([self.hits, np.zeros(len(self.start) - len(self.hits), np.int64)])
-        parts = iter([self._look_up(row) for row in rows])
-        return [next(parts) if p else np.array(next(rest), np.uint32) for p in plain]
+        self.hits[code] += np.bincount(at)  # times the part was met
+        n = self.length[code]
+        near = _gather(self.flat, self.start[code], n)  # the ids of these parts alone, side by side
+        flat = _gather(near, (np.cumsum(n) - n)[at], n[at])
+        cut = np.concatenate([[0], np.cumsum(n[at])])[rows.offsets.to_numpy()].tolist()
+        return [flat[a + 1 : b] for a, b in zip(cut[:-1], cut[1:])]
+
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        """The codes of different parts; those not met before are fresh."""
+        code = np.array(list(map(self.codes.get, parts, repeat(-1))), np.int64)
+        fresh = np.flatnonzero(code < 0)
+        code[fresh] = len(self.codes) + np.arange(len(fresh))
+        new = [parts[i] for i in fresh.tolist()]
+        self.codes.update(zip(new, code[fresh].tolist()))
+        self.codes.fresh += new
+        return code
 
     def _learn(self) -> None:
         """Encode the fresh parts: many in one string, each ended (or begun) by a line feed, whose id
         stands in no other place and so marks where the next part begins."""
         get, fresh = self.codes.__getitem__, self.codes.fresh
         first = len(self.start)
-        alone, tailed = [], []
+        bare, fed, tailed, stems, tails = [], [], [], [], []
         for i, k in enumerate(fresh):  # the list grows by the stems
-            if m := self._TAILED(k):
-                tailed.append((i, get(m[1]), m[2]))
+            if not k[-1].isalnum() and (m := self._TAILED(k)):
+                tailed.append(i)
+                stems.append(get(m[1]))
+                tails.append(m[2])
             else:
-                alone.append(i)
+                (fed if k[0] == "\n" else bare).append(i)
         self.start = np.concatenate([self.start, np.zeros(len(fresh), np.int64)])
         self.length = np.concatenate([self.length, np.zeros(len(fresh), np.int64)])
-        alone, fed = np.array(alone, np.int64), np.array([fresh[i][0] == "\n" for i in alone], bool)
         flat, end = [self.flat], len(self.flat)
-        for feed in (False, True):
-            which = alone[fed == feed]
+        for feed, which in ((False, bare), (True, fed)):
             for lo in range(0, len(which), JOINED):
                 some = which[lo : lo + JOINED]
-                text = "".join(fresh[i] if feed else f" {fresh[i]}\n" for i in some)
+                text = "".join([fresh[i] for i in some]) if feed else " " + "\n ".join([fresh[i] for i in some]) + "\n"
                 ids = np.array(self._whole([text])[0], np.uint32)
                 mark = np.flatnonzero(ids == self.feed)
                 if len(mark) != len(some):
                     raise ValueError("this vocabulary does not cut at line feeds")
                 cut = np.append(mark, len(ids)) if feed else np.concatenate([[-1], mark]) + 1
-                self.start[first + some] = end + cut[:-1]
-                self.length[first + some] = np.diff(cut) - (not feed)
+                place = first + np.array(some, np.int64)
+                self.start[place] = end + cut[:-1]
+                self.length[place] = np.diff(cut) - (not feed)
                 flat.append(ids)
                 end += len(ids)
-        self.flat = np.concatenate(flat)
-        flat, end = [self.flat], len(self.flat)
-        for i, stem, tail in tailed:
-            if tail not in self.tails:
-                self.tails[tail] = np.array(self._whole([tail])[0], np.uint32)
-            a, n = self.start[stem], self.length[stem]
-            flat += self.flat[a : a + n], self.tails[tail]
-            self.start[first + i], self.length[first + i] = end, n + len(self.tails[tail])
-            end += n + len(self.tails[tail])
-        self.flat = np.concatenate(flat)
+        unknown = [t for t in dict.fromkeys(tails) if t not in self.tails]
+        for tail, ids in zip(unknown, self._whole(unknown)):
+            self.tails[tail] = end, len(ids)
+            flat.append(np.array(ids, np.uint32))
+            end += len(ids)
+        if len(flat) > 1:
+            self.flat = np.concatenate(flat)
+        if tailed:
+            behind = np.array([self.tails[t] for t in tails], np.int64)
+            start = np.column_stack([self.start[stems], behind[:, 0]])
+            n = np.column_stack([self.length[stems], behind[:, 1]])
+            self.flat = np.concatenate([self.flat, _gather(self.flat, start.ravel(), n.ravel())])
+            place, n = first + np.array(tailed, np.int64), n.sum(axis=1)
+            self.start[place], self.length[place] = end + np.cumsum(n) - n, n
         fresh.clear()
 
-    def _look_up(self, row: list[int]) -> np.ndarray:
-        code = np.array(row, np.int64)
-        self.hits[code] += 1  # texts that have the part
-        n = self.length[code]
-        at = np.repeat(self.start[code] - (np.cumsum(n) - n), n)
-        return self.flat[at + np.arange(len(at))][1:]
-
 
 _encoders: dict[str, Encoder] = {}
 
@@ -310,6 +348,21 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """(document ids, texts) of as many batches as make CUT_CHARS characters: what is done once a call is done less often."""
+    keys, texts, held = [], [], 0
+    for batch in batches:
+        some = batch.column(1).to_pylist()
+        keys += batch.column(0).to_pylist()
+        texts += some
+        held += sum(map(len, some))
+        if held >= CUT_CHARS:
+            yield keys, texts
+            keys, texts, held = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def write(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0) -> DataFrame:
     """Write the ids of all texts, ``end_id`` after each, into files under ``folder``.
 
@@ -338,9 +391,8 @@ def write(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0) -> Dat
                 done.append((part, len(done), path, len(doc_ids), write_file(out, doc_ids, ids)))
 
         end = np.array([end_id], np.uint32)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i, x in zip(batch.column(0).to_pylist(), encode_texts(texts)):
+        for keys, texts in _gathered(batches):
+            for i, x in zip(keys, encode_texts(texts)):
                 doc_ids.append(i)
                 ids.append(np.concatenate([x, end]))
                 held += len(x) + 1

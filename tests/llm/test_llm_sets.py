@@ -290,6 +290,35 @@ def test_encoder_that_forgets(monkeypatch):
         assert len(e.codes) == len(e.start) == len(e.hits)
 
 
+def test_encoder_looks_a_part_up_once_a_call(monkeypatch):
+    class Counted(simple8b._Codes):
+        def get(self, *a):
+            looked.append(a[0])
+            return super().get(*a)
+
+    looked: list = []
+    monkeypatch.setattr(simple8b, "_Codes", Counted)
+    e = simple8b.Encoder(vocabulary())
+    texts = ["on and on. on", "on. and", "on\nand on..\non. x_ on²"] * 5
+    assert [x.tolist() for x in e.encode(texts)] == [list(x) for x in e._whole(texts)]
+    assert looked and len(looked) == len(set(looked))
+    e._forget()  # the marks behind words go with the words
+    assert [x.tolist() for x in e.encode(texts)] == [list(x) for x in e._whole(texts)]
+
+
+def test_batches_are_encoded_together(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simple8b, "CUT_CHARS", 10)
+    rows = [(1, "abcd"), (None, ""), (2, "efgh"), (3, "a b c d"), (4, "x" * 30), (5, "\ny")]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([t])], names=["doc_id", "text"]) for i, t in rows]
+    got = list(simple8b._gathered(iter(batches)))
+    assert [k for k, _ in got] == [[1, None, 2, 3], [4], [5]]
+    assert [r for k, t in got for r in zip(k, t)] == rows and not list(simple8b._gathered(iter([])))
+    e, texts = simple8b.Encoder(vocabulary()), [t for _, t in rows] + ODD
+    assert [x.tolist() for x in e.encode(texts)] == [list(x) for x in e._whole(texts)] and e.encode([]) == []
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab. \n\t,'s1é ", max_size=25), max_size=8))
 def test_encoder_on_random_texts(texts):
