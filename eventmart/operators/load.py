@@ -126,8 +126,15 @@ def cast_rows(df: DataFrame, table: T.StructType, policy: LoadPolicy) -> DataFra
     arrays: dict[str, Column] = {}
     failures: list[Column] = []
     for g, (kind, members) in enumerate(groups.items()):
-        texts = F.array(*[f.name for f in members])
         name = f"_g{g}"
+        if len(members) == 1:  # a column alone needs no array
+            f = members[0]
+            arrays[name] = _caster(f.dataType)(F.col(f.name))
+            bad = F.col(f.name).isNotNull() & F.col(name).isNull()
+            failures.append(F.when(bad, F.lit(f"{f.name}: not a {kind}")))
+            out[f.name] = name
+            continue
+        texts = F.array(*[f.name for f in members])
         arrays[name] = F.transform(texts, _caster(members[0].dataType))
         labels = F.expr("array(" + ", ".join(f"'{f.name}: not a {kind}'" for f in members) + ")")
         failed = F.zip_with(texts, F.col(name), lambda x, y: x.isNotNull() & y.isNull())

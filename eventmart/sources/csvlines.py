@@ -323,9 +323,9 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 def _fields_of(data: DataFrame) -> DataFrame:
     keep = [c for c in ("line_no",) if c in data.columns]
-    return data.withColumn("fields", split_fields(F.col("line"))).select(
-        F.col("file_path").alias("source_file"), *keep, "fields", *LAYOUT_COLUMNS
-    )
+    # a generator: a filter on the fields stays behind it, where it would else split each line again, once for each slot
+    fields = F.explode(F.array(split_fields(F.col("line")))).alias("fields")
+    return data.select(F.col("file_path").alias("source_file"), *keep, fields, *LAYOUT_COLUMNS)
 
 
 def values_at(slots: Column, fields: Column = None) -> Column:

@@ -95,6 +95,30 @@ def test_repeated_header_lines(spark, scratch):
     assert kept.count() == 5 and kept.where(F.get("fields", F.lit(0)) == "x").count() == 2
 
 
+def test_filter_of_events_splits_no_line(spark, scratch):
+    path = scratch()
+    write_lines(spark, path, ['click,"a, b",1', "profile_update,x,2", "", ",c,3"], "1730000000-1730000000-App_Launched", "event_name,note,n")
+    events = csv_events.to_events(cl.csv_rows(spark, path), F.lit("2024-01-31").cast("timestamp"))
+    kept = csv_events.without_profile_updates(events)
+    got = {r["event_name"]: json.loads(r["a"]) for r in kept.withColumn("a", F.to_json("attributes")).collect()}
+    assert got["click"] == {"note": "a, b", "n": "1"} and set(got) == {"click", "App_Launched"} and kept.count() == 3
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # the line is split in one place and the header in one; a split names its pattern twice
+    assert plan.count("regexp_extract_all(") == 4
+
+
+def test_lone_columns_are_cast_without_arrays(spark):
+    table = T.StructType([T.StructField("d", T.DateType()), T.StructField("n", T.IntegerType()), T.StructField("t", T.StringType())])
+    rows = [("2024-01-05", "7", "x"), ("2024-01-05", "seven", "x"), ("never", "seven", " "), (None, " ", None), ("01/05/2024", "", "y")]
+    df = cast_rows(spark.createDataFrame(rows, "d string, n string, t string"), table, LoadPolicy())
+    day = datetime(2024, 1, 5).date()
+    assert [tuple(r) for r in df.collect()] == [
+        (day, 7, "x", None), (day, None, "x", "n: not a int"), (None, None, None, "d: not a date"), (None, None, None, None),
+        (day, None, "y", None),
+    ]
+    assert "zip_with" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_event_file_rules(spark, scratch):
     path = scratch()
     header = "TS,eventName,Profile.Identity,event,note,note,User_ID"
