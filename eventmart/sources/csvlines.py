@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,7 @@ def first_lines(spark: SparkSession, paths: str | list[str], n: int, file_filter
 
     Files of up to ``SMALL_FILE`` bytes are read whole, many to a task. Larger ones are read under a limit
     each, some dozen to a job, so no more of them is read than that. Files of at most ``larger_than`` bytes are left out.
+    Every job writes a folder of its own: jobs run side by side, and the commit of one removes what others hold ready in the same folder.
     """
     target = scratch_path(spark, "first-lines")
     schema = "file_path string, file_name string, block_start long, line string, line_no long"
@@ -75,36 +77,36 @@ def first_lines(spark: SparkSession, paths: str | list[str], n: int, file_filter
         small = text_lines(_sibling(spark, 64 * SMALL_FILE, SMALL_FILE), paths, "file_size").where((size <= SMALL_FILE) & (size > larger_than)).where(keep(F.col("file_name")))
         heads = small.select(*columns).mapInArrow(_heads(n), schema)
         # many tasks in, few files out; the shuffle keeps the tasks
-        heads.repartition(FIRST_LINE_FILES, "file_path").write.mode("append").parquet(target)
+        heads.repartition(FIRST_LINE_FILES, "file_path").write.parquet(f"{target}/small")
     else:
-        spark.createDataFrame([], schema).write.parquet(target)
+        spark.createDataFrame([], schema).write.parquet(f"{target}/small")
 
     sibling = _sibling(spark, 1 << 50, 1 << 50)  # a file is one split, so a limit takes its first lines
 
-    def begin(group: list[str]) -> None:
+    def begin(job: int, group: list[str]) -> None:
         heads = None
         for path in group:
             some = text_lines(sibling, re.sub(r"([{}\[\]*?\\])", r"\\\1", path)).select(*columns).withColumn("line_no", F.monotonically_increasing_id() + 1).limit(n)
             heads = some if heads is None else heads.unionByName(some)
-        heads.coalesce(1).write.mode("append").parquet(target)
+        heads.coalesce(1).write.parquet(f"{target}/large-{job}")
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)  # its content is not read
     name = F.element_at(F.split("path", "/"), -1)
     large = files.where(F.col("length") > max(SMALL_FILE, larger_than)).where(keep(name)).select("path")
     with ThreadPoolExecutor(FILE_JOBS) as pool:
-        running, group = [], []
+        running, group, jobs = [], [], count()
         for row in large.toLocalIterator():
             group.append(row["path"])
             if len(group) == FILES_PER_JOB:
-                running.append(pool.submit(begin, group))
+                running.append(pool.submit(begin, next(jobs), group))
                 group = []
                 if len(running) >= 2 * FILE_JOBS:  # no more is read ahead
                     running.pop(0).result()
         if group:
-            running.append(pool.submit(begin, group))
+            running.append(pool.submit(begin, next(jobs), group))
         for job in running:
             job.result()
-    return spark.read.schema(schema).parquet(target)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(target)
 
 
 def _sibling(spark: SparkSession, partition: int, opening: int) -> SparkSession:

@@ -87,6 +87,24 @@ def test_header_pass_leaves_session_alone(spark, scratch):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_headers_of_many_large_files(spark, scratch, monkeypatch):
+    """Jobs that read large files side by side do not take away one another's rows."""
+    monkeypatch.setattr(cl, "SMALL_FILE", 64)
+    monkeypatch.setattr(cl, "FILES_PER_JOB", 1)
+    path = scratch()
+    rows = spark.createDataFrame([(k, i, f"x,y{k}" if i == 0 else f"{i},2") for k in range(24) for i in range(40)], "k INT, i INT, line STRING")
+    rows.repartition(4, "k").sortWithinPartitions("k", "i").drop("i").write.partitionBy("k").text(path)
+    write_lines(spark, f"{path}/k=24", ["1,2"], "a", "x,y24")  # a small one
+    for larger_than in (-1, 64):
+        found = cl.first_lines(spark, path, 2, larger_than=larger_than).groupBy("file_path").agg(F.array_sort(F.collect_list("line_no")).alias("n"), F.min_by("line", "line_no").alias("header"))
+        assert sorted(r["header"] for r in found.collect()) == sorted(f"x,y{k}" for k in range(25 if larger_than < 0 else 24))
+        assert found.where("n <> array(1, 2)").isEmpty()
+    session = spark.newSession()
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{key}", "64")
+    assert cl.csv_rows(session, path).count() == 24 * 39 + 1
+
+
 def test_repeated_header_lines(spark, scratch):
     path = scratch()
     write_lines(spark, path, ["1,2", "x,y", "x,y", "3,4"], "a", "x,y")
