@@ -105,6 +105,25 @@ def test_headers_of_many_large_files(spark, scratch, monkeypatch):
     assert cl.csv_rows(session, path).count() == 24 * 39 + 1
 
 
+def test_landing_of_many_split_files(spark, scratch, monkeypatch):
+    """Exports of several splits, whose headers several jobs read, land whole under the names that their headers tell."""
+    monkeypatch.setattr(cl, "SMALL_FILE", 64)
+    monkeypatch.setattr(cl, "FILES_PER_JOB", 1)
+    path, landed = scratch(), scratch()
+    line = F.concat(F.lit("2024010100000"), F.col("i") % 10, F.when(F.col("k") % 2 == 0, ",Click,").otherwise(",,View"))
+    rows = spark.range(20 * 60).select(F.floor(F.col("id") / 60).alias("k"), (F.col("id") % 60).alias("i"))
+    rows = rows.select("k", "i", F.when(F.col("i") > 0, line).otherwise("ts,eventName,event_name").alias("line"))
+    rows.repartition(4, "k").sortWithinPartitions("k", "i").drop("i").write.partitionBy("k").option(
+        "mapreduce.output.basename", "1730000000-1730000000-Seen"
+    ).text(path)
+    session = spark.newSession()
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{key}", "512")
+    sinks.write_structured_json(csv_events.to_events(cl.csv_rows(session, path, fl.started_by)), landed)
+    names = read_ndjson(spark, landed, CANONICAL).groupBy("event_name").count()
+    assert {tuple(r) for r in names.collect()} == {("Click", 590), ("View", 590)}
+
+
 def test_repeated_header_lines(spark, scratch):
     path = scratch()
     write_lines(spark, path, ["1,2", "x,y", "x,y", "3,4"], "a", "x,y")
