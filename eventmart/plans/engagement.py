@@ -462,12 +462,7 @@ def d6(spark, sf_dir):
     evolve.sync_schema(spark, table, root)
     again = evolve.sync_schema(spark, table, root)
     found = rows(spark, sf_dir)
-    flat = {
-        c: F.element_at(
-            F.transform_keys(cl.row_map(), lambda k, _: F.coalesce(safe_column_name(k), k)), c
-        )
-        for c in ("segment", "clevertapid")
-    }
+    flat = {c: F.element_at(cl.row_map("safe_names"), c) for c in ("segment", "clevertapid")}
     target = spark.table(table)
     found = found.select(*[v.alias(c) for c, v in flat.items()])
     ld.project_to(found, target.schema).write.insertInto(table)

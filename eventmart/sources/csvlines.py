@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.csvtext import split_fields
-from eventmart.functions.values import empty_as_null
+from eventmart.functions.values import empty_as_null, safe_column_name
 from eventmart.operators.joins import join_small
 from eventmart.session import materialize, scratch_path
 
@@ -42,7 +42,7 @@ FIRST_LINE_FILES = 16  # files that first lines are stored in
 
 LAYOUT_COLUMNS = [
     "headers", "lower_headers", "is_event_file", "time_slots", "identity_slots", "name_slots",
-    "attr_names", "attr_slots", "all_names", "all_slots",
+    "attr_names", "attr_slots", "all_names", "all_slots", "safe_names",
 ]
 
 
@@ -194,6 +194,7 @@ def layouts(headers: DataFrame) -> DataFrame:
         positions(attrs).alias("attr_slots"),
         every.alias("all_names"),
         positions(every).alias("all_slots"),
+        F.transform(every, lambda n: F.coalesce(safe_column_name(n), n)).alias("safe_names"),
     )
 
 
@@ -209,7 +210,7 @@ def with_layout(
     """
     by_header = headers.groupBy("header").agg(
         F.sum(F.octet_length("file_path") + 32).alias("map_bytes"),
-        # names in four forms, and a few positions per name
+        # names in five forms, and a few positions per name
         (F.max(F.octet_length("header")) * 8 + 1024).alias("layout_bytes"),
     )
     sizes = by_header.agg(
@@ -342,9 +343,10 @@ def lookup(name: str) -> Column:
     return empty_as_null(F.get(F.col("fields"), slot))
 
 
-def row_map() -> Column:
-    """All columns of a row as ``map<header, value>``, empty values null."""
-    return F.map_from_arrays("all_names", values_at(F.col("all_slots")))
+def row_map(names: str = "all_names") -> Column:
+    """All columns of a row as ``map<header, value>``, empty values null. With ``safe_names`` the headers are column names, where
+    they have one; those are worked out with the layout, not row by row."""
+    return F.map_from_arrays(names, values_at(F.col("all_slots")))
 
 
 def numbered_lines(spark: SparkSession, paths: str | list[str], file_filter=None) -> DataFrame:

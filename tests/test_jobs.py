@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventmart.functions.values import safe_column_name
 from eventmart.operators import csv_events, dedupe, dualwrite, evolve, sinks, summaries, tables
 from eventmart.operators import opsmetrics as om
 from eventmart.operators.joins import join_small, measured_bytes
@@ -124,6 +125,21 @@ def test_landing_of_many_split_files(spark, scratch, monkeypatch):
     assert {tuple(r) for r in names.collect()} == {("Click", 590), ("View", 590)}
 
 
+def test_row_map_under_column_names(spark, scratch):
+    """The names that a layout carries are those that each row's map would get; others stay as written."""
+    path = scratch()
+    write_lines(spark, path, ["a,b,,d,e,f", "1,,3,4,5"], "a", "Extra  Col,7th,--,ts,\u00e9,profile.id")
+    rows = cl.csv_rows(spark, path)
+    each = F.transform_keys(cl.row_map(), lambda k, _: F.coalesce(safe_column_name(k), k))
+    found = rows.select(cl.row_map("safe_names").alias("by_layout"), each.alias("by_row")).collect()
+    assert [r["by_layout"] for r in found] == [r["by_row"] for r in found]
+    names = ["extra_col", "_7th", "--", "ts", "\u00e9", "profile_id"]
+    assert [r["by_layout"] for r in found] == [dict(zip(names, ["a", "b", None, "d", "e", "f"])), dict(zip(names, ["1", None, "3", "4", "5", None]))]
+    write_lines(spark, path, ["1,2"], "b", "Extra Col,extra_col")
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):  # as with a map made row by row
+        cl.csv_rows(spark, path).select(cl.row_map("safe_names")).collect()
+
+
 def test_repeated_header_lines(spark, scratch):
     path = scratch()
     write_lines(spark, path, ["1,2", "x,y", "x,y", "3,4"], "a", "x,y")
